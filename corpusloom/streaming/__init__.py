@@ -1,0 +1 @@
+"""The row-local operators applied to unbounded input."""
