@@ -34,9 +34,10 @@ def text_key(text: Column | str) -> Column:
 
 def exact_keepers(df: DataFrame, doc: str = "doc_id", text: str = "text", *carry: str) -> DataFrame:
     """(text_key, doc, n_copies, carry...): the lowest id of every distinct text, via partial aggregates."""
-    best = F.min(F.struct(doc, *carry)).alias("_k")
     keyed = df.select(text_key(text).alias("text_key"), doc, *carry)
-    kept = keyed.groupBy("text_key").agg(best, F.count("*").alias("n_copies"))
+    if not carry:  # a plain minimum aggregates by hash, a struct by sort
+        return keyed.groupBy("text_key").agg(F.min(doc).alias(doc), F.count("*").alias("n_copies"))
+    kept = keyed.groupBy("text_key").agg(F.min(F.struct(doc, *carry)).alias("_k"), F.count("*").alias("n_copies"))
     return kept.select("text_key", "n_copies", "_k.*")
 
 
@@ -113,7 +114,7 @@ def minhash(sets: DataFrame, k: int = 128, seed: int = 1, rows_at_once: int = 50
             pa.array(ends32), pa.array(out.reshape(-1)), mask=pa.array(sizes == 0)
         )
 
-    return sets.withColumn("signature", sign("shingles"))
+    return sets.withColumn("signature", sign.asNondeterministic()("shingles"))
 
 
 def lsh_members(signed: DataFrame, bands: int = 32, rows: int = 4, doc: str = "doc_id") -> DataFrame:

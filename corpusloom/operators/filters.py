@@ -15,6 +15,7 @@ from corpusloom.functions.text import (
     share_of,
     top_count,
     visible_chars,
+    word_count,
     word_ngrams,
     words,
 )
@@ -33,10 +34,6 @@ STOPWORDS = {
 PHONE_LINE = r"(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}\b"
 
 
-def word_count(text: Column | str) -> Column:
-    return F.size(words(text))
-
-
 def mean_word_length(text: Column | str) -> Column:
     return ratio(visible_chars(text), word_count(text))
 

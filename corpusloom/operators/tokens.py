@@ -89,7 +89,8 @@ def encoder(vocab: DataFrame):
         per_sentence = pa.ListArray.from_arrays(pa.array(ends[inner].astype(np.int32)), pa.array(out))
         return pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), per_sentence)
 
-    return encode
+    # Expensive: evaluated once, never copied into filters.
+    return encode.asNondeterministic()
 
 
 def decoder(vocab: DataFrame):
@@ -106,7 +107,7 @@ def decoder(vocab: DataFrame):
         offsets = pa.py_buffer(ends[rows].astype(np.int32).tobytes())
         return pa.Array.from_buffers(pa.string(), len(batch), [None, offsets, taken.buffers()[2]])
 
-    return decode
+    return decode.asNondeterministic()
 
 
 def tokenize(
