@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the characters Python's str.split() treats as white space.
@@ -22,6 +22,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def hold(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add ``value`` as a column that the optimizer does not inline into later expressions.
+
+    Needed in front of a Python function: its argument must not hold a nested lambda.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))
+
+
 def words(text: Column | str) -> Column:
     """White-space separated words, empty ones removed."""
     return F.filter(F.split(col(text), WHITE), lambda w: w != "")
@@ -100,16 +109,7 @@ def top_count(items: Column) -> Column:
 
 def chunks(text: Column | str, size: int) -> Column:
     """Consecutive pieces of at most ``size`` characters."""
-    return let(
-        col(text),
-        lambda t: F.when(
-            F.length(t) > 0,
-            F.transform(
-                F.sequence(F.lit(0), ((F.length(t) - 1) / size).cast("int")),
-                lambda i: F.substring(t, i * size + 1, F.lit(size)),
-            ),
-        ).otherwise(F.array().cast("array<string>")),
-    )
+    return F.regexp_extract_all(col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
 def md5_long(c: Column | str) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.skew import TARGET_ROWS, skew_join
-from corpusloom.functions.text import char_ngrams, col, join_lines, let, lines, md5_long, ratio, word_ngrams, words
+from corpusloom.functions.text import char_ngrams, col, hold, join_lines, let, lines, md5_long, ratio, word_ngrams, words
 from corpusloom.session import materialize
 
 MERSENNE_31 = (1 << 31) - 1
@@ -114,7 +114,8 @@ def minhash(sets: DataFrame, k: int = 128, seed: int = 1, rows_at_once: int = 50
             pa.array(ends32), pa.array(out.reshape(-1)), mask=pa.array(sizes == 0)
         )
 
-    return sets.withColumn("signature", sign.asNondeterministic()("shingles"))
+    held = hold(sets, "shingles", F.col("shingles"))
+    return held.withColumn("signature", sign.asNondeterministic()("shingles"))
 
 
 def lsh_members(signed: DataFrame, bands: int = 32, rows: int = 4, doc: str = "doc_id") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.ordering import md5_key, prefix_sum
-from corpusloom.functions.text import chunks, col, let
+from corpusloom.functions.text import chunks, col, hold, let
 
 EOD = 0
 FIRST_BYTE = 1
@@ -127,7 +127,8 @@ def tokenize(
     else:
         parts = F.array(t)
     encode = encoder(vocab)
-    encoded = df.where(t.isNotNull()).withColumn("_ids", encode(F.transform(parts, pieces)))
+    cut = hold(df.where(t.isNotNull()), "_pieces", F.transform(parts, pieces))
+    encoded = cut.withColumn("_ids", encode("_pieces")).drop("_pieces")
     full = F.filter("_ids", lambda s: F.size(s) > 0)
     flat, lens = F.flatten(F.col("_ids")), F.transform(full, F.size)
     any_token = F.size(full) > 0
