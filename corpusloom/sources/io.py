@@ -112,19 +112,38 @@ def numeric_suffix(shard: str) -> Column:
     return F.regexp_extract(shard, r"(\d+)$", 1).cast("long")
 
 
-CATALOG_FIELDS = "lang string, quality string, domain string, dataset string, tokens long"
-
-
-def read_catalog(spark: SparkSession, tree: dict, tokens_key: str) -> DataFrame:
-    """language > quality > domain > [{name, tokens}] as rows (a hand-written configuration file)."""
-    rows = [
-        (lang, quality, domain, d["name"], int(d[tokens_key]))
-        for lang, qualities in tree.items()
-        for quality, domains in (qualities or {}).items()
-        for domain, datasets in (domains or {}).items()
-        for d in (datasets or [])
-    ]
-    return spark.createDataFrame(rows, CATALOG_FIELDS)
+def read_catalog(spark: SparkSession, tree: dict | str, tokens_key: str = "tokens") -> DataFrame:
+    """language > quality > domain > [{name, tokens}] as rows (lang, quality, domain, dataset, tokens).
+
+    ``tree`` is the parsed configuration or the path of a JSON file.
+    """
+    entry = f"array<struct<name: string, `{tokens_key}`: bigint>>"
+    kind = f"map<string, map<string, map<string, {entry}>>>"
+    if isinstance(tree, str):
+        raw = spark.read.text(tree, wholetext=True)
+    else:
+        raw = spark.createDataFrame([(json.dumps(tree),)], "value string")
+    return (
+        raw.select(F.explode(F.from_json("value", kind)).alias("lang", "_q"))
+        .select("lang", F.explode("_q").alias("quality", "_d"))
+        .select("lang", "quality", F.explode("_d").alias("domain", "_l"))
+        .select("lang", "quality", "domain", F.explode("_l").alias("_e"))
+        .select("lang", "quality", "domain", F.col("_e.name").alias("dataset"), F.col(f"_e.{tokens_key}").alias("tokens"))
+    )
+
+
+def write_catalog(catalog: DataFrame, path: str, tokens_key: str = "tokens") -> None:
+    """The catalog rows as one nested JSON document (a configuration file, one entry per dataset)."""
+    leaf = catalog.groupBy("lang", "quality", "domain").agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(F.col("dataset").alias("name"), F.col("tokens").alias(tokens_key)))))
+        .alias("_e")
+    )
+    entry = f"array<struct<name: string, `{tokens_key}`: bigint>>"
+    leaf = leaf.withColumn("_e", F.from_json("_e", entry))
+    domains = leaf.groupBy("lang", "quality").agg(F.map_from_entries(F.collect_list(F.struct("domain", "_e"))).alias("_d"))
+    qualities = domains.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("quality", "_d"))).alias("_q"))
+    tree = qualities.agg(F.map_from_entries(F.collect_list(F.struct("lang", "_q"))).alias("_t"))
+    tree.select(F.to_json("_t").alias("value")).coalesce(1).write.text(path)
 
 
 def check_sources(catalog: DataFrame, available: DataFrame, fail: bool = True) -> DataFrame:
