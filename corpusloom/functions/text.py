@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
+# The same characters in Java's notation, which its regex engine matches several times faster.
+JAVA_WHITE = r"(?U)[\s\x1C-\x1F]+"
+JAVA_WORD = r"(?U)[^\s\x1C-\x1F]+"
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -32,13 +37,13 @@ def hold(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def words(text: Column | str) -> Column:
-    """White-space separated words, empty ones removed."""
-    return F.filter(F.split(col(text), WHITE), lambda w: w != "")
+    """White-space separated words (extraction keeps its compiled pattern; a split compiles per row)."""
+    return F.regexp_extract_all(col(text), F.lit(JAVA_WORD), F.lit(0))
 
 
 def word_count(text: Column | str) -> Column:
-    """Number of words, counted by one regex pass without building them."""
-    return F.regexp_count(col(text), F.lit(WHITE.replace("[", "[^", 1)))
+    """Number of words, without building them."""
+    return F.regexp_count(col(text), F.lit(JAVA_WORD))
 
 
 def lines(text: Column | str) -> Column:
@@ -51,7 +56,7 @@ def join_lines(parts: Column) -> Column:
 
 def visible_chars(text: Column | str) -> Column:
     """Characters that are not white space, i.e. the summed length of all words."""
-    return F.length(F.regexp_replace(col(text), WHITE, ""))
+    return F.length(F.regexp_replace(col(text), JAVA_WHITE, ""))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.ordering import quantiles
 from corpusloom.functions.text import (
     col,
+    hold,
     join_lines,
     let,
     lines,
@@ -52,13 +53,27 @@ def gopher(
     text: str = "text",
 ) -> DataFrame:
     """Word count, mean word length and share of words ending in '...', with one flag per rule."""
+    # The words are cut once; held, so that a later filter on a flag does not cut them again.
+    stats = let(
+        words(text),
+        lambda ws: F.struct(
+            F.size(ws).alias("n"),
+            F.aggregate(ws, F.lit(0), lambda acc, w: acc + F.length(w)).alias("chars"),
+            F.size(F.filter(ws, lambda w: w.endswith("..."))).alias("dots"),
+        ),
+    )
     n, mean, dots = F.col("n_words"), F.col("mean_word_len"), F.col("ellipsis_words")
-    valued = df.withColumns(
-        {
-            "n_words": word_count(text),
-            "mean_word_len": mean_word_length(text),
-            "ellipsis_words": ellipsis_word_share(text),
-        }
+    s = F.col("_stats")
+    valued = (
+        hold(df, "_stats", stats)
+        .withColumns(
+            {
+                "n_words": s["n"],
+                "mean_word_len": ratio(s["chars"], s["n"]),
+                "ellipsis_words": ratio(s["dots"], s["n"]),
+            }
+        )
+        .drop("_stats")
     )
     return valued.withColumns(
         {

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.ordering import md5_key, quantiles
-from corpusloom.functions.skew import broadcast_if_small, skew_lookup
+from corpusloom.functions.skew import skew_lookup
 from corpusloom.functions.text import char_ngrams, col, lines, ratio
 
 # Probability given to an n-gram a profile does not hold.
 UNSEEN = 1e-6
-# Profiles up to this many (gram, language) rows are broadcast; larger ones are joined by shuffle.
+# Profiles up to this many (gram, language) rows are sent to the tasks; larger ones are joined by shuffle.
 MAX_PROFILE_ROWS = 500_000
 
 
@@ -41,6 +44,61 @@ def train_lang_profiles(
     return ranked.join(totals, lang).select(lang, "gram", "n", (F.col("n") / F.col("_total")).alias("p"), "rank")
 
 
+def _codes(chars: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams of a flat code-point array as numbers, and the row each belongs to; none crosses a row."""
+    if len(chars) < n:
+        return chars[:0], owner[:0]
+    last = len(chars) - n + 1
+    code = np.zeros(last, dtype=np.int64)
+    for k in range(n):
+        # 21 bits per code point; the +1 keeps shorter n-grams apart from longer ones.
+        code = (code << 21) | (chars[k : last + k] + 1)
+    whole = owner[:last] == owner[n - 1 :]
+    return code[whole], owner[:last][whole]
+
+
+def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    return chars, np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+
+
+def _scorer(profiles: list, langs: list[str], sizes: tuple[int, ...], chars_at_once: int = 1_000_000):
+    """Column function: text -> summed weight per language, for (gram, lang, weight) profile rows."""
+    grams = sorted({g for g, _, _ in profiles})
+    per_gram = [_codes(*_flat([g]), len(g))[0][0] for g in grams]
+    order = np.argsort(per_gram)
+    known = np.array(per_gram, dtype=np.int64)[order]
+    place = {grams[o]: i for i, o in enumerate(order)}
+    weight = np.zeros((len(grams), len(langs)))
+    for g, lang, w in profiles:
+        weight[place[g], langs.index(lang)] = w
+
+    def score(texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), len(langs)))
+        chars, owner = _flat(texts)
+        for n in sizes:
+            code, row = _codes(chars, owner, n)
+            at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+            hit = known[at] == code
+            pair, count = np.unique(row[hit] * len(known) + at[hit], return_counts=True)
+            np.add.at(out, pair // len(known), weight[pair % len(known)] * count[:, None])
+        return out
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def scored(text: pd.Series) -> pd.Series:
+        texts = text.fillna("").tolist()
+        parts, first, size = [], 0, 0
+        # Slices of whole rows keep the flat arrays small, whatever the text lengths.
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= chars_at_once or i == len(texts) - 1:
+                parts.extend(score(texts[first : i + 1]).tolist())
+                first, size = i + 1, 0
+        return pd.Series(parts)
+
+    return scored.asNondeterministic()
+
+
 def detect_lang(
     df: DataFrame,
     profiles: DataFrame,
@@ -53,41 +111,49 @@ def detect_lang(
     """(ids, lang_pred, confidence): most likely language, ``unknown`` below the threshold.
 
     Each language scores the log-likelihood of the text's n-grams; confidence is its share of the
-    likelihood over all languages.  Grams meet the broadcast profiles and are summed per document
-    before any shuffle; profiles above the checked bound are joined with hot grams split.
+    likelihood over all languages; ties go to the first language name.  Profiles below the checked
+    bound travel to the tasks and documents are scored in place, without a shuffle; larger ones are
+    joined gram by gram with the hot grams split.
     """
     floor = math.log(UNSEEN)
-    table = profiles.select("gram", F.col("lang").alias("_lang"), (F.log("p") - floor).alias("_w"))
-    n_langs = profiles.agg(F.countDistinct("lang").alias("_langs"))
-    grams = df.select(*ids, F.explode(_grams(text, sizes)).alias("gram"))
-    table, small = broadcast_if_small(table, max_profile_rows)
-    if small:
-        matched = grams.join(table, "gram", "left")
+    weights = profiles.select("gram", "lang", (F.log("p") - floor).alias("w"))
+    rows = weights.limit(max_profile_rows + 1).collect()
+    if len(rows) <= max_profile_rows:
+        langs = sorted({r[1] for r in rows})
+        scorer = _scorer([tuple(r) for r in rows], langs, sizes)
+        clean = F.lower(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))
+        sums = df.select(*ids, scorer(clean).alias("_s"))
+        top = F.array_max("_s")
+        share = 1 / F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.array_max("_s")))
+        best = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("_s", top).cast("int"))
+        found = sums.select(*ids, F.when(top > 0, best).alias("_best"), F.when(top > 0, share).alias("confidence"))
     else:
-        by_gram = table.groupBy("gram").agg(F.collect_list(F.struct("_lang", "_w")).alias("_p"))
-        matched = skew_lookup(grams, by_gram, ["gram"], list(ids)).select(
-            *ids, F.explode_outer("_p").alias("_e")
-        ).select(*ids, "_e.*")
-    scored = matched.groupBy(*ids, "_lang").agg(F.sum("_w").alias("_s")).where(F.col("_lang").isNotNull())
+        found = df.select(*ids).join(_joined_scores(df, weights, ids, text, sizes), list(ids), "left")
+    return found.select(
+        *ids,
+        F.when(F.col("confidence") >= threshold, F.col("_best")).otherwise("unknown").alias("lang_pred"),
+        F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
+    )
+
+
+def _joined_scores(
+    df: DataFrame, weights: DataFrame, ids: tuple[str, ...], text: str, sizes: tuple[int, ...]
+) -> DataFrame:
+    """(ids, _best, confidence) by joining n-grams to a profile table of any size."""
+    n_langs = weights.agg(F.countDistinct("lang").alias("_langs"))
+    grams = df.select(*ids, F.explode(_grams(text, sizes)).alias("gram"))
+    by_gram = weights.groupBy("gram").agg(F.collect_list(F.struct("lang", "w")).alias("_p"))
+    matched = skew_lookup(grams, by_gram, ["gram"], list(ids)).select(*ids, F.explode("_p").alias("_e"))
+    scored = matched.groupBy(*ids, F.col("_e.lang").alias("_lang")).agg(F.sum("_e.w").alias("_s"))
     per_doc = scored.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("_s", "_lang"))).alias("_all"))
     top = F.element_at("_all", -1)
-    # Ties go to the first language name.
     best = F.array_min(F.transform(F.filter("_all", lambda x: x["_s"] == top["_s"]), lambda x: x["_lang"]))
     weight = F.aggregate(
         F.col("_all"), F.lit(0.0), lambda acc, x: acc + F.exp(x["_s"] - top["_s"])
     ) + (F.col("_langs") - F.size("_all")) * F.exp(-top["_s"])
-    found = per_doc.crossJoin(F.broadcast(n_langs)).select(
+    return per_doc.crossJoin(F.broadcast(n_langs)).select(  # one row
         *ids, best.alias("_best"), (F.lit(1.0) / weight).alias("confidence")
     )
-    return (
-        df.select(*ids)
-        .join(found, list(ids), "left")
-        .select(
-            *ids,
-            F.when(F.col("confidence") >= threshold, F.col("_best")).otherwise("unknown").alias("lang_pred"),
-            F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
-        )
-    )
 
 
 def paragraph_lang(
