@@ -47,22 +47,25 @@ def exact_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataF
 
 
 # ---- shingles and signatures -------------------------------------------------------------------
-def shingles(text: Column | str, n: int = 5, unit: str = "word") -> Column:
-    """Distinct n-grams of words or characters; a shorter text is one shingle, an empty one none."""
+def shingles(text: Column | str, n: int = 5, unit: str = "word", distinct: bool = True) -> Column:
+    """n-grams of words or characters; a shorter text is one shingle, an empty one none."""
     low = F.lower(col(text))
+    none = F.array().cast("array<string>")
     if unit == "char":
-        return let(
+        grams = let(
             F.regexp_replace(low, r"[ \t\r\n\f]+", " "),
-            lambda t: F.when(F.length(t) == 0, F.array().cast("array<string>"))
+            lambda t: F.when(F.length(t) == 0, none)
             .when(F.length(t) < n, F.array(t))
-            .otherwise(F.array_distinct(char_ngrams(t, (n,)))),
+            .otherwise(char_ngrams(t, (n,))),
         )
-    return let(
-        words(low),
-        lambda ws: F.when(F.size(ws) == 0, F.array().cast("array<string>"))
-        .when(F.size(ws) < n, F.array(F.array_join(ws, " ")))
-        .otherwise(F.array_distinct(word_ngrams(ws, n))),
-    )
+    else:
+        grams = let(
+            words(low),
+            lambda ws: F.when(F.size(ws) == 0, none)
+            .when(F.size(ws) < n, F.array(F.array_join(ws, " ")))
+            .otherwise(word_ngrams(ws, n)),
+        )
+    return F.array_distinct(grams) if distinct else grams
 
 
 HASHES = {"md5": md5_long, "xxhash64": lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 60) - 1))}
@@ -72,7 +75,7 @@ def shingle_sets(
     df: DataFrame, n: int = 5, unit: str = "word", hashing: str = "xxhash64", doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc, shingles): 60-bit shingle hashes.  md5 agrees with other engines, xxhash64 is faster."""
-    h = F.transform(shingles(text, n, unit), HASHES[hashing])
+    h = F.transform(shingles(text, n, unit, distinct=False), HASHES[hashing])
     return df.select(doc, F.array_distinct(h).alias("shingles"))
 
 
@@ -82,7 +85,7 @@ def permutations(k: int, seed: int = 1) -> list[tuple[int, int]]:
     return [(rng.randrange(1, MERSENNE_31), rng.randrange(MERSENNE_31)) for _ in range(k)]
 
 
-def minhash(sets: DataFrame, k: int = 128, seed: int = 1, rows_at_once: int = 500_000) -> DataFrame:
+def minhash(sets: DataFrame, k: int = 128, seed: int = 1, shingles_at_once: int = 1 << 16) -> DataFrame:
     """Add ``signature``: per permutation the minimum over the document's shingles (null if none).
 
     Row-local: all shingles of a batch go through one vectorised pass per permutation.
@@ -101,7 +104,7 @@ def minhash(sets: DataFrame, k: int = 128, seed: int = 1, rows_at_once: int = 50
         i = 0
         while i < len(filled):
             done = ends[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(ends, done + rows_at_once, side="right")))
+            j = max(i + 1, int(np.searchsorted(ends, done + shingles_at_once, side="right")))
             first, last = offsets[filled[i]], offsets[filled[j - 1] + 1]
             h = flat[first:last] % MERSENNE_31
             starts = offsets[filled[i:j]] - first
@@ -176,16 +179,17 @@ def near_dup_edges(
         pairs = materialize(star.where(F.col(doc) != F.col("hub")).select("bucket", doc, "hub"), "lsh-pairs")
         if pairs.isEmpty():
             break
-        scored = verify_jaccard(pairs.select(doc, "hub").distinct(), sets, doc, "hub", target)
-        same = materialize(scored.where(F.col("jaccard") >= tau), "lsh-edges")
-        found.append(same)
-        active = materialize(pairs.join(same, [doc, "hub"], "left_anti").select("bucket", doc), "lsh-members")
+        # A pair may meet in several buckets but is compared once.
+        compared = verify_jaccard(pairs.select(doc, "hub").distinct(), sets, doc, "hub", target)
+        scored = materialize(pairs.join(compared, [doc, "hub"]), "lsh-scored")
+        found.append(scored.where(F.col("jaccard") >= tau).select(doc, "hub", "jaccard"))
+        active = scored.where(F.col("jaccard") < tau).select("bucket", doc)
     if not found:
-        return materialize(scored_schema(members, doc), "lsh-edges")
+        return no_edges(members, doc)
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def scored_schema(members: DataFrame, doc: str) -> DataFrame:
+def no_edges(members: DataFrame, doc: str) -> DataFrame:
     """An empty edge table."""
     none = members.where(F.lit(False))
     return none.select(doc, F.col(doc).alias("hub"), F.lit(0.0).alias("jaccard"))
