@@ -48,12 +48,12 @@ def hash_rank(
     seed: int | str,
     out: str,
     group: tuple[str, ...] = (),
-    digits: int = 3,
+    digits: int = 4,
 ) -> DataFrame:
     """Add ``out``: the 0-based position of each row in a seeded pseudo-random order per group.
 
     Buckets are the first ``digits`` hex digits of the order key, so they are even by construction;
-    raise ``digits`` with the table (3 = 4,096 buckets, 4 = 65,536).
+    ``digits`` sets their number (3 = 4,096 buckets, 4 = 65,536).
     """
     keyed = df.withColumn("_h", md5_key(seed, *key)).withColumn("_b", F.substring("_h", 1, digits))
     return prefix_sum(keyed, "_b", ["_h", *key], F.lit(1).cast("long"), out, group).drop("_h", "_b")
@@ -96,7 +96,7 @@ def quantiles(
         totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
         ranked = ranked.join(totals, list(group))
     else:
-        ranked = ranked.crossJoin(F.broadcast(counted.agg(F.sum("_n").alias("_total"))))
+        ranked = ranked.withColumn("_total", counted.agg(F.sum("_n").alias("_total")).scalar())
     cols = []
     for name, p in points.items():
         at = F.greatest(F.ceil(F.lit(p) * F.col("_total")), F.lit(1))

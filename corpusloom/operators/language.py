@@ -151,7 +151,7 @@ def _joined_scores(
     weight = F.aggregate(
         F.col("_all"), F.lit(0.0), lambda acc, x: acc + F.exp(x["_s"] - top["_s"])
     ) + (F.col("_langs") - F.size("_all")) * F.exp(-top["_s"])
-    return per_doc.crossJoin(F.broadcast(n_langs)).select(  # one row
+    return per_doc.withColumn("_langs", n_langs.scalar()).select(
         *ids, best.alias("_best"), (F.lit(1.0) / weight).alias("confidence")
     )
 

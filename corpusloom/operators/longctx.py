@@ -79,7 +79,7 @@ def length_mix(
     return take_tokens(binned, budgets, "bin", seed, doc)
 
 
-def source_order(docs: DataFrame, by: str = "source", seed: int = 0, doc: str = "doc_id", digits: int = 3) -> DataFrame:
+def source_order(docs: DataFrame, by: str = "source", seed: int = 0, doc: str = "doc_id", digits: int = 4) -> DataFrame:
     """(pos, doc, n_tokens): documents of a source next to each other, in hash order inside."""
     keyed = docs.where("n_tokens > 0").withColumn("_h", F.concat_ws("\u0001", F.col(by), md5_key(seed, doc)))
     keyed = keyed.withColumn("_b", F.concat_ws("\u0001", F.col(by), F.substring(md5_key(seed, doc), 1, digits)))

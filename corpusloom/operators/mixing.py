@@ -38,8 +38,10 @@ REPLAY_BANDS = {"same_domain": (0.01, 0.05), "new_domain": (0.05, 0.10), "new_la
 def _share(value: Column, total_of: DataFrame, *group: str) -> DataFrame:
     """``total_of`` with ``_share``: value / sum of value over the group (or the whole table)."""
     rows = total_of.withColumn("_x", value.cast("double"))
-    total = rows.groupBy(*group).agg(F.sum("_x").alias("_sum"))
-    joined = rows.join(total, list(group)) if group else rows.crossJoin(F.broadcast(total))
+    if group:
+        joined = rows.join(rows.groupBy(*group).agg(F.sum("_x").alias("_sum")), list(group))
+    else:
+        joined = rows.withColumn("_sum", rows.agg(F.sum("_x")).scalar())
     return joined.withColumn("_share", F.try_divide("_x", "_sum")).drop("_x", "_sum")
 
 
@@ -175,13 +177,13 @@ def cascade(catalog: DataFrame, ratios: DataFrame, cc_ratio: DataFrame) -> DataF
 def check_sum(weights: DataFrame, tolerance: float = 1e-8) -> DataFrame:
     """Step 5: zero weights dropped; every row carries the total and whether it is one."""
     live = weights.where("weight > 0")
-    total = live.agg(F.sum("weight").alias("total"))
-    return live.crossJoin(F.broadcast(total)).withColumn("sums_to_one", F.abs(F.col("total") - 1) <= tolerance)
+    total = live.agg(F.sum("weight")).scalar()
+    return live.withColumn("total", total).withColumn("sums_to_one", F.abs(F.col("total") - 1) <= tolerance)
 
 
 # ---- replay, phases, composition ---------------------------------------------------------------
 def take_tokens(
-    docs: DataFrame, budgets: DataFrame, group: str, seed: int = 0, doc: str = "doc_id", digits: int = 3
+    docs: DataFrame, budgets: DataFrame, group: str, seed: int = 0, doc: str = "doc_id", digits: int = 4
 ) -> DataFrame:
     """Documents in hash order until the group's token budget is reached (the last one may pass it).
 
@@ -199,8 +201,8 @@ def replay_mix(
 
     ``parts`` (kind, part) splits the replay into text, math, code and parallel data.
     """
-    amount = new.agg((F.sum("n_tokens") * ratio / (1 - ratio)).alias("_replay"))
-    budgets = parts.crossJoin(F.broadcast(amount)).select(kind, (F.col("part") * F.col("_replay")).alias("budget"))
+    amount = new.agg(F.sum("n_tokens") * ratio / (1 - ratio)).scalar()
+    budgets = parts.select(kind, (F.col("part") * amount).alias("budget"))
     old = take_tokens(replay, budgets, kind, seed, doc).drop("tokens_before")
     return new.withColumn("origin", F.lit("new")).unionByName(old.withColumn("origin", F.lit("replay")))
 

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.ordering import md5_key, prefix_sum
+from corpusloom.functions.ordering import md5_key, prefix_sum, range_rank
 from corpusloom.functions.text import let
 from corpusloom.operators.tokens import EOD
 from corpusloom.session import durable_dir
@@ -24,20 +24,18 @@ SPLIT_NAMES = ("train", "valid", "test")
 FINAL_EPOCH_SHARE = 0.80
 
 
-def split_docs(docs: DataFrame, ratios: str = "9999,8,2", doc: str = "doc_id", width: int = 1_000_000) -> DataFrame:
+def split_docs(docs: DataFrame, ratios: str = "9999,8,2", doc: str = "doc_id", parts: int | None = None) -> DataFrame:
     """Add ``position`` (dense, in id order) and ``split`` by cumulative document ratio."""
-    parts = [float(x) for x in ratios.split(",")]
-    parts += [0.0] * (len(SPLIT_NAMES) - len(parts))
-    placed = prefix_sum(
-        docs.withColumn("_bucket", F.floor(F.col(doc) / width)), "_bucket", [doc], F.lit(1).cast("long"), "position"
-    ).drop("_bucket")
-    total = docs.agg(F.count("*").alias("_n"))
-    name, edge = F.lit(SPLIT_NAMES[-1]), sum(parts)
+    shares = [float(x) for x in ratios.split(",")]
+    shares += [0.0] * (len(SPLIT_NAMES) - len(shares))
+    placed = range_rank(docs, [F.col(doc)], "position", parts=parts)
+    total = docs.agg(F.count("*")).scalar()
+    name, edge = F.lit(SPLIT_NAMES[-1]), sum(shares)
     for i in range(len(SPLIT_NAMES) - 2, -1, -1):
-        edge -= parts[i + 1]
-        bound = F.round(F.lit(edge / sum(parts)) * F.col("_n"))
+        edge -= shares[i + 1]
+        bound = F.round(F.lit(edge / sum(shares)) * F.col("_n"))
         name = F.when(F.col("position") < bound, SPLIT_NAMES[i]).otherwise(name)
-    return placed.crossJoin(F.broadcast(total)).withColumn("split", name).drop("_n")
+    return placed.withColumn("_n", total).withColumn("split", name).drop("_n")
 
 
 def epochs_needed(tokens_per_epoch: int, n_samples: int, seq_len: int) -> tuple[int, bool]:
@@ -52,7 +50,7 @@ def epochs_needed(tokens_per_epoch: int, n_samples: int, seq_len: int) -> tuple[
 
 
 def document_order(
-    docs: DataFrame, epochs: int = 1, seed: int = 1234, separate_final: bool = False, doc: str = "doc_id", digits: int = 3
+    docs: DataFrame, epochs: int = 1, seed: int = 1234, separate_final: bool = False, doc: str = "doc_id", digits: int = 4
 ) -> DataFrame:
     """(pos, epoch, doc, n_tokens): documents of all epochs in one seeded order.
 
@@ -72,9 +70,7 @@ def spans(order: DataFrame, width: int = 1_000_000) -> DataFrame:
 
 
 def _with_samples(placed: DataFrame, seq_len: int) -> DataFrame:
-    total = placed.agg(F.sum("n_tokens").alias("_total"))
-    n = F.floor((F.col("_total") - 1) / seq_len)
-    return placed.crossJoin(F.broadcast(total.select(n.alias("n_samples"))))
+    return placed.withColumn("n_samples", placed.agg(F.floor((F.sum("n_tokens") - 1) / seq_len)).scalar())
 
 
 def sample_index(placed: DataFrame, seq_len: int) -> DataFrame:
@@ -92,7 +88,7 @@ def sample_index(placed: DataFrame, seq_len: int) -> DataFrame:
     )
 
 
-def shuffle_index(samples: DataFrame, seed: int = 1234, digits: int = 3) -> DataFrame:
+def shuffle_index(samples: DataFrame, seed: int = 1234, digits: int = 4) -> DataFrame:
     """(pos, sample_id): a seeded permutation of the samples."""
     keyed = samples.select("sample_id").withColumn("_h", md5_key(seed, "sample_id"))
     keyed = keyed.withColumn("_b", F.substring("_h", 1, digits))
@@ -187,13 +183,13 @@ def cached(spark: SparkSession, config: dict, build) -> DataFrame:
 
 def pack_stats(placed: DataFrame, seq_len: int) -> DataFrame:
     """Per number of documents in a sample: how many samples, and the elements lost at the tail."""
-    total = placed.agg(F.sum("n_tokens").alias("_total"))
     docs = _touched(placed.select("pos", "start", "n_tokens"), seq_len).groupBy("sample_id").agg(
         F.count("*").alias("docs_per_sample")
     )
-    tail = F.col("_total") - F.floor((F.col("_total") - 1) / seq_len) * seq_len - 1
+    total = F.sum("n_tokens")
+    tail = placed.agg(total - F.floor((total - 1) / seq_len) * seq_len - 1).scalar()
     return (
         docs.groupBy("docs_per_sample")
         .agg(F.count("*").alias("n_samples"))
-        .crossJoin(F.broadcast(total.select(tail.alias("tail_tokens"))))
+        .withColumn("tail_tokens", tail)
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.ordering import md5_key, prefix_sum
+from corpusloom.functions.ordering import md5_key, range_rank
 from corpusloom.functions.text import chunks, col, hold, let
 
 EOD = 0
@@ -222,9 +222,10 @@ def verify_roundtrip(
 def verify_merge_totals(shards: DataFrame, merged: DataFrame, shard: str = "shard") -> DataFrame:
     """Documents and tokens per shard and in total (null shard), with the merged table's totals."""
     per_shard = shards.rollup(shard).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    total = merged.agg(F.count("*").alias("merged_docs"), F.sum("n_tokens").alias("merged_tokens"))
+    total = merged.agg(F.struct(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"))).scalar()
     same = (F.col("n_docs") == F.col("merged_docs")) & (F.col("n_tokens") == F.col("merged_tokens"))
-    return per_shard.crossJoin(F.broadcast(total)).withColumn("tally", F.when(F.col(shard).isNull(), same))
+    both = per_shard.withColumn("_m", total).withColumns({"merged_docs": F.col("_m.docs"), "merged_tokens": F.col("_m.tokens")})
+    return both.drop("_m").withColumn("tally", F.when(F.col(shard).isNull(), same))
 
 
 def verify_merge_index(
@@ -246,9 +247,9 @@ def verify_merge_index(
 
 
 def doc_offsets(
-    tokens: DataFrame, item_bytes: int = 4, doc: str = "doc_id", width: int = 1_000_000
+    tokens: DataFrame, item_bytes: int = 4, doc: str = "doc_id", parts: int | None = None
 ) -> DataFrame:
-    """Element and byte offset of every document in id order (a two-level prefix sum)."""
-    slim = tokens.select(doc, "n_tokens").withColumn("_bucket", F.floor(F.col(doc) / width))
-    placed = prefix_sum(slim, "_bucket", [doc], F.col("n_tokens").cast("long"), "element_offset").drop("_bucket")
+    """Element and byte offset of every document in id order (a two-level prefix sum; ids may be sparse)."""
+    slim = tokens.select(doc, "n_tokens")
+    placed = range_rank(slim, [F.col(doc)], "element_offset", (), F.col("n_tokens").cast("long"), parts)
     return placed.withColumn("byte_offset", F.col("element_offset") * item_bytes)

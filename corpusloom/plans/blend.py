@@ -24,10 +24,10 @@ def _weights(spark, sf, alpha):
         F.count("*").alias("size"), F.sum("n_chars").cast("double").alias("chars")
     )
     p = F.pow("chars", F.lit(alpha))
-    total = size.agg(F.sum(p).alias("t"))
+    total = size.agg(F.sum(p)).scalar()
     # One row per dataset: numbering them is a window over a handful of rows.
     return materialize(
-        size.crossJoin(F.broadcast(total)).select(
+        size.withColumn("t", total).select(
             (F.row_number().over(W.orderBy("dataset")) - 1).cast("long").alias("dataset_id"),
             "dataset",
             "size",

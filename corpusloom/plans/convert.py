@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.ordering import range_rank
 from corpusloom.operators import dedup, filters
 from corpusloom.operators import tokens as k
 from corpusloom.plans.filtering import GOPHER
@@ -53,10 +54,7 @@ def tokens_of(spark, sf, *cols):
 def _shards(spark, sf):
     """Token rows per source shard with a dense local id in document order."""
     tok = tokens_of(spark, sf, "source").withColumnRenamed("source", "shard")
-    from corpusloom.functions.ordering import prefix_sum
-
-    blocks = tok.withColumn("_b", F.floor(F.col("doc_id") / 250))
-    return prefix_sum(blocks, "_b", ["doc_id"], F.lit(1).cast("long"), "local_id", ("shard",)).drop("_b")
+    return range_rank(tok.drop("tokens", "sentence_lens"), [F.col("doc_id")], "local_id", ("shard",))
 
 
 SHARD_SQL = f"""{tok_sql()},
@@ -164,11 +162,8 @@ def s5(spark, sf):
               row_number() over (order by source, doc_id) - 1 as lexical_id from documents""",
 )
 def s6(spark, sf):
-    from corpusloom.functions.ordering import prefix_sum
-
     docs = table(spark, sf, "documents", "doc_id", "source").withColumnRenamed("source", "shard")
-    blocks = docs.withColumn("_b", F.floor(F.col("doc_id") / 250))
-    local = prefix_sum(blocks, "_b", ["doc_id"], F.lit(1).cast("long"), "local_id", ("shard",)).drop("_b")
+    local = range_rank(docs, [F.col("doc_id")], "local_id", ("shard",))
     merged = io.merge_shards(local, "shard", "local_id", io.numeric_suffix("shard"), 20)
     return io.merge_shards(merged, "shard", "local_id", F.col("shard"), 20, "lexical_id")
 
@@ -330,8 +325,8 @@ def k10(spark, sf):
 def k10_clean(spark, sf):
     shards = _shards(spark, sf).select("shard", "local_id", "n_tokens")
     merged = io.merge_shards(shards, "shard", "local_id", io.numeric_suffix("shard"), 20)
-    wrong = k.verify_merge_index(shards, merged, io.numeric_suffix("shard")).agg(F.count("*").alias("n_wrong"))
-    return shards.agg(F.count("*").alias("n_docs")).crossJoin(wrong)
+    wrong = k.verify_merge_index(shards, merged, io.numeric_suffix("shard")).agg(F.count("*")).scalar()
+    return shards.agg(F.count("*").alias("n_docs")).withColumn("n_wrong", wrong)
 
 
 @query(
@@ -340,4 +335,4 @@ def k10_clean(spark, sf):
         (4 * (sum(n_tokens) over (order by doc_id) - n_tokens))::bigint as byte_offset from nt""",
 )
 def k11(spark, sf):
-    return k.doc_offsets(tokens_of(spark, sf), width=100)
+    return k.doc_offsets(tokens_of(spark, sf))

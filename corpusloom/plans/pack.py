@@ -58,7 +58,7 @@ def _md5(c):
            when position < round(0.95::double * n) then 'valid' else 'test' end as split from r""",
 )
 def n1(spark, sf):
-    return p.split_docs(table(spark, sf, "documents", "doc_id"), "90,5,5", width=250)
+    return p.split_docs(table(spark, sf, "documents", "doc_id"), "90,5,5")
 
 
 @query(

@@ -149,7 +149,7 @@ def test_masks_at_document_ends(spark):
 
 
 def test_split_and_epochs(spark):
-    got = p.split_docs(spark.range(100).withColumnRenamed("id", "doc_id"), "80,15,5", width=9).groupBy("split").count()
+    got = p.split_docs(spark.range(100).withColumnRenamed("id", "doc_id"), "80,15,5", parts=5).groupBy("split").count()
     assert {r.split: r["count"] for r in got.collect()} == {"train": 80, "valid": 15, "test": 5}
     assert p.epochs_needed(1000, 9, 100) == (1, False)
     assert p.epochs_needed(1000, 12, 100) == (2, True) and p.epochs_needed(1000, 18, 100) == (2, False)
