@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ordering import md5_key, prefix_sum, quantiles
+from corpusloom.functions.skew import skew_join
 from corpusloom.operators.mixing import take_tokens
 from corpusloom.operators.packing import materialize_samples, spans
 
@@ -43,12 +44,15 @@ def upsample_long(
     """
     is_long = F.col("n_tokens") >= long_from
     sums = docs.groupBy(by).agg(
-        F.sum("n_tokens").alias("_all"), F.sum(F.when(is_long, F.col("n_tokens")).otherwise(0)).alias("_long")
+        F.count("*").alias("_rows"),
+        F.sum("n_tokens").alias("_all"),
+        F.sum(F.when(is_long, F.col("n_tokens")).otherwise(0)).alias("_long"),
     )
     share = F.col("_long") / F.col("_all")
     raise_it = (F.col("_long") > 0) & (F.col("_long") < F.col("_all")) & (share < target)
     factors = sums.select(
         by,
+        "_rows",
         F.when(raise_it, target / share).otherwise(1.0).alias("_up"),
         F.when(raise_it, (1 - target) / (1 - share)).otherwise(1.0).alias("_down"),
     )
@@ -56,10 +60,10 @@ def upsample_long(
     u = F.conv(F.substring(md5_key(seed, doc), 1, 8), 16, 10).cast("double") / 2.0**32
     copies = F.floor(F.col("multiplier")) + (u < F.col("multiplier") - F.floor("multiplier")).cast("long")
     return (
-        docs.join(factors, by)
+        skew_join(docs, factors, [by], "_rows", [doc])
         .withColumn("multiplier", multiplier)
         .withColumn("copies", copies)
-        .drop("_up", "_down")
+        .drop("_up", "_down", "_rows")
     )
 
 

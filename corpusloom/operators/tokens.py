@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.ordering import md5_key, range_rank
+from corpusloom.functions.skew import skew_join
 from corpusloom.functions.text import chunks, col, hold, let
 
 EOD = 0
@@ -238,8 +239,8 @@ def verify_merge_index(
     """
     sizes = shards.groupBy(shard).agg(F.count("*").alias("_n"))
     before = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)  # one row per shard
-    offsets = sizes.select(shard, (F.sum("_n").over(before) - F.col("_n")).alias("_off"))
-    expected = shards.join(F.broadcast(offsets), shard).select(
+    offsets = sizes.select(shard, "_n", (F.sum("_n").over(before) - F.col("_n")).alias("_off"))
+    expected = skew_join(shards, offsets, [shard], "_n", [local]).select(
         (F.col("_off") + F.col(local)).alias("global_id"), F.col(shard), F.col(local), F.col("n_tokens").alias("_want")
     )
     got = merged.select("global_id", F.col("n_tokens").alias("_got"))

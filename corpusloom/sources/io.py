@@ -85,10 +85,10 @@ def pending(inputs: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
 def write_tokens(tokens: DataFrame, path: str, by: str = "dataset") -> None:
     """Token table partitioned by dataset.
 
-    Rows are spread by (dataset, part of the id hash), so a dataset with a third of all rows is
-    written by many tasks while small ones do not leave a file per task.
+    The rebalance hint splits a dataset with a third of all rows over many tasks and keeps small ones
+    from leaving a file per task.
     """
-    tokens.write.partitionBy(by).parquet(path)
+    tokens.hint("rebalance", by).write.partitionBy(by).parquet(path)
 
 
 def merge_shards(
