@@ -173,7 +173,7 @@ def near_dup_edges(
     distinct texts per bucket instead of all pairs.
     """
     active = materialize(members, "lsh-members")
-    found = []
+    found, rounds = [], 0
     while True:
         star = skew_join(active, _hubs(active, doc), ["bucket"], "_n", [doc], target)
         pairs = materialize(star.where(F.col(doc) != F.col("hub")).select("bucket", doc, "hub"), "lsh-pairs")
@@ -184,6 +184,12 @@ def near_dup_edges(
         scored = materialize(pairs.join(compared, [doc, "hub"]), "lsh-scored")
         found.append(scored.where(F.col("jaccard") >= tau).select(doc, "hub", "jaccard"))
         active = scored.where(F.col("jaccard") < tau).select("bucket", doc)
+        rounds += 1
+        if rounds & (rounds - 1) == 0:
+            # After rounds 1, 2, 4, ... only the few documents still in play keep their shingles,
+            # so later rounds do not scan the corpus again.
+            left = active.select(F.col(doc).alias("doc_id")).distinct()
+            sets = materialize(sets.join(left, "doc_id", "left_semi"), "lsh-sets")
     if not found:
         return no_edges(members, doc)
     return reduce(DataFrame.unionByName, found).distinct()
