@@ -167,13 +167,15 @@ def near_dup_edges(
 ) -> DataFrame:
     """(doc, hub, jaccard) edges at or above ``tau``, complete for deduplication.
 
+    ``members`` should be a stored table and ``sets`` (doc_id, shingles) hold every document that
+    shares a bucket.
+
     Each round compares the members of a bucket with its lowest id.  Members that reach ``tau``
     follow that hub; the others elect the next hub, until no bucket has two members left.  So any two
     hubs of a bucket were compared, every follower has a verified hub, and the work is members times
     distinct texts per bucket instead of all pairs.
     """
-    active = materialize(members, "lsh-members")
-    found, rounds = [], 0
+    active, found, rounds = members, [], 0
     while True:
         star = skew_join(active, _hubs(active, doc), ["bucket"], "_n", [doc], target)
         pairs = materialize(star.where(F.col(doc) != F.col("hub")).select("bucket", doc, "hub"), "lsh-pairs")
@@ -249,8 +251,12 @@ def near_dup_clusters(
     target: int = TARGET_ROWS,
 ) -> DataFrame:
     """(doc, cluster): the near-duplicate cluster of every document, named by its lowest id."""
-    sets = materialize(shingle_sets(df, n, "word", hashing, doc), "shingles")
-    members = lsh_members(minhash(sets, bands * rows), bands, rows, doc)
+    signed = minhash(shingle_sets(df, n, "word", hashing, doc), bands * rows)
+    members = materialize(lsh_members(signed, bands, rows, doc), "lsh-members")
+    # Shingles are only stored for documents that share a bucket, not for the whole corpus.
+    shared = skew_join(members, _hubs(members, doc), ["bucket"], "_n", [doc], target).select(doc).distinct()
+    sets = shingle_sets(df.join(shared, doc, "left_semi"), n, "word", hashing, doc)
+    sets = materialize(sets.withColumnRenamed(doc, "doc_id"), "shingles")
     edges = near_dup_edges(members, sets, tau, doc, target)
     found = connected_components(edges, doc, "hub", target)
     return df.select(doc).join(found.withColumnRenamed("node", doc), doc, "left").select(
