@@ -17,8 +17,9 @@ from corpusloom.functions.text import char_ngrams, col, lines, ratio
 
 # Probability given to an n-gram a profile does not hold.
 UNSEEN = 1e-6
-# Profiles up to this many (gram, language) rows are sent to the tasks; larger ones are joined by shuffle.
-MAX_PROFILE_ROWS = 500_000
+# Profiles up to this many (gram, language) rows are sent to the tasks, about 100 MB of weights for 200
+# languages; larger ones are joined by shuffle.
+MAX_PROFILE_ROWS = 60_000
 
 
 def _grams(text: Column | str, sizes: tuple[int, ...]) -> Column:
