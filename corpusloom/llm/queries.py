@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, packing, sharding
+from corpusloom.llm import decontaminate, packing, sharding, substring_dedup, suffix_dedup
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,69 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+OP2_SQL = r"""
+with w as (
+    select row_number() over () as id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), starts as (
+    select id, unnest(range(1, len(words) - 35 + 2)) as p from w where len(words) >= 35
+), windows as (
+    select s.id, s.p, md5(array_to_string(w.words[s.p : s.p + 34], ' ')) as h from starts s join w using (id)
+), dup as (
+    select id, p from windows qualify count(*) over (partition by h) > 1
+), gone as (
+    select distinct id, unnest(range(p, p + 35)) as k from dup
+), marks as (
+    select id, list(k) as ks, count(*) as n from gone group by id
+), kept as (
+    select w.id, w.doc_id, w.words, coalesce(m.n, 0) as n_removed, coalesce(m.ks, []) as ks from w left join marks m using (id)
+), numbered as (
+    select id, doc_id, words, n_removed, list_filter(range(1, len(words) + 1), lambda k: not list_contains(ks, k)) as keep from kept
+)
+select doc_id, len(words)::bigint as n_words, n_removed::bigint as n_removed,
+    sha256(array_to_string(list_transform(keep, lambda k: words[k]), ' ')) as kept_sha256
+from numbered
+"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read(spark, sf, "documents"))
+
+
+OP5_SQL = r"""
+with b as (
+    select row_number() over () as id, doc_id, hex(encode(coalesce(text, ''))) as x, octet_length(encode(coalesce(text, '')))::bigint as n from documents
+), starts as (
+    select id, doc_id, unnest(range(0, n - 50 + 1)) as p from b where n >= 50
+), strings as (
+    select s.id, s.doc_id, s.p, md5_number_lower(substr(b.x, 2 * s.p + 1, 100)) as h from starts s join b using (id)
+), later as (
+    select id, p from strings qualify min(doc_id) over (partition by h) < doc_id
+), islands as (
+    select id, p, sum(fresh) over (partition by id order by p) as g from (
+        select id, p, case when p <= lag(p) over (partition by id order by p) + 50 then 0 else 1 end as fresh from later
+    )
+), spans as (
+    select id, min(p) as lo, max(p) + 50 as hi from islands group by id, g
+), cuts as (
+    select id, list(struct_pack(lo := lo, hi := hi) order by lo) as l, sum(hi - lo) as gone, count(*) as n_spans from spans group by id
+), full_docs as (
+    select b.*, coalesce(l, []) as l, coalesce(gone, 0) as gone, coalesce(n_spans, 0) as n_spans from b left join cuts using (id)
+)
+select doc_id, n as n_bytes, gone::bigint as n_removed, n_spans::bigint as n_spans, sha256(unhex(
+    array_to_string(list_transform(range(0, len(l) + 1), lambda k: substr(
+        x, 2 * (case when k = 0 then 0 else l[k].hi end) + 1,
+        2 * ((case when k = len(l) then n else l[k + 1].lo end) - (case when k = 0 then 0 else l[k].hi end)))), '')
+)) as kept_sha256
+from full_docs
+"""
+
+
+@query("op5_suffix_dedup", OP5_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_later_copies(read(spark, sf, "documents"))
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
