@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, packing, sharding, substring_dedup, suffix_dedup
+from corpusloom.llm import decontaminate, packing, sharding, similar, substring_dedup, suffix_dedup
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,39 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_later_copies(read(spark, sf, "documents"))
 
 
+OP7_SQL = r"""
+with recursive t as (
+    select coalesce(text, '') as text, min(doc_id) as id, count(*)::bigint as n_copies from documents group by 1
+), w as (
+    select id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from t
+), s as (
+    select distinct id, unnest(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k : k + 4], ' ')) end) as g from w
+), size as (
+    select id, count(*) as n from s group by id
+), common as (
+    select a.id as x, b.id as y, count(*) as c from s a join s b on a.g = b.g and a.id <> b.id group by 1, 2
+), link as (
+    select x, y from common join size p on p.id = x join size q on q.id = y where c::double / (p.n + q.n - c) >= 0.8
+), reach as (
+    select x as id, x as r from link
+    union
+    select r.id, link.y from reach r join link on link.x = r.r
+), class as (
+    select id, min(r) as class_id from reach group by id
+), degree as (
+    select x as id, count(*)::bigint as n_links from link group by x
+)
+select d.doc_id, coalesce(class_id, t.id) as class_id, coalesce(n_links, 0)::bigint as n_links, n_copies
+from documents d join t on t.text = coalesce(d.text, '') left join class on class.id = t.id left join degree on degree.id = t.id
+"""
+
+
+@query("op7_jaccard_join", OP7_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return similar.similar(read(spark, sf, "documents"))
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
