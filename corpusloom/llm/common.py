@@ -136,3 +136,9 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, seed: int = 1) -> tuple[np
     """A 64-bit hash of each word, and for each text the number of words before it (n + 1 entries)."""
     starts, stops, first = word_bounds(raw, offsets)
     return window_hash(running(random_table(seed)[raw]), starts, stops), first
+
+
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words (runs of letters and digits) of all texts, and where each text's begin."""
+    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}\p{N}]+", " ")
+    return word_hashes(*utf8(plain))

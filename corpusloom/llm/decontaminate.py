@@ -18,11 +18,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import running, slices, utf8, window_hash, word_hashes
+from corpusloom.llm.common import plain_words, running, slices, window_hash
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
@@ -32,12 +31,6 @@ SCHEMA = "doc_id long, item_id long, coverage double, n_tiles int, matched_words
 FILTER_BITS = 22
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-case words of all texts, and where each text's words begin (n + 1 entries)."""
-    plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\p{L}\p{N}]+", " ")
-    return word_hashes(*utf8(plain))
-
-
 def windows_of(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of every window of ``size`` words that stays inside its text."""
     count = np.maximum(np.diff(first) - size + 1, 0)
@@ -111,7 +104,7 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
 
 def _searcher(block: list[tuple[int, str]], min_match: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, first = words_of(pa.array([t for _, t in block], pa.string()))
+        words, first = plain_words(pa.array([t for _, t in block], pa.string()))
         at, seeds = windows_of(words, first, min_match)
         owner = np.searchsorted(first, at, "right") - 1
         order = np.argsort(seeds, kind="stable")
@@ -121,7 +114,7 @@ def _searcher(block: list[tuple[int, str]], min_match: int, threshold: float):
         of_item = [words[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
         for batch in slices(batches):
             ids, out = batch.column("doc_id"), []
-            w, f = words_of(batch.column("text"))
+            w, f = plain_words(batch.column("text"))
             start, h = windows_of(w, f, min_match)
             may = coarse[h >> np.uint64(64 - FILTER_BITS)]
             start, h = start[may], h[may]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, packing, sharding, similar, substring_dedup, suffix_dedup
+from corpusloom.llm import decontaminate, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 OP2_SQL = r"""
 with w as (
     select row_number() over () as id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
