@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import mix, powers, running
 
 # Text bytes of one part (documents that meet again for the next step) and hashes of one bucket.
-PART_BYTES = 4 << 20
-BUCKET_HASHES = 2_000_000
+PART_BYTES = 2 << 20
+BUCKET_HASHES = 500_000
 # A task sends packets whenever it holds this many hashes or documents.
-PACKET_HASHES = 1_000_000
+PACKET_HASHES = 250_000
 PACKET_DOCS = 60_000
 # The filter step compares 48 bits; later steps compare whole hashes and more.
 FILTER_SHIFT = np.uint64(16)
