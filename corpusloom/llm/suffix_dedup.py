@@ -27,7 +27,7 @@ from corpusloom.llm.common import materialize, random_table, running, slices, te
 WIDTH = 50
 SHORT = 20
 # Bytes looked at together; eight-byte values are held for each.
-SLICE = 2_000_000
+SLICE = 1_000_000
 # One anchor is chosen for about 16 bytes.
 BYTES_PER_HASH = 16
 CONTEXT = (
@@ -275,8 +275,8 @@ def remove_later_copies(docs: DataFrame, width: int = WIDTH, short: int = SHORT)
     hot = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["keys"], np.uint64) for r in rows)]))
     level = level.where(F.col("part") != repeats.HOT_PART)
     texts = repeats.zipped(docs, n_parts)
-    # A bucket of contexts holds whole bytes, about eighty for an anchor.
-    wide = 8 * n_buckets
+    # A bucket of contexts holds whole bytes, about eighty for an anchor, but only of repeated ones.
+    wide = 2 * n_buckets
     contexts = texts.groupBy("part").cogroup(level.groupBy("part")).applyInArrow(_contexts(width, short, wide, hot), CONTEXT)
     ranges = contexts.groupBy("bucket").applyInArrow(_judge(width), RANGES)
     return texts.groupBy("part").cogroup(ranges.groupBy("part")).applyInArrow(_remover(), OUT)
