@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import mix, powers, running
+from corpusloom.llm.common import mix, powers, running, slices
 
 # Text bytes of one part (documents that meet again for the next step) and hashes of one bucket.
 PART_BYTES = 2 << 20
@@ -51,7 +51,7 @@ def zipped(docs: DataFrame, n_parts: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
+        for b in slices(batches):
             body = [pack((t or "").encode()) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("part"), b.column("key"), b.column("doc_id"), pa.array(body, pa.binary())], names=["part", "key", "doc_id", "body"]

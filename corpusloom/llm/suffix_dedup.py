@@ -27,16 +27,18 @@ from corpusloom.llm.common import materialize, random_table, running, slices, te
 WIDTH = 50
 SHORT = 20
 # Bytes looked at together; eight-byte values are held for each.
-SLICE = 1_000_000
+SLICE = 400_000
 # One anchor is chosen for about 16 bytes.
 BYTES_PER_HASH = 16
 CONTEXT = (
-    "bucket int, kind int, anchors binary, hashes binary, leads binary, sizes binary, docs binary, places binary, "
-    "keys binary, parts binary, ids binary, body binary"
+    "bucket int, kind int, part int, leads binary, sizes binary, docs binary, places binary, far binary, "
+    "keys binary, ids binary, body binary"
 )
 RANGES = "part int, keys binary, counts binary, places binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 NO_ID = np.iinfo(np.int64).min
+# The lead of a string that travels by itself, not with its anchor.
+ALONE = (1 << 16) - 1
 # Base of the second hash of strings.
 CHECK_BASE = 0xD6E8FEB86659FD93
 # An anchor is hot above this many places, and above one in HOT_SHARE of all; so there are at most HOT_SHARE.
@@ -85,128 +87,169 @@ def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return raw[at]
 
 
+def _distinct(columns: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first rows of groups, group numbers) of rows sorted by columns and then by document."""
+    order = np.lexsort((ids, *columns))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        c = c[order]
+        new[1:] |= c[1:] != c[:-1]
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
 def _contexts(width: int, short: int, n_buckets: int, hot: np.ndarray):
     """From the texts and repeated anchors of a part, packets of contexts for the buckets of their anchors.
 
     Strings with an anchor in ``hot`` (hashes that very many places share) travel one by one to the buckets
-    of their own hashes, so that no bucket gathers all surroundings of a common phrase.
+    of their own hashes, so that no bucket gathers all surroundings of a common phrase (their lead is ALONE).
     """
 
-    def run(rows: pa.Table, level: pa.Table) -> pa.Table:
-        values, found, out = random_table(1), repeats.Answers(level), []
-        pack = zstandard.ZstdCompressor(level=1).compress
-        all_keys, all_ids = rows.column("key").to_pylist(), rows.column("doc_id").to_pylist()
-        part = rows.column("part")[0].as_py() if len(rows) else 0
+    def pieces(rows: pa.Table, level: pa.Table):
+        """(row, place, size, lead, anchor hash, context hash, bytes, their ends) of bounded pieces."""
+        values, found = random_table(1), repeats.Answers(level)
+        keys = rows.column("key").to_pylist()
         for at, texts in repeats.unzipped(rows, SLICE):
-            keys = [all_keys[k] for k in at]
-            ids = np.array([NO_ID if all_ids[k] is None else all_ids[k] for k in at], np.int64)
             raw, first = repeats.joined(texts)
-            starts, anchor, hashes, run_ = repeats.anchors(values[raw], first, width, short)
+            starts, anchor, hashes, run = repeats.anchors(values[raw], first, width, short)
             if not len(starts):
                 continue
-            live = repeats.alive_at(found, keys, first)[anchor]
+            live = repeats.alive_at(found, [keys[k] for k in at], first)[anchor]
             starts, anchor = starts[live], anchor[live]
             common = np.isin(hashes[anchor] >> repeats.FILTER_SHIFT, hot) if len(hot) else np.zeros(len(starts), bool)
             alone, starts, anchor = starts[common], starts[~common], anchor[~common]
             begin, end = _runs(starts, anchor)
-            if not len(begin) and not len(alone):
-                continue
             lo, size, a = starts[begin], starts[end] - starts[begin] + width, anchor[begin]
-            ah, ch, lead = hashes[a], window_hash(run_, lo, lo + size), a - lo
+            lead, ah = a - lo, hashes[a]
             if len(alone):
-                second = window_hash(running(values[raw], CHECK_BASE), alone, alone + width, CHECK_BASE)
                 lo, size = np.r_[lo, alone], np.r_[size, np.full(len(alone), width)]
-                ah, ch, lead = np.r_[ah, second], np.r_[ch, window_hash(run_, alone, alone + width)], np.r_[lead, np.zeros(len(alone), np.int64)]
-            doc = np.searchsorted(first, lo, "right") - 1
-            keys = np.array(keys, np.int64)
-            # Equal contexts in this piece: all but those of the smallest document are later copies already.
-            order = np.lexsort((ids[doc], size, lead, ch, ah))
-            ah, ch, lead, size, lo, doc = (x[order] for x in (ah, ch, lead, size, lo, doc))
-            new = np.r_[True, (ah[1:] != ah[:-1]) | (ch[1:] != ch[:-1]) | (size[1:] != size[:-1]) | (lead[1:] != lead[:-1])]
-            smallest = ids[doc][np.flatnonzero(new)][np.cumsum(new) - 1]
-            later = ids[doc] > smallest
-            bucket = ((ah >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
-            # Their ranges only pass through a bucket, any bucket, on the way back to the part.
-            bucket[later] = part % n_buckets
-            for kind, pick in ((0, ~later), (1, later)):
-                cuts = np.flatnonzero(np.diff(bucket[pick])) + 1
-                chosen = np.flatnonzero(pick)
-                for b in np.split(chosen, cuts) if len(chosen) else ():
-                    used, d = np.unique(doc[b], return_inverse=True)
-                    body = pack(_gather(raw, lo[b], size[b]).tobytes()) if kind == 0 else b""
-                    out.append((
-                        int(bucket[b[0]]), kind, ah[b].tobytes(), ch[b].tobytes(), lead[b].astype(np.uint16).tobytes(), size[b].astype(np.uint16).tobytes(),
-                        d.astype(np.uint32).tobytes(), (lo[b] - first[doc[b]]).astype(np.uint32).tobytes(), keys[used].tobytes(),
-                        np.full(len(used), part, np.int32).tobytes(), ids[used].tobytes(), body,
-                    ))
+                lead, ah = np.r_[lead, np.full(len(alone), ALONE)], np.r_[ah, window_hash(run, alone, alone + width)]
+            if len(lo):
+                doc = np.searchsorted(first, lo, "right") - 1
+                yield np.array(at)[doc], lo - first[doc], size, lead, ah, window_hash(run, lo, lo + size), _gather(raw, lo, size)
+
+    def run(rows: pa.Table, level: pa.Table) -> pa.Table:
+        got = list(pieces(rows, level))
+        if not got:
+            return _empty(CONTEXT)
+        row, place, size, lead, ah, ch, body = (np.concatenate(x) for x in zip(*got))
+        offset = np.cumsum(size) - size
+        keys = np.array(rows.column("key").to_pylist(), np.int64)
+        ids = np.array([NO_ID if x is None else x for x in rows.column("doc_id").to_pylist()], np.int64)
+        part = rows.column("part")[0].as_py()
+        # Equal contexts in this part: all but those of the smallest document are later copies already.
+        order, head, group = _distinct((size, lead, ch, ah), ids[row])
+        row, place, size, lead, ah, offset = (x[order] for x in (row, place, size, lead, ah, offset))
+        later = ids[row] > ids[row][head][group]
+        bucket = ((ah >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
+        # Their ranges only pass through a bucket, any bucket, on the way back to the part.
+        bucket[later] = part % n_buckets
+        pack, out = zstandard.ZstdCompressor(level=1).compress, []
+        for kind, pick in ((0, ~later), (1, later)):
+            chosen = np.flatnonzero(pick)
+            for b in np.split(chosen, np.flatnonzero(np.diff(bucket[chosen])) + 1) if len(chosen) else ():
+                used, d = np.unique(row[b], return_inverse=True)
+                text = pack(_gather(body, offset[b], size[b]).tobytes()) if kind == 0 else b""
+                out.append((
+                    int(bucket[b[0]]), kind, part, lead[b].astype(np.uint16).tobytes(), size[b].astype(np.uint16).tobytes(),
+                    d.astype(np.uint16 if len(used) < 1 << 16 else np.uint32).tobytes(), (place[b] & 0xFFFF).astype(np.uint16).tobytes(),
+                    (place[b] >> 16).astype(np.uint16).tobytes(), keys[used].tobytes(), ids[used].tobytes(), text,
+                ))
         return _table(out, CONTEXT)
 
     return run
 
 
-def suffix_ranks(text: np.ndarray, width: int) -> np.ndarray:
-    """Rank of the ``width`` bytes from every position on, by prefix doubling; equal strings share a rank.
+def suffix_runs(text: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes at positions ``at`` whose first ``width`` bytes are not unique, in suffix order (equal ones in
+    text order), and the number of the run of equal ones that each belongs to.
 
-    The text must go on for ``width`` bytes after every position of interest.
+    The order is refined by eight bytes at a time; suffixes that no other one equals so far fall out.
     """
-    padded = np.concatenate([text, np.zeros(width + 8, np.uint8)]).astype(np.uint32)
-    # Eight bytes as two halves of four, then doubled until one more step would overshoot.
-    four = padded[:-3] << 24 | padded[1:-2] << 16 | padded[2:-1] << 8 | padded[3:]
-    rank, reach = four.astype(np.uint64), 4
-    while reach < width:
-        step = min(reach, width - reach)
-        pair = rank[: len(rank) - step] << np.uint64(32) | rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.uint64)
-        reach += step
-    return rank[: len(text)]
-
-
-def previous_factors(rank: np.ndarray, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For suffixes at positions ``at`` of documents ``owner`` (ascending with position): does an equal string
-    start in an earlier document?  Suffixes are put in suffix order, equal ones in text order; the earliest
-    match of each is the first of its run, to which the chain of previous smaller positions leads."""
-    order = np.lexsort((at, rank[at]))
-    r, own = rank[at][order], owner[order]
-    new = np.r_[True, r[1:] != r[:-1]]
-    earliest = own[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.empty(len(at), bool)
-    out[order] = earliest < own
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(8, np.uint8)]), 8)
+    some, run = np.arange(len(at)), np.zeros(len(at), np.int64)
+    for k in range(0, width, 8):
+        step = min(k, max(width - 8, 0))
+        word = np.ascontiguousarray(eight[at[some] + step]).view(">u8").ravel().astype(np.uint64)
+        if width < 8:
+            word >>= np.uint64(64 - 8 * width)
+        order = np.lexsort((word, run))
+        some, run, word = some[order], run[order], word[order]
+        new = np.ones(len(run), bool)
+        new[1:] = (run[1:] != run[:-1]) | (word[1:] != word[:-1])
+        run = np.cumsum(new) - 1
+        several = np.bincount(run, minlength=1)[run] > 1
+        some, run = some[several], run[several]
+    return some, run
+
+
+def previous_factors(text: np.ndarray, at: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
+    """For suffixes at ascending positions ``at`` in documents ``owner`` (ascending too): does the longest
+    previous factor from an earlier document reach ``width``?  Among equal suffixes in text order the previous
+    smaller position stands directly before, so following it leads to the first of the run, the earliest."""
+    some, run = suffix_runs(text, at, width)
+    out = np.zeros(len(at), bool)
+    if len(some):
+        head = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+        earliest = np.repeat(owner[some][head], np.diff(np.r_[head, len(run)]))
+        out[some] = earliest < owner[some]
     return out
 
 
-def _judge(width: int):
+def _rivals(ah: np.ndarray, run: np.ndarray, offset: np.ndarray, size: np.ndarray, lead: np.ndarray, width: int, short: int) -> np.ndarray:
+    """Which different contexts may share a string with another one.
+
+    A string is its anchor and ``width - short`` bytes around it, so two contexts that share one agree in
+    half as many bytes to the left of the anchor, or to the right.
+    """
+    half = (width - short) // 2
+    may = np.zeros(len(ah), bool)
+    mid = offset + lead
+    for able, lo, hi in ((lead >= half, mid - half, mid + short), (size - lead - short >= half, mid, mid + short + half)):
+        able = np.flatnonzero(able & (lead != ALONE))
+        if len(able):
+            side = window_hash(run, lo[able], hi[able])
+            _, at, times = np.unique(side, return_inverse=True, return_counts=True)
+            may[able[times[at] > 1]] = True
+    return may
+
+
+def _judge(width: int, short: int):
     def run(table: pa.Table) -> pa.Table:
         """Ranges [place, place + size) to remove, for the contexts of one bucket."""
         unpack = zstandard.ZstdDecompressor().decompress
-        cols: list[list[np.ndarray]] = [[] for _ in range(9)]
+        got: list[tuple[np.ndarray, ...]] = []
         done: list[tuple[np.ndarray, ...]] = []
         bodies: list[np.ndarray] = []
         for r in table.to_pylist():
-            d = np.frombuffer(r["docs"], np.uint32)
-            key, part, ids = (np.frombuffer(r[c], t)[d] for c, t in (("keys", np.int64), ("parts", np.int32), ("ids", np.int64)))
-            place, size = np.frombuffer(r["places"], np.uint32).astype(np.int64), np.frombuffer(r["sizes"], np.uint16).astype(np.int64)
+            size, keys = np.frombuffer(r["sizes"], np.uint16).astype(np.int64), np.frombuffer(r["keys"], np.int64)
+            d = np.frombuffer(r["docs"], np.uint16 if len(keys) < 1 << 16 else np.uint32)
+            place = np.frombuffer(r["places"], np.uint16).astype(np.int64) | np.frombuffer(r["far"], np.uint16).astype(np.int64) << 16
+            part = np.full(len(size), r["part"], np.int32)
             if r["kind"] == 1:
-                done.append((part, key, place, size))
+                done.append((part, keys[d], place, size))
                 continue
-            ah, ch = np.frombuffer(r["anchors"], np.uint64), np.frombuffer(r["hashes"], np.uint64)
-            for c, x in zip(cols, (ah, ch, np.frombuffer(r["leads"], np.uint16), size, ids, part, key, place)):
-                c.append(x)
+            got.append((np.frombuffer(r["leads"], np.uint16).astype(np.int64), size, np.frombuffer(r["ids"], np.int64)[d], part, keys[d], place))
             bodies.append(np.frombuffer(unpack(r["body"]), np.uint8))
-        if bodies:
-            ah, ch, lead, size, ids, part, key, place = (np.concatenate(c) for c in cols[:8])
+        if got:
+            lead, size, ids, part, key, place = (np.concatenate(x) for x in zip(*got))
             body = np.concatenate(bodies)
             offset = np.cumsum(size) - size
-            order = np.lexsort((ids, size, lead, ch, ah))
-            ah, ch, lead, size, ids, part, key, place, offset = (x[order] for x in (ah, ch, lead, size, ids, part, key, place, offset))
-            new = np.r_[True, (ah[1:] != ah[:-1]) | (ch[1:] != ch[:-1]) | (size[1:] != size[:-1]) | (lead[1:] != lead[:-1])]
-            head = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
+            sums = running(random_table(1)[body])
+            ch = window_hash(sums, offset, offset + size)
+            alone = lead == ALONE
+            mid = np.where(alone, offset, offset + lead)
+            # A string that travels alone is told from others by two hashes of all its bytes.
+            ah = window_hash(sums, mid, np.where(alone, offset + size, mid + short))
+            if alone.any():
+                other = running(random_table(1)[body], CHECK_BASE)
+                ah[alone] = window_hash(other, offset[alone], offset[alone] + size[alone], CHECK_BASE)
+            order, head, group = _distinct((size, lead, ch, ah), ids)
+            ah, lead, size, ids, part, key, place, offset = (x[order] for x in (ah, lead, size, ids, part, key, place, offset))
             later = ids > ids[head][group]
             done.append((part[later], key[later], place[later], size[later]))
             # Different contexts of one anchor may still share strings.
-            newa = np.r_[True, ah[head][1:] != ah[head][:-1]]
-            kinds = np.bincount(np.cumsum(newa) - 1)[np.cumsum(newa) - 1]
-            rivals = head[kinds > 1]
+            rivals = head[_rivals(ah[head], sums, offset[head], size[head], lead[head], width, short)]
             rivals = rivals[np.argsort(ids[rivals], kind="stable")]
             if len(rivals):
                 text = _gather(body, offset[rivals], size[rivals])
@@ -214,22 +257,19 @@ def _judge(width: int):
                 count = size[rivals] - width + 1
                 at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
                 which = np.repeat(np.arange(len(rivals)), count)
-                hit = previous_factors(suffix_ranks(text, width), at, ids[rivals][which])
+                hit = previous_factors(text, at, ids[rivals][which], width)
+                a, b = _runs(at[hit], which[hit])
                 at, which = at[hit], which[hit]
-                if len(at):
-                    cut = np.r_[True, (at[1:] != at[:-1] + 1) | (which[1:] != which[:-1])]
-                    a = np.flatnonzero(cut)
-                    b = np.r_[a[1:], len(at)] - 1
+                if len(a):
                     # The range holds for every row of that context and smallest document.
-                    at0, w, n = at[a] - begin[which[a]], which[a], at[b] - at[a] + width
-                    lead_row = rivals[w]
-                    reps = np.bincount(group[~later])[group[lead_row]]
-                    rows = np.repeat(lead_row - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
+                    at0, row, n = at[a] - begin[which[a]], rivals[which[a]], at[b] - at[a] + width
+                    reps = np.bincount(group[~later])[group[row]]
+                    rows = np.repeat(row - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
                     done.append((part[rows], key[rows], place[rows] + np.repeat(at0, reps), np.repeat(n, reps)))
         if not done:
             return _empty(RANGES)
         part, key, place, size = (np.concatenate(x) for x in zip(*done))
-        # A place and a size make one number pair; answers keep them side by side.
+        # Place and size of a range travel as one number.
         return repeats.answers(part, key, place.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64), np.uint64)
 
     return run
@@ -276,7 +316,7 @@ def remove_later_copies(docs: DataFrame, width: int = WIDTH, short: int = SHORT)
     level = level.where(F.col("part") != repeats.HOT_PART)
     texts = repeats.zipped(docs, n_parts)
     # A bucket of contexts holds whole bytes, about eighty for an anchor, but only of repeated ones.
-    wide = 2 * n_buckets
+    wide = 4 * n_buckets
     contexts = texts.groupBy("part").cogroup(level.groupBy("part")).applyInArrow(_contexts(width, short, wide, hot), CONTEXT)
-    ranges = contexts.groupBy("bucket").applyInArrow(_judge(width), RANGES)
+    ranges = contexts.groupBy("bucket").applyInArrow(_judge(width, short), RANGES)
     return texts.groupBy("part").cogroup(ranges.groupBy("part")).applyInArrow(_remover(), OUT)
