@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import decontaminate, fingerprint, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.compare_with_next(read(spark, sf, "documents"))
+
+
 @query("op4_sharding")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     out = sharding.assign(read(spark, sf, "documents"))
