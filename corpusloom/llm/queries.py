@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, fingerprint, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import decontaminate, extract, fingerprint, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_later_copies(read(spark, sf, "documents"))
 
 
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.main_text(read(spark, sf, "pages"))
+
+
 OP7_SQL = r"""
 with recursive t as (
     select coalesce(text, '') as text, min(doc_id) as id, count(*)::bigint as n_copies from documents group by 1
