@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, fingerprint, packing, sharding, similar, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import decontaminate, extract, fingerprint, packing, privacy, sharding, similar, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return packing.best_fit_pack(read(spark, sf, "documents"), tokenizer_path())
+
+
+@query("op10_personal_data")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return privacy.report(read(spark, sf, "documents"))
