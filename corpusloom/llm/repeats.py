@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import mix, powers, running, slices
+from corpusloom.llm.common import ROLL, mix, powers, running, slices
 
 # Text bytes of one part (documents that meet again for the next step) and hashes of one bucket.
 PART_BYTES = 2 << 20
@@ -91,6 +91,12 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return raw, np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
 
 
+def renamed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of anchors spread anew: as the smallest of their windows they crowd at low values, where few
+    buckets would get them all."""
+    return mix(hashes + ROLL)
+
+
 def starts_inside(first: np.ndarray, width: int) -> np.ndarray:
     """Start of every window of ``width`` elements that stays inside its document."""
     count = np.maximum(np.diff(first) - width + 1, 0)

@@ -38,7 +38,7 @@ def _first_level(width: int):
             _, at, hashes, _ = repeats.anchors(words, first, width, _short(width))
             at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
             doc = np.searchsorted(first, at, "right") - 1
-            yield piece, hashes[at] if len(at) else hashes, doc, at - first[doc]
+            yield piece, repeats.renamed(hashes[at]), doc, at - first[doc]
 
     return find
 

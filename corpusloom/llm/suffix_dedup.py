@@ -53,7 +53,7 @@ def _find(width: int, short: int):
             _, at, hashes, _ = repeats.anchors(values[raw], first, width, short)
             at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
             doc = np.searchsorted(first, at, "right") - 1
-            yield piece, hashes[at] if len(at) else hashes, doc, at - first[doc]
+            yield piece, repeats.renamed(hashes[at]), doc, at - first[doc]
 
     return find
 
@@ -116,11 +116,11 @@ def _contexts(width: int, short: int, n_buckets: int, hot: np.ndarray):
                 continue
             live = repeats.alive_at(found, [keys[k] for k in at], first)[anchor]
             starts, anchor = starts[live], anchor[live]
-            common = np.isin(hashes[anchor] >> repeats.FILTER_SHIFT, hot) if len(hot) else np.zeros(len(starts), bool)
+            common = np.isin(repeats.renamed(hashes[anchor]) >> repeats.FILTER_SHIFT, hot) if len(hot) else np.zeros(len(starts), bool)
             alone, starts, anchor = starts[common], starts[~common], anchor[~common]
             begin, end = _runs(starts, anchor)
             lo, size, a = starts[begin], starts[end] - starts[begin] + width, anchor[begin]
-            lead, ah = a - lo, hashes[a]
+            lead, ah = a - lo, repeats.renamed(hashes[a])
             if len(alone):
                 lo, size = np.r_[lo, alone], np.r_[size, np.full(len(alone), width)]
                 lead, ah = np.r_[lead, np.full(len(alone), ALONE)], np.r_[ah, window_hash(run, alone, alone + width)]
@@ -240,7 +240,7 @@ def _judge(width: int, short: int):
             alone = lead == ALONE
             mid = np.where(alone, offset, offset + lead)
             # A string that travels alone is told from others by two hashes of all its bytes.
-            ah = window_hash(sums, mid, np.where(alone, offset + size, mid + short))
+            ah = repeats.renamed(window_hash(sums, mid, np.where(alone, offset + size, mid + short)))
             if alone.any():
                 other = running(random_table(1)[body], CHECK_BASE)
                 ah[alone] = window_hash(other, offset[alone], offset[alone] + size[alone], CHECK_BASE)
