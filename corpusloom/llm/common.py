@@ -33,6 +33,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Ids that may travel to every task.
+MAX_BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is not in ``ids``; rows without a ``doc_id`` stay.
+
+    The list is written and counted: up to MAX_BROADCAST_IDS it travels to the texts, beyond both are shuffled.
+    """
+    ids = materialize(ids.select("doc_id").distinct(), "ids")
+    small = ids.count() <= MAX_BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def text_stats(docs: DataFrame) -> tuple[int, int]:
     """(rows, UTF-8 bytes of all texts); they set the number of parts, never which rows are used."""
     n, b = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import plain_words, running, slices, window_hash
+from corpusloom.llm.common import plain_words, running, slices, window_hash, without
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
@@ -169,11 +169,9 @@ def contaminated(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents, with all their columns, that no item contaminates.
-
-    The documents to drop are few, so the rest is kept by an anti join; rows without a ``doc_id`` stay.
-    """
-    return docs.join(contaminated(docs, items, **options).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The documents, with all their columns, that no item contaminates; rows without a ``doc_id`` stay, and of
+    rows that share one all go if one is contaminated."""
+    return without(docs, contaminated(docs, items, **options))
 
 
 def coverage_by_item(found: DataFrame) -> DataFrame:

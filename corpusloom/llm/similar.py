@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.skew import skew_join
-from corpusloom.llm.common import ROLL, materialize, mix, running, slices, text_stats, utf8, window_hash, word_hashes
+from corpusloom.llm.common import ROLL, materialize, mix, running, slices, text_stats, utf8, window_hash, without, word_hashes
 from corpusloom.llm.repeats import joined, parts_of, starts_inside
 from corpusloom.operators.dedup import connected_components
 
@@ -237,9 +237,12 @@ def similar(
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: that of its smallest ``doc_id``; rows without an id stay."""
-    drop = similar(docs, **options).where("doc_id > class_id").select("doc_id")
-    kept = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    # Repeated rows of the smallest id itself are copies too.
-    some = kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    once = kept.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(some, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    classes = materialize(similar(docs, **options).where("doc_id is not null").select("doc_id", "class_id"), "classes")
+    # Rows that share the smallest id itself are copies too; one of them comes back.
+    again = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    again = materialize(again, "again")
+    kept = without(docs, classes.where("doc_id > class_id").select("doc_id").unionByName(again))
+    if again.isEmpty():
+        return kept
+    once = docs.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.unionByName(once.select(*docs.columns))

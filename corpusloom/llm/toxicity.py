@@ -292,6 +292,18 @@ def judge(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, max_labels
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, max_labels: int = MAX_LABELS) -> DataFrame:
-    """The documents, with all their columns, that score below ``cutoff``; rows without a ``doc_id`` stay."""
-    bad = score(docs, fit(docs, labels, max_labels)).where(F.col("score") >= cutoff).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The documents, with all their columns, that score below ``cutoff``; judged row by row."""
+    model = fit(docs, labels, max_labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = _scanner([model.words])
+        for piece in slices(batches):
+            texts = pa.RecordBatch.from_arrays([pa.nulls(len(piece), pa.int64()), piece.column("text")], names=["doc_id", "text"])
+            stay = []
+            for found in scan([texts]):
+                for n, scores in zip(found.column("n_words").to_pylist(), found.column("scores").to_pylist()):
+                    evidence = sum(math.log1p(math.exp(model.lam * s) / (model.k * max(n, 1))) for s in scores)
+                    stay.append(1 / (1 + math.exp(-(model.intercept + model.slope * evidence))) < cutoff)
+            yield piece.filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
