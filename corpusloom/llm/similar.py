@@ -199,7 +199,13 @@ def similar(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("node"), "text"
     )
     signed = materialize(texts.mapInArrow(_signer(words, trees, d), "doc_id long, node binary, keys array<long>"), "signed")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys"))
+    # ``own`` names a class; rows without an id do not, but may have to lend their text.
+    nodes = signed.groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"),
+        F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("own"),
+        F.count(F.lit(1)).alias("copies"),
+        F.any_value("keys").alias("keys"),
+    )
     nodes = materialize(nodes, "nodes")
     members = nodes.select("node", "doc_id", F.explode("keys").alias("key"))
     # What a trie node holds: how many texts, and a sum that tells equal contents.
@@ -223,11 +229,9 @@ def similar(
     found = materialize(spread.withColumn("task", task).groupBy("task").applyInArrow(lambda t: run(t), schema), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     parents = connected_components(found, "node", "hub")
-    linked = nodes.select("node", "doc_id", "copies").join(links, "node", "left").join(parents, "node", "left")
+    linked = nodes.select("node", "own", "copies").join(links, "node", "left").join(parents, "node", "left")
     linked = linked.withColumn("component", F.coalesce("component", "node"))
-    # The smallest id of a component; rows without an id do not name it.
-    own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    size = linked.groupBy("component").agg(F.min(own).alias("class_id"), F.count(F.lit(1)).alias("members"))
+    size = linked.groupBy("component").agg(F.min("own").alias("class_id"), F.count(F.lit(1)).alias("members"))
     named = skew_join(linked, size, ["component"], "members", ["node"]).select(
         "node", "copies", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
