@@ -74,19 +74,15 @@ def tile(item: list[int], text: list[int], min_match: int) -> list[tuple[int, in
 
     size = max(min_match, min(len(item), len(text)))
     while True:
-        matches = scan(size)
-        blocked = False
-        for n, i, t in matches:
+        for n, i, t in scan(size):
             if any(used_i[i : i + n]) or any(used_t[t : t + n]):
-                blocked = True  # what is left of it may still be long enough: scan again
-                continue
+                break  # what is left of it may be the longest now: scan again
             used_i[i : i + n] = used_t[t : t + n] = b"\x01" * n
             tiles.append((i, t, n))
-        if blocked:
-            continue
-        if size == min_match:
-            return tiles
-        size = max(min_match, size // 2)
+        else:
+            if size == min_match:
+                return tiles
+            size = max(min_match, size // 2)
 
 
 def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:

@@ -35,6 +35,8 @@ from corpusloom.llm.common import materialize, slices
 CONSTANT = 0.9
 MIN_PAGES = 5
 BROADCAST_BYTES = 32 << 20
+# Pages whose constant text is so many times the rest are copies; in a marked article, once is enough.
+COPY_SHARE = 4
 # Children of one node that are aligned; beyond, equal tags are paired in order.
 MAX_CELLS = 40_000
 
@@ -240,7 +242,7 @@ def content(root: Node, template: set[int]) -> str:
             break
     kept, dropped = _texts(regions or [root], template)
     text = _SPACE.sub(" ", kept).strip()
-    if dropped > len(text):
+    if dropped > len(text) * (1 if regions else COPY_SHARE):
         text = _SPACE.sub(" ", _texts(regions or [root], set())[0]).strip()
     return text
 

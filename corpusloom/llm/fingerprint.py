@@ -179,7 +179,7 @@ def _block_starts(docs: DataFrame, block_docs: int) -> tuple[np.ndarray, int | N
     """
     n, top = docs.agg(F.count("doc_id"), F.max("doc_id")).first()
     every = max(block_docs, -(-n // MAX_BLOCKS))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("doc_id").distinct().toPandas()
+    chosen = docs.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)).select("doc_id").distinct().toPandas()
     return np.sort(chosen["doc_id"].to_numpy(np.int64)), top
 
 
