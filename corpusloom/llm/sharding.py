@@ -7,7 +7,7 @@ clockwise, first come first served, to the next point whose shard has room.  Loa
 row at most, and only the overflow moves.
 
 Rows are never compared one by one.  The arcs between points are cut into cells by the hash; a cell with more
-than ``target`` rows, such as a text that a third of all rows share, is salted by ``doc_id``.  Counts per
+than ``target`` rows or a thousandth of all, such as a text that a third of all rows share, is salted by ``doc_id``.  Counts per
 arc (shards * vnodes rows, a fixed number) decide how many rows each arc keeps and which stretches of its
 overflow go where; a row only needs its rank in its arc to find its shard and slot.
 """
@@ -23,7 +23,8 @@ VNODES = 48
 # Bits of the ring; positions fit into a long.
 RING_BITS = 32
 CELL_BITS = 12
-TARGET = 500_000
+# Rows that are ranked by one task: at most TARGET, and one in PARTS of all.
+TARGET, PARTS = 500_000, 1024
 
 
 def ring(docs: DataFrame, shards: int, vnodes: int) -> DataFrame:
@@ -142,8 +143,13 @@ def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, target:
         "arc", "shard", F.coalesce("rows", F.lit(0)).cast("long").alias("rows")
     )
     pieces = _allocate(arcs, shards)
-    # Ranks in an arc: cell after cell, part after part; hot cells have several parts.
-    hot = counts.where(F.col("rows") > target).select("arc", "cell", F.ceil(F.col("rows") / target).cast("int").alias("parts"))
+    # Ranks in an arc: cell after cell, part after part; hot cells have several parts.  There are at most
+    # PARTS hot cells, or one for each ``target`` rows.
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).scalar()
+    limit = F.least(F.lit(target), F.ceil(total / PARTS))
+    hot = counts.withColumn("limit", limit).where("rows > limit").select(
+        "arc", "cell", F.ceil(F.col("rows") / F.col("limit")).cast("int").alias("parts")
+    )
     dealt = placed.join(F.broadcast(hot), ["arc", "cell"], "left").withColumn(
         "part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.coalesce("parts", F.lit(1))).cast("int")
     )
