@@ -100,7 +100,7 @@ def common_counts(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) ->
     out = np.zeros((len(rows), len(cols)), np.float32)
     order = np.argsort(at, kind="stable")
     at, owner = at[order], owner[order]
-    width = 8192
+    width = 2048
     for lo in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(at, [lo, lo + width])
         x = np.zeros((len(sets), width), np.float32)
