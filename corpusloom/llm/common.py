@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text bytes that one slice of an Arrow batch holds at most (a single longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1_000_000
 # Fixed odd multipliers and seeds of the hash functions below.
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
