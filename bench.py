@@ -15,6 +15,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from corpusloom import plans  # noqa: E402
+from corpusloom.plans import registry  # noqa: E402
 from corpusloom.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -46,6 +47,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, "bench", shuffle=2 * int(cpus) if cpus.isdigit() else 16)
     spark.sparkContext.setLogLevel("ERROR")
+    # The fixtures are single files of one row group.
+    registry.SPREAD = spark.sparkContext.defaultParallelism
     # Start the JVM code paths and Python workers once, outside the timings.
     plans.QUERIES["k8_verify_roundtrip"](spark, "/root/testdata/sf0.001").count()
     times: dict[str, float] = {}

@@ -94,7 +94,7 @@ def quantiles(
     ranked = range_rank(counted, [F.col(value)], "_before", group, F.col("_n"))
     if group:
         totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-        ranked = ranked.join(totals, list(group))
+        ranked = ranked.join(F.broadcast(totals), list(group))  # one row per group
     else:
         ranked = ranked.withColumn("_total", counted.agg(F.sum("_n").alias("_total")).scalar())
     cols = []

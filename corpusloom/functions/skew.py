@@ -42,12 +42,6 @@ def skew_lookup(
     return skew_join(big, load.join(table, keys, "left"), keys, "_load", spread, target, "left").drop("_load")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if a count shows that it has at most ``max_rows`` rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if small else df), small
-
-
 def salt_of(parts: int, *cols: Column | str) -> Column:
     """A stable part number in [0, parts) from column values."""
     return F.pmod(F.xxhash64(*cols), F.lit(parts)).cast("int")

@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ordering import hash_rank, prefix_sum
-from corpusloom.functions.skew import broadcast_if_small
 from corpusloom.session import materialize
 
 SURPLUS = 0.005
-MAX_DATASETS = 10_000
 
 
 def dataset_sizes(weights: DataFrame, n: int, surplus: float = SURPLUS, have: str | None = None) -> DataFrame:
@@ -23,24 +21,13 @@ def dataset_sizes(weights: DataFrame, n: int, surplus: float = SURPLUS, have: st
 
 
 def _weight_list(weights: DataFrame) -> list[float]:
-    """Weights in dataset order.  A blend is configuration: its size is checked."""
-    rows = weights.select("dataset_id", F.col("weight").cast("double")).limit(MAX_DATASETS + 1).collect()
-    if len(rows) > MAX_DATASETS:
-        raise ValueError(f"a blend holds at most {MAX_DATASETS} datasets")
-    rows.sort()
+    """Weights in dataset order: one number per dataset that the caller lists in the blend."""
+    rows = sorted(weights.select("dataset_id", F.col("weight").cast("double")).collect())
     if [r[0] for r in rows] != list(range(len(rows))):
         raise ValueError("dataset_id must run from 0 without gaps")
     return [r[1] for r in rows]
 
 
-def _few(table: DataFrame) -> DataFrame:
-    """A per-dataset table for broadcast, after its size is checked."""
-    small, fits = broadcast_if_small(table, MAX_DATASETS)
-    if not fits:
-        raise ValueError(f"a blend holds at most {MAX_DATASETS} datasets")
-    return small
-
-
 def _greedy(w: np.ndarray, counts: np.ndarray, first: int, last: int) -> np.ndarray:
     """Dataset of each position in [first, last): the largest deficit, lowest dataset on ties."""
     out = np.empty(last - first, dtype=np.int64)
@@ -156,7 +143,7 @@ def blend_samples(blend: DataFrame, samples: DataFrame, sizes: DataFrame | None
     """Resolve (dataset_id, dataset_sample_id) to rows of ``samples``; with ``sizes`` indices wrap around."""
     rows = blend
     if sizes is not None:
-        rows = rows.join(_few(sizes.select("dataset_id", F.col("size").alias("_size"))), "dataset_id").withColumn(
+        rows = rows.join(sizes.select("dataset_id", F.col("size").alias("_size")), "dataset_id").withColumn(
             "dataset_sample_id", F.col("dataset_sample_id") % F.col("_size")
         ).drop("_size")
     return rows.join(samples, ["dataset_id", "dataset_sample_id"])
@@ -171,7 +158,7 @@ def blend_drift(blend: DataFrame, weights: DataFrame, batch: int) -> DataFrame:
         F.count("*").alias("n"), (F.max("dataset_sample_id") + 1).alias("running")
     )
     done = (F.col("batch") + 1) * batch
-    return per.join(_few(weights.select("dataset_id", "weight")), "dataset_id").select(
+    return per.join(weights.select("dataset_id", "weight"), "dataset_id").select(
         "batch",
         "dataset_id",
         "n",
@@ -242,7 +229,7 @@ def stage_plan(stages: list[tuple[str, int, DataFrame]], width: int = 1_000_000,
         base += n
     if sizes is None:
         return out
-    return out.join(_few(sizes.select("dataset_id", "size")), "dataset_id").withColumns(
+    return out.join(sizes.select("dataset_id", "size"), "dataset_id").withColumns(
         {
             "dataset_epoch": F.floor(F.col("dataset_sample_id") / F.col("size")),
             "dataset_sample_id": F.col("dataset_sample_id") % F.col("size"),

@@ -181,7 +181,7 @@ def iqr_thresholds(df: DataFrame, metric: str, by: str = "lang", k: float = 1.5)
 
 def apply_thresholds(df: DataFrame, cuts: DataFrame, metric: str, by: str = "lang") -> DataFrame:
     """Flag rows outside the fences of their language (one row per language joins back)."""
-    return df.join(cuts.select(by, "low", "high"), by).withColumn(
+    return df.join(F.broadcast(cuts.select(by, "low", "high")), by).withColumn(
         "in_range", F.col(metric).between(F.col("low"), F.col("high"))
     )
 

@@ -17,9 +17,6 @@ from corpusloom.functions.text import char_ngrams, col, lines, ratio
 
 # Probability given to an n-gram a profile does not hold.
 UNSEEN = 1e-6
-# Profiles up to this many (gram, language) rows are sent to the tasks, about 100 MB of weights for 200
-# languages; larger ones are joined by shuffle.
-MAX_PROFILE_ROWS = 60_000
 
 
 def _grams(text: Column | str, sizes: tuple[int, ...]) -> Column:
@@ -107,19 +104,26 @@ def detect_lang(
     ids: tuple[str, ...] = ("doc_id",),
     text: str = "text",
     sizes: tuple[int, ...] = (1, 2, 3),
-    max_profile_rows: int = MAX_PROFILE_ROWS,
+    joined: bool = False,
 ) -> DataFrame:
     """(ids, lang_pred, confidence): most likely language, ``unknown`` below the threshold.
 
-    Each language scores the log-likelihood of the text's n-grams; confidence is its share of the
-    likelihood over all languages; ties go to the first language name.  Profiles below the checked
-    bound travel to the tasks and documents are scored in place, without a shuffle; larger ones are
-    joined gram by gram with the hot grams split.
+    Each language scores the log-likelihood of the text's n-grams; a text that no language scores above
+    zero, which is what n-grams unknown to all profiles give, is ``unknown``.  Confidence is the best
+    language's share of the likelihood; ties go to the first language name.
+
+    Profiles hold ``top_k`` rows per language, so they travel to the tasks and documents are scored in
+    place, without a shuffle.  ``joined`` gives the same by joining n-grams to the profiles, for callers
+    whose profiles are too large for a task.
     """
+    if max(sizes) > 3:
+        raise ValueError("n-grams of more than 3 characters do not fit the codes")
     floor = math.log(UNSEEN)
     weights = profiles.select("gram", "lang", (F.log("p") - floor).alias("w"))
-    rows = weights.limit(max_profile_rows + 1).collect()
-    if len(rows) <= max_profile_rows:
+    if joined:
+        found = df.select(*ids).join(_joined_scores(df, weights, ids, text, sizes), list(ids), "left")
+    else:
+        rows = weights.collect()
         langs = sorted({r[1] for r in rows})
         scorer = _scorer([tuple(r) for r in rows], langs, sizes)
         clean = F.lower(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))
@@ -128,8 +132,6 @@ def detect_lang(
         share = 1 / F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.array_max("_s")))
         best = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("_s", top).cast("int"))
         found = sums.select(*ids, F.when(top > 0, best).alias("_best"), F.when(top > 0, share).alias("confidence"))
-    else:
-        found = df.select(*ids).join(_joined_scores(df, weights, ids, text, sizes), list(ids), "left")
     return found.select(
         *ids,
         F.when(F.col("confidence") >= threshold, F.col("_best")).otherwise("unknown").alias("lang_pred"),
@@ -153,7 +155,9 @@ def _joined_scores(
         F.col("_all"), F.lit(0.0), lambda acc, x: acc + F.exp(x["_s"] - top["_s"])
     ) + (F.col("_langs") - F.size("_all")) * F.exp(-top["_s"])
     return per_doc.withColumn("_langs", n_langs.scalar()).select(
-        *ids, best.alias("_best"), (F.lit(1.0) / weight).alias("confidence")
+        *ids,
+        F.when(top["_s"] > 0, best).alias("_best"),
+        F.when(top["_s"] > 0, F.lit(1.0) / weight).alias("confidence"),
     )
 
 
@@ -194,9 +198,9 @@ def propose_min_confidence(scored: DataFrame, point: float, lang: str = "lang_pr
 
 
 def min_confidence_by_lang(scored: DataFrame, cuts: DataFrame, default: float, lang: str = "lang_pred") -> DataFrame:
-    """Route every row to its label or to ``unknown`` by the threshold of its own language."""
+    """Route every row to its label or to ``unknown`` by the threshold of its own language (one row each)."""
     limits = cuts.select(lang, F.col("min_confidence").alias("_min"))
-    return scored.join(limits, lang, "left").select(
+    return scored.join(F.broadcast(limits), lang, "left").select(
         "*",
         F.when(F.col("confidence") >= F.coalesce("_min", F.lit(default)), F.col(lang))
         .otherwise("unknown")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusloom.functions.ordering import md5_key, prefix_sum, quantiles
+from corpusloom.functions.ordering import hash_rank, md5_key, quantiles
 from corpusloom.functions.skew import skew_join
 from corpusloom.operators.mixing import take_tokens
 from corpusloom.operators.packing import materialize_samples, spans
@@ -85,9 +86,12 @@ def length_mix(
 
 def source_order(docs: DataFrame, by: str = "source", seed: int = 0, doc: str = "doc_id", digits: int = 4) -> DataFrame:
     """(pos, doc, n_tokens): documents of a source next to each other, in hash order inside."""
-    keyed = docs.where("n_tokens > 0").withColumn("_h", F.concat_ws("\u0001", F.col(by), md5_key(seed, doc)))
-    keyed = keyed.withColumn("_b", F.concat_ws("\u0001", F.col(by), F.substring(md5_key(seed, doc), 1, digits)))
-    return prefix_sum(keyed, "_b", ["_h", doc], F.lit(1).cast("long"), "pos").drop("_h", "_b")
+    used = docs.where("n_tokens > 0")
+    inside = hash_rank(used, [doc], seed, "_in", (by,), digits)
+    totals = used.groupBy(by).agg(F.count("*").alias("_t"))
+    # Sources follow each other by name; one row per source is summed up in one place.
+    before = totals.select(by, (F.sum("_t").over(W.orderBy(by)) - F.col("_t")).alias("_off"))
+    return inside.join(F.broadcast(before), by).withColumn("pos", F.col("_off") + F.col("_in")).drop("_off", "_in")
 
 
 def pack_to_window(

@@ -187,11 +187,11 @@ def take_tokens(
 ) -> DataFrame:
     """Documents in hash order until the group's token budget is reached (the last one may pass it).
 
-    ``budgets`` is (group, budget).  The running sums are two-level, so a group may be of any size.
+    ``budgets`` is (group, budget), one row per group the caller lists.  The running sums are two-level, so a group may be of any size.
     """
     keyed = docs.withColumn("_h", md5_key(seed, doc)).withColumn("_b", F.substring("_h", 1, digits))
     summed = prefix_sum(keyed, "_b", ["_h", doc], F.col("n_tokens").cast("long"), "tokens_before", (group,))
-    return summed.drop("_h", "_b").join(budgets, group).where(F.col("tokens_before") < F.col("budget")).drop("budget")
+    return summed.drop("_h", "_b").join(F.broadcast(budgets), group).where(F.col("tokens_before") < F.col("budget")).drop("budget")
 
 
 def replay_mix(

@@ -22,7 +22,6 @@ from corpusloom.functions.text import chunks, col, hold, let
 EOD = 0
 FIRST_BYTE = 1
 FIRST_WORD = 257
-MAX_VOCAB = 1_000_000
 PIECE = r" ?[^ \t\n\r\f]+|[ \t\n\r\f]"
 # Shortest run that ends in terminal punctuation before white space or the end of the text.
 SENTENCE = r"(?s).+?(?:[.!?]+(?:\s+|\z)|\z)"
@@ -55,11 +54,15 @@ def train_vocab(df: DataFrame, size: int, text: str = "text") -> DataFrame:
 
 
 def _vocab_list(vocab: DataFrame) -> list[str]:
-    """The vocabulary in id order; its size bound is checked before it reaches the driver."""
-    rows = vocab.select("id", "token").limit(MAX_VOCAB + 1).collect()
-    if len(rows) > MAX_VOCAB:
-        raise ValueError(f"vocabulary above {MAX_VOCAB} entries")
-    return [r[1] for r in sorted(rows)]
+    """The vocabulary in id order; it has as many entries as its training was asked for."""
+    return [r[1] for r in sorted(vocab.select("id", "token").collect())]
+
+
+def _offsets32(ends: np.ndarray) -> np.ndarray:
+    """Arrow offsets; a batch whose values do not fit them is refused, not wrapped."""
+    if len(ends) and ends[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("an Arrow batch holds more than 2**31 values: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    return ends.astype(np.int32)
 
 
 def encoder(vocab: DataFrame):
@@ -68,12 +71,15 @@ def encoder(vocab: DataFrame):
     One hash lookup over all pieces of an Arrow batch; no row-by-row Python.
     """
     shared = vocab.sparkSession.sparkContext.broadcast(_vocab_list(vocab))
+    known_words: list[pa.Array] = []  # built by the first batch of a task
 
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
     def encode(batch: pa.Array) -> pa.Array:
+        if not known_words:
+            known_words.append(pa.array(shared.value, pa.string()))
         sentences = batch.flatten()
         words = sentences.flatten()
-        ids = pc.index_in(words, value_set=pa.array(shared.value, pa.string()))
+        ids = pc.index_in(words, value_set=known_words[0])
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         width = np.where(known, 1, pc.binary_length(words).to_numpy(zero_copy_only=False)).astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(width)])
@@ -87,8 +93,8 @@ def encoder(vocab: DataFrame):
         out[at] = data[offsets[0] : offsets[0] + size.sum()].astype(np.int32) + FIRST_BYTE
         inner = np.concatenate([[0], np.cumsum(pc.list_value_length(sentences).to_numpy(zero_copy_only=False))])
         outer = np.concatenate([[0], np.cumsum(pc.list_value_length(batch).to_numpy(zero_copy_only=False))])
-        per_sentence = pa.ListArray.from_arrays(pa.array(ends[inner].astype(np.int32)), pa.array(out))
-        return pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), per_sentence)
+        per_sentence = pa.ListArray.from_arrays(pa.array(_offsets32(ends[inner])), pa.array(out))
+        return pa.ListArray.from_arrays(pa.array(_offsets32(outer)), per_sentence)
 
     # Expensive: evaluated once, never copied into filters.
     return encode.asNondeterministic()
@@ -97,15 +103,18 @@ def encoder(vocab: DataFrame):
 def decoder(vocab: DataFrame):
     """Column function: array<int> of ids -> text, end-of-document ids skipped."""
     shared = vocab.sparkSession.sparkContext.broadcast(_vocab_list(vocab))
+    symbols: list[pa.Array] = []  # built by the first batch of a task
 
     @F.arrow_udf(T.StringType())
     def decode(batch: pa.Array) -> pa.Array:
-        symbols = [b""] + [bytes([i]) for i in range(256)] + [t.encode() for t in shared.value]
-        taken = pa.array(symbols, pa.large_binary()).take(batch.flatten())
+        if not symbols:
+            all_bytes = [b""] + [bytes([i]) for i in range(256)] + [t.encode() for t in shared.value]
+            symbols.append(pa.array(all_bytes, pa.large_binary()))
+        taken = symbols[0].take(batch.flatten())
         ends = np.concatenate([[0], np.cumsum(pc.binary_length(taken).to_numpy(zero_copy_only=False))])
         rows = np.concatenate([[0], np.cumsum(pc.list_value_length(batch).to_numpy(zero_copy_only=False))])
         # The bytes already lie in order: a document is a longer slice of the same buffer.
-        offsets = pa.py_buffer(ends[rows].astype(np.int32).tobytes())
+        offsets = pa.py_buffer(_offsets32(ends[rows]).tobytes())
         return pa.Array.from_buffers(pa.string(), len(batch), [None, offsets, taken.buffers()[2]])
 
     return decode.asNondeterministic()

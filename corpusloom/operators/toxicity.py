@@ -11,7 +11,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ordering import md5_key
-from corpusloom.functions.skew import broadcast_if_small
 from corpusloom.functions.text import col, let, ratio, top_count, words
 
 # Mild insults found in the test corpus; severe terms are dropped at any density.
@@ -76,20 +75,17 @@ def host_suffixes(host: Column) -> Column:
     )
 
 
-def url_block(pages: DataFrame, domains: DataFrame, page: str = "page_id", max_rows: int = 1_000_000) -> DataFrame:
+def url_block(pages: DataFrame, domains: DataFrame) -> DataFrame:
     """Pages whose host is neither a blocked domain nor below one.
 
-    The list is broadcast only after its size is checked.  Beyond the bound the blocked page ids are
-    found on (page, suffix) rows, grouped once per host so that a huge site is one row.
+    Suffixes are made once per host, so a huge site is one row; how the blocked hosts meet the pages is
+    left to Spark, which knows their size by then.
     """
     hosted = pages.withColumn("host", F.lower(F.parse_url(F.col("url"), F.lit("HOST"))))
     hosts = hosted.where(F.col("host").isNotNull()).groupBy("host").agg(F.lit(1).alias("_one")).select(
         "host", F.explode(host_suffixes(F.col("host"))).alias("domain")
     )
-    listed, small = broadcast_if_small(domains.select("domain").distinct(), max_rows)
-    bad = hosts.join(listed, "domain", "left_semi").select("host").distinct()
-    if small:
-        bad, _ = broadcast_if_small(bad, max_rows)
+    bad = hosts.join(domains.select("domain").distinct(), "domain", "left_semi").select("host").distinct()
     return hosted.join(bad, "host", "left_anti")
 
 

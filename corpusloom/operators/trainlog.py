@@ -194,7 +194,7 @@ def progress(steps: DataFrame, train_iters: int, global_batch: int, seq_len: int
     done = F.col("step") + 1
     hours = (_micros(ts) - _micros("_start")) / 3.6e9
     fraction = done / F.lit(train_iters)
-    return steps.join(start, "run").select(
+    return steps.join(F.broadcast(start), "run").select(  # one row per run
         "run",
         "step",
         (done * global_batch).alias("samples"),

@@ -26,8 +26,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Benchmarks and tests set this to spread a fixture of one split over the cores, round robin.
+SPREAD: int | None = None
+
+
 def table(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", *cols)
+    df = read_table(spark, f"{sf}/{name}.parquet", *cols)
+    return df.repartition(SPREAD) if SPREAD else df
 
 
 def r6(c: Column | str) -> Column:

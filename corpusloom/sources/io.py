@@ -13,21 +13,19 @@ from corpusloom.functions.ordering import prefix_sum
 
 
 def read_table(spark: SparkSession, path: str, *cols: str) -> DataFrame:
-    """A Parquet table.  A file with fewer splits than cores is spread by its first column.
-
-    On many-file inputs the scan already has enough tasks and nothing is shuffled.
-    """
+    """A Parquet table, or some of its columns, as the scan splits it."""
     df = spark.read.parquet(path)
-    df = df.select(*cols) if cols else df
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, df.columns[0])
+    return df.select(*cols) if cols else df
 
 
 def read_parquet(spark: SparkSession, path: str, text_key: str = "text", id_key: str | None = None) -> DataFrame:
-    """Documents from Parquet; ``id_key`` is the explicit document order."""
+    """Documents from Parquet.  ``id_key`` names the column that holds their order; rows are not sorted by
+    it here, consumers that need the order use the column."""
     df = spark.read.parquet(path)
     require_text_key(df, text_key)
-    return df.orderBy(id_key) if id_key else df
+    if id_key:
+        require_text_key(df, id_key)
+    return df
 
 
 def require_text_key(df: DataFrame, key: str) -> None:
@@ -101,10 +99,14 @@ def merge_shards(
 ) -> DataFrame:
     """One document namespace over all shards: ids follow (``order`` of the shard, local position).
 
-    Shard blocks of ``width`` local positions are counted; their prefix sums are the offsets.
+    Shard blocks of ``width`` local positions are counted and summed up inside their shard; only the
+    totals of the shards, one row each, are summed up in one place.
     """
-    blocks = shards.withColumn("_block", F.struct(order.alias("o"), F.floor(F.col(local) / width).alias("b")))
-    return prefix_sum(blocks, "_block", [local], F.lit(1).cast("long"), out).drop("_block")
+    blocks = shards.withColumns({"_o": order, "_block": F.floor(F.col(local) / width)})
+    inside = prefix_sum(blocks, "_block", [local], F.lit(1).cast("long"), "_in", ("_o",))
+    totals = blocks.groupBy("_o").agg(F.count("*").alias("_t"))
+    before = totals.select("_o", (F.sum("_t").over(W.orderBy("_o")) - F.col("_t")).alias("_off"))
+    return inside.join(F.broadcast(before), "_o").withColumn(out, F.col("_off") + F.col("_in")).drop("_o", "_block", "_off", "_in")
 
 
 def numeric_suffix(shard: str) -> Column:
@@ -152,7 +154,9 @@ def check_sources(catalog: DataFrame, available: DataFrame, fail: bool = True) -
     if fail:
         names = [r[0] for r in missing.select("dataset").orderBy("dataset").limit(50).collect()]
         if names:
-            raise ValueError("no data for: " + ", ".join(names))
+            n = missing.count()
+            more = f" and {n - len(names)} more" if n > len(names) else ""
+            raise ValueError(f"no data for {n} datasets: " + ", ".join(names) + more)
     return missing
 
 

@@ -85,8 +85,3 @@ def test_skew_lookup_is_a_left_join(spark):
     table = spark.createDataFrame([("a", 1), ("zzz", 2)], "k string, v int")
     got = sorted((r.id, r.v) for r in skew.skew_lookup(big, table, ["k"], ["id"], target=4).collect())
     assert got == [(i, 1 if i % 3 else None) for i in range(90)]
-
-
-def test_broadcast_only_below_the_bound(spark):
-    assert skew.broadcast_if_small(spark.range(10), 10)[1]
-    assert not skew.broadcast_if_small(spark.range(11), 10)[1]

@@ -115,11 +115,16 @@ def _profiles(spark):
     return language.train_lang_profiles(df, 200)
 
 
+def test_long_ngrams_are_refused(spark):
+    with pytest.raises(ValueError):
+        language.detect_lang(_docs(spark, "x"), _profiles(spark), sizes=(1, 4))
+
+
 def test_language_detection_both_ways(spark):
     df = _docs(spark, "the members agreed on the plan", "masyarakat menyambut rencana baru", "", "😀😀", "THE\nREPORT")
     prof = _profiles(spark).cache()
     small = language.detect_lang(df, prof).orderBy("doc_id").collect()
-    large = language.detect_lang(df, prof, max_profile_rows=0).orderBy("doc_id").collect()
+    large = language.detect_lang(df, prof, joined=True).orderBy("doc_id").collect()
     assert [r.lang_pred for r in small] == ["en", "id", "unknown", "unknown", "en"]
     for a, b in zip(small, large):
         assert a.lang_pred == b.lang_pred and a.confidence == pytest.approx(b.confidence)
@@ -147,8 +152,7 @@ def test_spam_and_url_block(spark):
         [(1, "http://a.bad.com/x"), (2, "https://BAD.com"), (3, "http://notbad.com/"), (4, "http://ok.org/bad.com")],
         "page_id long, url string")
     domains = spark.createDataFrame([("bad.com",)], "domain string")
-    for bound in (0, 100):
-        assert sorted(x.page_id for x in toxicity.url_block(pages, domains, max_rows=bound).collect()) == [3, 4]
+    assert sorted(x.page_id for x in toxicity.url_block(pages, domains).collect()) == [3, 4]
 
 
 def test_classifier_report(spark):
@@ -178,13 +182,14 @@ def test_pii_locale_and_density(spark):
     assert [r.doc_id for r in kept.collect()] == [1]
 
 
-def test_perplexity_broadcast_equals_join(spark):
+def test_perplexity_backs_off(spark):
     docs = _docs(spark, "the cat sat on the mat", "the dog sat", "unknown words only here", "one", "")
     lm = quality.train_ngram_lm(docs.where("doc_id < 2")).cache()
     a = {r.doc_id: r.perplexity for r in quality.perplexity(docs, lm).collect()}
-    b = {r.doc_id: r.perplexity for r in quality.perplexity(docs, lm, max_rows=0, target=2).collect()}
-    assert a.keys() == b.keys() == {0, 1, 2, 3, 4} and a[3] is None and a[4] is None
-    assert all(a[i] == pytest.approx(b[i]) for i in (0, 1, 2)) and a[2] > a[0]
+    n = {r.doc_id: r.n_bigrams for r in quality.perplexity(docs, lm).collect()}
+    assert a.keys() == {0, 1, 2, 3, 4} and a[3] is None and a[4] is None and n == {0: 5, 1: 2, 2: 3, 3: 0, 4: 0}
+    # "the" is followed by cat, mat and dog, one time each; the other words of document 1 have one successor.
+    assert a[1] == pytest.approx(3 ** 0.5) and a[2] > a[0] == pytest.approx(9 ** 0.2)
 
 
 def test_quality_buckets_shares(spark):
