@@ -1,8 +1,9 @@
 """Analytics over training logs and metric series.
 
-One run may hold a third of all rows, so nothing is windowed per run as a whole: earlier steps are
-reached by an equi-join on the step number, trailing windows run inside step blocks with an overlap,
-and running totals are two-level prefix sums.
+One run may hold a third of all rows, so nothing is windowed per run as a whole: rows are numbered by
+two-level prefix sums, earlier rows are reached by an equi-join on that number, trailing windows run inside
+blocks of it with an overlap.  "n steps ago" means n rows of the run ago: steps that the log leaves out do
+not count.
 """
 
 from __future__ import annotations
@@ -63,10 +64,17 @@ def step_metric(metrics: DataFrame, expr: Column, name: str, *by: str) -> DataFr
     return metrics.groupBy(*by).agg(expr.alias(name))
 
 
-def at_earlier_step(steps: DataFrame, back: int, *cols: str) -> DataFrame:
-    """Add ``prev_<col>``: the run's values ``back`` steps earlier, by an equi-join (null at the start)."""
-    old = steps.select("run", (F.col("step") + back).alias("step"), *[F.col(c).alias(f"prev_{c}") for c in cols])
-    return steps.join(old, ["run", "step"], "left")
+def numbered(steps: DataFrame, out: str = "_pos", block: int = BLOCK) -> DataFrame:
+    """Add ``out``: the place of a row among its run's rows, by step, from 0."""
+    blocks = steps.withColumn("_bucket", F.floor(F.col("step") / block))
+    return prefix_sum(blocks, "_bucket", ["step"], F.lit(1).cast("long"), out, ("run",)).drop("_bucket")
+
+
+def at_earlier_step(steps: DataFrame, back: int, *cols: str, block: int = BLOCK) -> DataFrame:
+    """Add ``prev_<col>``: the run's values ``back`` rows earlier, by an equi-join (null at the start)."""
+    rows = numbered(steps, "_pos", block)
+    old = rows.select("run", (F.col("_pos") + back).alias("_pos"), *[F.col(c).alias(f"prev_{c}") for c in cols])
+    return rows.join(old, ["run", "_pos"], "left").drop("_pos")
 
 
 def rolling_throughput(
@@ -91,10 +99,10 @@ def rolling_throughput(
     )
 
 
-def _trailing(steps: DataFrame, window: int, aggs: dict[str, Column], block: int = BLOCK) -> DataFrame:
-    """Aggregates over the ``window`` steps before each row of the same run."""
-    spread, part = look_back(steps, F.col("step"), window, block, ["run"])
-    over = W.partitionBy(*part).orderBy("step").rangeBetween(-window, -1)
+def _trailing(steps: DataFrame, window: int, aggs: dict[str, Column], block: int = BLOCK, at: str = "step") -> DataFrame:
+    """Aggregates over the ``window`` values of ``at`` before each row's, in the same run."""
+    spread, part = look_back(steps, F.col(at), window, block, ["run"])
+    over = W.partitionBy(*part).orderBy(at).rangeBetween(-window, -1)
     return spread.withColumns({k: v.over(over) for k, v in aggs.items()}).where("_own").drop("_own", "_block")
 
 
@@ -118,14 +126,20 @@ def validation_by_dataset(metrics: DataFrame) -> DataFrame:
     return per.unionByName(mean.withColumn("dataset", F.lit(None).cast("string")))
 
 
-def domain_collapse(validation: DataFrame, back: int = 1, tolerance: float = 0.0) -> DataFrame:
-    """Datasets that got worse while the aggregate improved, against the evaluation ``back`` steps earlier."""
-    old = validation.select(
-        "run", (F.col("step") + back).alias("step"), F.col("dataset").alias("_d"), F.col("loss").alias("prev_loss")
+def evaluations(validation: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Add ``evaluation``: the number of the run's evaluation, from 0, whatever steps lie between two."""
+    steps = numbered(validation.select("run", "step").distinct(), "evaluation", block)
+    return validation.join(steps, ["run", "step"])
+
+
+def domain_collapse(validation: DataFrame, back: int = 1, tolerance: float = 0.0, block: int = BLOCK) -> DataFrame:
+    """Datasets that got worse while the aggregate improved, against ``back`` evaluations earlier."""
+    rows = evaluations(validation, block)
+    old = rows.select(
+        F.col("run").alias("_r"), (F.col("evaluation") + back).alias("_e"), F.col("dataset").alias("_d"), F.col("loss").alias("prev_loss")
     )
-    now = validation.join(
-        old.withColumnsRenamed({"run": "_r", "step": "_s"}),
-        (F.col("run") == F.col("_r")) & (F.col("step") == F.col("_s")) & F.col("dataset").eqNullSafe(F.col("_d")),
+    now = rows.join(
+        old, (F.col("run") == F.col("_r")) & (F.col("evaluation") == F.col("_e")) & F.col("dataset").eqNullSafe(F.col("_d"))
     ).select("run", "step", "dataset", "loss", (F.col("loss") - F.col("prev_loss")).alias("change"))
     total = now.where("dataset is null").select("run", "step", F.col("change").alias("mean_change"))
     return (
@@ -137,14 +151,14 @@ def domain_collapse(validation: DataFrame, back: int = 1, tolerance: float = 0.0
 
 def stagnating(validation: DataFrame, window: int = 10, min_gain: float = 0.0, block: int = BLOCK) -> DataFrame:
     """Datasets whose loss is no better than the best of the ``window`` evaluations before."""
-    rows = validation.where("dataset is not null")
-    spread, part = look_back(rows, F.col("step"), window, block, ["run", "dataset"])
-    over = W.partitionBy(*part).orderBy("step").rangeBetween(-window, -1)
+    rows = evaluations(validation.where("dataset is not null"), block)
+    spread, part = look_back(rows, F.col("evaluation"), window, block, ["run", "dataset"])
+    over = W.partitionBy(*part).orderBy("evaluation").rangeBetween(-window, -1)
     best = spread.withColumns({"best_before": F.min("loss").over(over), "_seen": F.count("*").over(over)})
     return (
         best.where("_own")
         .where((F.col("_seen") >= window) & (F.col("loss") >= F.col("best_before") - min_gain))
-        .drop("_own", "_block", "_seen")
+        .drop("_own", "_block", "_seen", "evaluation")
     )
 
 
@@ -166,9 +180,10 @@ def capability_drop(scores: DataFrame, points: float = 5.0, window: int = 20_000
 def throughput_drop(
     steps: DataFrame, value: str = "tflops", share: float = 0.30, window: int = 20, block: int = BLOCK
 ) -> DataFrame:
-    """Steps more than ``share`` below the mean of the window before."""
-    rows = _trailing(steps, window, {"trailing_mean": F.avg(value), "_seen": F.count("*")}, block)
-    return rows.where((F.col("_seen") >= window) & (F.col(value) < (1 - share) * F.col("trailing_mean"))).drop("_seen")
+    """Steps more than ``share`` below the mean of the ``window`` rows before."""
+    rows = _trailing(numbered(steps, "_pos", block), window, {"trailing_mean": F.avg(value), "_seen": F.count("*")}, block, "_pos")
+    low = (F.col("_seen") >= window) & (F.col(value) < (1 - share) * F.col("trailing_mean"))
+    return rows.where(low).drop("_seen", "_pos")
 
 
 def stragglers(ranks: DataFrame, factor: float = 1.5) -> DataFrame:
@@ -234,7 +249,7 @@ def grad_health(
 
 def loss_scale_floor(steps: DataFrame, floor: float, block: int = BLOCK) -> DataFrame:
     """Stretches in which the loss scale never rises and that reach the floor: (run, first, last, from, steps)."""
-    rows = at_earlier_step(steps.select("run", "step", "scale"), 1, "scale")
+    rows = at_earlier_step(steps.select("run", "step", "scale"), 1, "scale", block=block)
     rises = F.coalesce(F.col("scale") > F.col("prev_scale"), F.lit(True)).cast("long")
     marked = rows.withColumns({"_r": rises, "_bucket": F.floor(F.col("step") / block)})
     numbered = prefix_sum(marked, "_bucket", ["step"], F.col("_r"), "_before", ("run",))
@@ -252,12 +267,14 @@ def loss_scale_floor(steps: DataFrame, floor: float, block: int = BLOCK) -> Data
 def power_per_iter(steps: DataFrame, interval: int, world: int, ts: str = "ts") -> DataFrame:
     """Joules per iteration and device, and watts per device, from a cumulative energy counter.
 
-    ``steps`` holds (run, step, ts, energy); values appear every ``interval`` steps.
+    ``steps`` holds (run, step, ts, energy); values appear every ``interval`` steps.  The iterations between
+    two values are the difference of their steps, so a value that is missing from the log does no harm.
     """
-    logged = steps.where(F.col("step") % interval == 0)
-    rows = at_earlier_step(logged.select("run", "step", ts, "energy"), interval, ts, "energy")
-    per_iter = (F.col("energy") - F.col("prev_energy")) / interval / world
-    seconds = (_micros(ts) - _micros(f"prev_{ts}")) / 1e6 / interval
+    logged = steps.where(F.col("step") % interval == 0).withColumn("_s", F.col("step"))
+    rows = at_earlier_step(logged.select("run", "step", "_s", ts, "energy"), 1, "_s", ts, "energy")
+    n = F.col("_s") - F.col("prev__s")
+    per_iter = (F.col("energy") - F.col("prev_energy")) / n / world
+    seconds = (_micros(ts) - _micros(f"prev_{ts}")) / 1e6 / n
     return rows.where(F.col("prev_energy").isNotNull()).select(
         "run", "step", per_iter.alias("iter_energy"), F.when(seconds > 0, per_iter / seconds).alias("power")
     )

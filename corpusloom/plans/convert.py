@@ -96,8 +96,9 @@ def _jsonl(spark, sf):
     line = F.to_json(F.struct("doc_id", "lang", text.alias("text")))
     path = stage_path(spark, "jsonl")
     broken = F.when(F.col("doc_id") % 50 == 9, F.concat(F.lit('{"doc_id": '), F.col("text"))).otherwise(line)
-    docs.select(F.concat(F.lit("part-"), "lang").alias("part"), F.regexp_replace(broken, "\n", " ").alias("value")) \
-        .where("value is not null").write.partitionBy("part").text(path)
+    # One file per language in the order of the ids, all with the same name in folders of their own.
+    lines = docs.select(F.concat(F.lit("part-"), "lang").alias("part"), "doc_id", F.regexp_replace(broken, "\n", " ").alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
     return io.read_jsonl(spark, path, DOC_SCHEMA)
 
 
@@ -105,7 +106,8 @@ def _jsonl(spark, sf):
     "s1_read_jsonl",
     """select case when doc_id % 50 = 9 then null else doc_id end as doc_id, lang as part_lang,
               case when doc_id % 50 in (8, 9) then null when doc_id % 50 = 7 then '  ' else text end as text,
-              doc_id % 50 = 9 as corrupt from documents""",
+              doc_id % 50 = 9 as corrupt, dense_rank() over (order by lang)::int as file_index,
+              row_number() over (partition by lang order by doc_id) - 1 as line_no from documents""",
 )
 def s1(spark, sf):
     return _jsonl(spark, sf).select(
@@ -113,6 +115,8 @@ def s1(spark, sf):
         F.regexp_extract("part", "part-(.*)", 1).alias("part_lang"),
         "text",
         F.col("_corrupt_record").isNotNull().alias("corrupt"),
+        "file_index",
+        "line_no",
     )
 
 

@@ -11,6 +11,8 @@ from corpusloom.sources import io
 
 MET = """met as (select event_type as run, event_id // 50 as step, user_id % 4 as rank, 'd' || (user_id % 5) as dataset,
     'layer' || (user_id % 6) as layer, ts, value, (props->>'k')::bigint as k from events)"""
+# Steps that the logs leave out.
+GAPS = "step % 7 <> 3 and step % 23 > 1"
 STEPS = f"{MET}, st as (select run, step, max(ts) as ts, sum(value * k) / sum(k) as loss, sum(k)::bigint as n_tokens, count(*) as n from met group by 1, 2)"
 
 
@@ -30,6 +32,27 @@ def _metrics(spark, sf):
     )
 
 
+LOG = f"""lg as (select *, rank() over (partition by run order by step, k) - 1 as line_no from (
+    select run, step, 0 as k, n_tokens, n from st union all select run, step, 1, n_tokens, n from st where step % 10 = 0))"""
+
+
+def _write_log(st, noise=False):
+    """One plain log file per run, as a launcher leaves it, in a folder named after the run."""
+    n = F.col("n_tokens")
+    seconds = F.concat(F.floor(n / 1000), F.lit("."), F.lpad((n % 1000).cast("string"), 3, "0"))
+    timing = F.concat(
+        F.lit("iteration "), "step", F.lit(" | Step Time : "), seconds, F.lit("s | GPU utilization: "), n, F.lit(".25TFLOP/s/GPU")
+    )
+    memory = F.concat(F.lit("rank 0 | mem-allocated-gigabytes: "), "n", F.lit(".5 GB"))
+    parts = [timing, F.when(F.col("step") % 10 == 0, memory)]
+    if noise:
+        parts += [F.lit(""), F.lit("saving checkpoint"), F.lit("mem-allocated-gigabytes: 1.2.3")]
+    path = stage_path(st.sparkSession, "train-log")
+    lines = st.select(F.col("run").alias("of"), "step", F.posexplode(F.array_compact(F.array(*parts))).alias("k", "value"))
+    lines.repartition("of").sortWithinPartitions("of", "step", "k").select("of", "value").write.partitionBy("of").text(path)
+    return io.read_train_log(st.sparkSession, path, F.regexp_extract("file_path", r"of=([^/]+)/", 1))
+
+
 def _steps(spark, sf):
     return _metrics(spark, sf).groupBy("run", "step").agg(
         F.max("ts").alias("ts"),
@@ -48,37 +71,18 @@ def _steps(spark, sf):
     from st join f using (run) left join m using (run) where step > f group by 1""",
 )
 def a1(spark, sf):
-    # The log is written as text first, one folder per run, and read back.
-    st = _steps(spark, sf)
-    n = F.col("n_tokens")
-    seconds = F.concat(F.floor(n / 1000), F.lit("."), F.lpad((n % 1000).cast("string"), 3, "0"))
-    timing = F.concat(
-        F.col("step") * 2, F.lit(" iteration "), "step", F.lit(" | Step Time : "), seconds,
-        F.lit("s | GPU utilization: "), n, F.lit(".25TFLOP/s/GPU"),
-    )
-    memory = F.concat(F.col("step") * 2 + 1, F.lit(" | mem-allocated-gigabytes: "), "n", F.lit(".5 GB"))
-    lines = F.array_compact(F.array(timing, F.when(F.col("step") % 10 == 0, memory), F.concat(F.col("step") * 2, F.lit(" saving"))))
-    path = stage_path(spark, "train-log")
-    st.select("run", F.explode(lines).alias("value")).write.partitionBy("run").text(path)
-    out = a.step_summary(io.read_train_log(spark, path))
+    # The log is written as text first, one file per run, and read back.
+    out = a.step_summary(_write_log(_steps(spark, sf), noise=True))
     return out.withColumns({"step_time": r6("step_time"), "tflops": r6("tflops")})
 
 
 @query(
     "s10_read_train_log",
-    f"""with {STEPS} select run, 2 * step as line_no, n_tokens / 1000::double as step_time, n_tokens + 0.25::double as tflops, null::double as mem_gb from st
-    union all select run, 2 * step + 1, null, null, n + 0.5::double from st where step % 10 = 0""",
+    f"""with {STEPS}, {LOG} select run, line_no, case when k = 0 then n_tokens / 1000::double end as step_time,
+        case when k = 0 then n_tokens + 0.25::double end as tflops, case when k = 1 then n + 0.5::double end as mem_gb from lg""",
 )
 def s10(spark, sf):
-    st = _steps(spark, sf)
-    n = F.col("n_tokens")
-    seconds = F.concat(F.floor(n / 1000), F.lit("."), F.lpad((n % 1000).cast("string"), 3, "0"))
-    timing = F.concat(F.col("step") * 2, F.lit(" Step Time : "), seconds, F.lit("s, GPU utilization: "), n, F.lit(".25TFLOP"))
-    memory = F.concat(F.col("step") * 2 + 1, F.lit(" mem-allocated-gigabytes: "), "n", F.lit(".5"))
-    path = stage_path(spark, "train-log")
-    lines = F.array_compact(F.array(timing, F.when(F.col("step") % 10 == 0, memory)))
-    st.select("run", F.explode(lines).alias("value")).write.partitionBy("run").text(path)
-    return io.read_train_log(spark, path)
+    return _write_log(_steps(spark, sf))
 
 
 @query("a2_token_weighted_loss", f"with {STEPS} select run, step, round(loss, 6) as loss, n_tokens from st")
@@ -96,15 +100,15 @@ def a2_custom(spark, sf):
 
 @query(
     "a3_rolling_throughput",
-    f"""with {STEPS}, e as (select x.run, x.step, (epoch_us(x.ts) - epoch_us(y.ts)) / 1000000::double as s
-         from st x left join st y on y.run = x.run and y.step = x.step - 20),
+    f"""with {STEPS}, e as (select run, step, (epoch_us(ts) - epoch_us(lag(ts, 20) over (partition by run order by step))) / 1000000::double as s
+         from st where {GAPS}),
     b as (select run, step, case when s > 0 then 20 / s end as b from e)
     select run, step, round(b, 6) as batches_per_sec, round(b * 64, 6) as samples_per_sec, round(b * 64 * 2048, 6) as tokens_per_sec,
            round(b / 8, 6) as device_batches_per_sec, round(b * 64 / 8, 6) as device_samples_per_sec,
            round(b * 64 * 2048 / 8, 6) as device_tokens_per_sec from b""",
 )
 def a3(spark, sf):
-    out = a.rolling_throughput(_steps(spark, sf), 64, 2048, 8)
+    out = a.rolling_throughput(_steps(spark, sf).where(GAPS), 64, 2048, 8)
     return out.select("run", "step", *[r6(c).alias(c) for c in out.columns[2:]])
 
 
@@ -124,12 +128,13 @@ def a4(spark, sf):
     return out.select("run", "step", r6("trailing_max").alias("trailing_max"), "alert")
 
 
-VAL = f"""{MET}, pd as (select run, step, dataset, sum(value * k) / nullif(sum(k), 0) as loss from met group by 1, 2, 3),
+# Evaluations are several steps apart, and some are missing.
+VAL = f"""{MET}, pd as (select run, step, dataset, sum(value * k) / nullif(sum(k), 0) as loss from met where step % 3 = 0 and {GAPS} group by 1, 2, 3),
   val as (select * from pd union all select run, step, null, avg(loss) from pd group by 1, 2)"""
 
 
 def _validation(spark, sf):
-    return a.validation_by_dataset(_metrics(spark, sf))
+    return a.validation_by_dataset(_metrics(spark, sf).where(f"step % 3 = 0 and {GAPS}"))
 
 
 @query("a5_validation_by_dataset", f"with {VAL} select run, step, dataset, round(loss, 9) as loss from val")
@@ -139,8 +144,9 @@ def a5(spark, sf):
 
 @query(
     "a6_domain_collapse",
-    f"""with {VAL}, c as (select x.run, x.step, x.dataset, x.loss, x.loss - y.loss as change from val x join val y
-          on x.run = y.run and x.step = y.step + 1 and x.dataset is not distinct from y.dataset)
+    f"""with {VAL}, ev as (select *, dense_rank() over (partition by run order by step) as e from val),
+    c as (select x.run, x.step, x.dataset, x.loss, x.loss - y.loss as change from ev x join ev y
+          on x.run = y.run and x.e = y.e + 1 and x.dataset is not distinct from y.dataset)
     select c.run, c.step, c.dataset, round(c.loss, 9) as loss, round(c.change, 9) as change, round(t.change, 9) as mean_change
     from c join c t on t.run = c.run and t.step = c.step and t.dataset is null
     where c.dataset is not null and c.change > 0 and t.change < 0""",
@@ -152,8 +158,9 @@ def a6(spark, sf):
 
 @query(
     "a6_stagnating",
-    f"""with {VAL}, w as (select *, min(loss) over z as best_before, count(*) over z as seen from val where dataset is not null
-          window z as (partition by run, dataset order by step range between 8 preceding and 1 preceding))
+    f"""with {VAL}, ev as (select *, dense_rank() over (partition by run order by step) as e from val where dataset is not null),
+    w as (select *, min(loss) over z as best_before, count(*) over z as seen from ev
+          window z as (partition by run, dataset order by e range between 8 preceding and 1 preceding))
     select run, step, dataset, round(loss, 9) as loss, round(best_before, 9) as best_before from w where seen >= 8 and loss >= best_before""",
 )
 def a6_stagnating(spark, sf):
@@ -180,11 +187,11 @@ def a7(spark, sf):
 @query(
     "a8_throughput_drop",
     f"""with {STEPS}, w as (select run, step, n_tokens::double as tflops, avg(n_tokens::double) over z as m, count(*) over z as seen from st
-          window z as (partition by run order by step range between 20 preceding and 1 preceding))
+          where {GAPS} window z as (partition by run order by step rows between 20 preceding and 1 preceding))
     select run, step, tflops, round(m, 6) as trailing_mean from w where seen >= 20 and tflops < (1 - 0.3::double) * m""",
 )
 def a8(spark, sf):
-    steps = _steps(spark, sf).select("run", "step", F.col("n_tokens").cast("double").alias("tflops"))
+    steps = _steps(spark, sf).where(GAPS).select("run", "step", F.col("n_tokens").cast("double").alias("tflops"))
     return a.throughput_drop(steps, block=40).withColumn("trailing_mean", r6("trailing_mean"))
 
 
@@ -229,7 +236,7 @@ def a10(spark, sf):
 
 @query(
     "a11_loss_scale_floor",
-    f"""with {STEPS}, x as (select run, step, pow(2, 16 - step % 17)::double as scale from st),
+    f"""with {STEPS}, x as (select run, step, pow(2, 16 - step % 17)::double as scale from st where {GAPS}),
     r as (select *, coalesce(scale > lag(scale) over (partition by run order by step), true)::int as up from x),
     g as (select *, sum(up) over (partition by run order by step) as i from r)
     select run, min(step) as first_step, max(step) as last_step, max(scale) as from_scale, min(scale) as to_scale, count(*) as n_steps
@@ -237,17 +244,18 @@ def a10(spark, sf):
 )
 def a11(spark, sf):
     scale = F.pow(F.lit(2.0), (16 - F.col("step") % 17).cast("double"))
-    return a.loss_scale_floor(_steps(spark, sf).select("run", "step", scale.alias("scale")), 1.0, block=40)
+    return a.loss_scale_floor(_steps(spark, sf).where(GAPS).select("run", "step", scale.alias("scale")), 1.0, block=40)
 
 
 @query(
     "a12_power_per_iter",
-    f"""with {SEEN}, l as (select run, step, ts, tokens_seen * 3.5::double as e from sn where step % 10 = 0),
-    d as (select x.run, x.step, (x.e - y.e) / 10 / 8 as j, (epoch_us(x.ts) - epoch_us(y.ts)) / 1000000::double / 10 as s
-          from l x join l y on y.run = x.run and y.step = x.step - 10)
+    f"""with {SEEN}, l as (select run, step, ts, tokens_seen * 3.5::double as e from sn where step % 10 = 0 and {GAPS}),
+    p as (select *, step - lag(step) over z as n, e - lag(e) over z as de, epoch_us(ts) - epoch_us(lag(ts) over z) as dt
+          from l window z as (partition by run order by step)),
+    d as (select run, step, de / n / 8 as j, dt / 1000000::double / n as s from p where n is not null)
     select run, step, round(j, 6) as iter_energy, round(case when s > 0 then j / s end, 6) as power from d""",
 )
 def a12(spark, sf):
     seen = a.running_tokens(_steps(spark, sf), block=40)
-    out = a.power_per_iter(seen.withColumn("energy", F.col("tokens_seen") * 3.5), 10, 8)
+    out = a.power_per_iter(seen.where(GAPS).withColumn("energy", F.col("tokens_seen") * 3.5), 10, 8)
     return out.withColumns({"iter_energy": r6("iter_energy"), "power": r6("power")})

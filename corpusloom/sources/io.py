@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -49,25 +51,69 @@ def validate_text_key(df: DataFrame, key: str, corrupt: str = "_corrupt_record")
     )
 
 
+def numbered_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Text lines with ``file_path`` and ``line_no`` (from 0), besides ``value`` and partition columns.
+
+    Rows of a split are numbered as they are scanned; the splits of each file, one row for each, are counted
+    and summed up, and travel back to the lines.  Files of any size are read in parallel.
+    """
+    raw = spark.read.text(paths)
+    raw = raw.select(
+        "*",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_n"),
+    )
+    splits = raw.groupBy("file_path", "_at").agg(F.min("_n").alias("_first"), F.count("*").alias("_rows"))
+    over = W.partitionBy("file_path").orderBy("_at")
+    before = splits.select("file_path", "_at", (F.sum("_rows").over(over) - F.col("_rows") - F.col("_first")).alias("_off"))
+    lines = raw.join(F.broadcast(before), ["file_path", "_at"])  # one row per scan task
+    return lines.withColumn("line_no", F.col("_off") + F.col("_n")).drop("_at", "_n", "_off")
+
+
+def _file_numbers(files: list[str], order: list[str] | None) -> list[tuple[str, int]]:
+    """Numbers from 1: by path, or as listed; a listed name stands for the one path that ends in it."""
+    if order is None:
+        return [(f, i + 1) for i, f in enumerate(sorted(files))]
+    out = []
+    for i, name in enumerate(order):
+        found = [f for f in files if f == name or f.endswith("/" + name.lstrip("/"))]
+        if len(found) != 1:
+            raise ValueError(f"{name!r} stands for {len(found)} of the files read")
+        out.append((found[0], i + 1))
+    return out
+
+
 def read_jsonl(
     spark: SparkSession, paths: list[str] | str, schema: T.StructType, file_order: list[str] | None = None
 ) -> DataFrame:
-    """JSON lines of several files in one scan, with ``file_name``, ``file_index`` and ``_corrupt_record``.
+    """JSON lines of several files in one scan, in the order (``file_index``, ``line_no``).
 
-    Columns missing from a file are null.  Files are numbered in the given order, or by name; the
-    numbering is a join on the (small) list of files, not one read per file.
+    Columns missing from a file are null, broken lines are in ``_corrupt_record``, blank ones are left out
+    (but counted by ``line_no``, which starts at 0).  A file is its whole path; files are numbered by path, or
+    as ``file_order`` lists them, which then also selects them.
     """
+    lines = numbered_lines(spark, paths)
+    files = [(unquote(f), i) for f, i in _file_numbers([unquote(f) for f in lines.inputFiles()], file_order)]
+    numbered = spark.createDataFrame([(_plain(f), i) for f, i in files], "_file string, file_index int")
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(full).option("mode", "PERMISSIVE").json(paths)
-    named = raw.withColumn("file_name", F.element_at(F.split("_metadata.file_path", "/"), -1))
-    if file_order is None:
-        files = named.select("file_name").distinct()
-        numbered = files.select("file_name", F.row_number().over(W.orderBy("file_name")).alias("file_index"))
-    else:
-        numbered = spark.createDataFrame(
-            [(name, i + 1) for i, name in enumerate(file_order)], "file_name string, file_index int"
-        )
-    return named.join(numbered, "file_name")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    plain = F.regexp_replace(F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B"))), "^([a-z]+):/+", "$1:/")
+    rows = lines.where(F.trim("value") != "").withColumn("_file", plain).join(F.broadcast(numbered), "_file")
+    others = [c for c in lines.columns if c not in ("value", "file_path", "line_no")]
+    return rows.select(
+        F.from_json("value", full, options).alias("_r"),
+        *others,
+        "file_path",
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        "file_index",
+        "line_no",
+    ).select("_r.*", *others, "file_path", "file_name", "file_index", "line_no")
+
+
+def _plain(path: str) -> str:
+    """A path with one slash after its scheme, however it is written."""
+    return re.sub("^([a-z]+):/+", r"\1:/", path)
 
 
 def write_jsonl(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -179,6 +225,19 @@ def _pairs(items: list) -> list[tuple[str, float | None]]:
     return [(str(p), None) for p in flat]
 
 
+def _whole_files(spark: SparkSession, path: str) -> list[str]:
+    """The texts of a configuration: one file, or all parts of a folder in the order of their names."""
+    return [r[1] for r in spark.read.text(path, wholetext=True).select("_metadata.file_path", "value").orderBy("file_path").collect()]
+
+
+def _is_json(text: str) -> bool:
+    try:
+        json.loads(text)
+    except ValueError:
+        return False
+    return True
+
+
 def read_blend(
     spark: SparkSession,
     blend: list | str | tuple | None = None,
@@ -194,7 +253,7 @@ def read_blend(
     rows: list[tuple] = []
     if blend is not None:
         if isinstance(blend, str):
-            blend = " ".join(r[0] for r in spark.read.text(blend, wholetext=True).collect()).split()
+            blend = " ".join(_whole_files(spark, blend)).split()
         if isinstance(blend, tuple):
             pairs = list(zip(blend[0], [float(w) for w in blend[1]]))
         else:
@@ -202,7 +261,8 @@ def read_blend(
         rows = [("all", i, p, w) for i, (p, w) in enumerate(pairs)]
     else:
         if isinstance(per_split, str):
-            per_split = json.loads(spark.read.text(per_split, wholetext=True).first()[0])
+            texts = _whole_files(spark, per_split)
+            per_split = {k: v for t in texts for line in ([t] if _is_json(t) else t.splitlines()) if line.strip() for k, v in json.loads(line).items()}
         for split in SPLITS:
             items = per_split.get(split) or []
             items = items.split() if isinstance(items, str) else items
@@ -236,20 +296,14 @@ def explode_blend(blend: DataFrame) -> DataFrame:
     )
 
 
-def read_train_log(spark: SparkSession, path: str) -> DataFrame:
-    """Training log lines with the values they carry.
+def read_train_log(spark: SparkSession, paths: list[str] | str, run: Column | None = None) -> DataFrame:
+    """Training log lines with the values they carry: (run, line_no, step_time, tflops, mem_gb).
 
-    (run, line_no, step_time, tflops, mem_gb): ``run`` is the file, ``line_no`` the number that the
-    log prefixes to each line (``<n> <text>``).
+    A run is a file, named by its whole path or by ``run``, an expression over ``file_path`` and partition
+    columns; ``line_no`` is the line's place in the file.  Lines need no prefix of any kind.
     """
-    raw = spark.read.text(path)
-    return parse_train_log(
-        raw.select(
-            F.regexp_extract("_metadata.file_path", r"run=([^/]+)", 1).alias("run"),
-            F.regexp_extract("value", r"^(\d+) ", 1).cast("long").alias("line_no"),
-            "value",
-        )
-    )
+    lines = numbered_lines(spark, paths)
+    return parse_train_log(lines.select((F.col("file_path") if run is None else run).alias("run"), "line_no", "value"))
 
 
 def parse_train_log(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -257,5 +311,5 @@ def parse_train_log(lines: DataFrame, value: str = "value") -> DataFrame:
     # The three log markers.
     step = r"Step Time : ([0-9.]+)s.*GPU utilization: ([0-9.]+)"
     mem = r"mem-allocated-gigabytes: ([0-9.]+)"
-    get = lambda p, i: F.nullif(F.regexp_extract(value, p, i), F.lit("")).cast("double")
+    get = lambda p, i: F.regexp_extract(value, p, i).try_cast("double")
     return lines.withColumns({"step_time": get(step, 1), "tflops": get(step, 2), "mem_gb": get(mem, 1)}).drop(value)

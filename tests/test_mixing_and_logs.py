@@ -125,13 +125,17 @@ def test_regmix_finds_the_cheap_corner(spark):
 def test_step_summary_drops_the_first_line(spark, tmp_path):
     step = "iter Step Time : {}s | GPU utilization: {}TFLOP/s"
     for run, lines in {
-        "a": ["0 " + step.format(99, 1), "1 mem-allocated-gigabytes: 73.65 x", "2 " + step.format(4.0, 200), "3 noise",
-              "4 " + step.format(4.2, 202), "5 mem-allocated-gigabytes: 80"],
-        "one": ["0 " + step.format(5, 5)], "none": ["0 nothing", "1 to see"],
+        "a": [step.format(99, 1), "mem-allocated-gigabytes: 73.65 x", "", step.format(4.0, 200), "noise: 1.2.3",
+              step.format(4.2, 202), "mem-allocated-gigabytes: 80"],
+        "one": [step.format(5, 5)], "none": ["nothing", "Step Time : s.. GPU utilization: "],
     }.items():
-        (tmp_path / f"run={run}").mkdir()
-        (tmp_path / f"run={run}" / "log.txt").write_text("\n".join(lines))
-    got = {r.run: r for r in a.step_summary(io.read_train_log(spark, str(tmp_path))).collect()}
+        (tmp_path / run).mkdir()
+        (tmp_path / run / "train.log").write_text("\n".join(lines))
+    paths = [str(tmp_path / run) for run in ("a", "one", "none")]
+    rows = io.read_train_log(spark, paths)
+    assert {r.run.split("/")[-2] for r in rows.collect()} == {"a", "one", "none"}
+    assert [r.line_no for r in rows.where("mem_gb > 0").orderBy("line_no").collect()] == [1, 6]
+    got = {r.run.split("/")[-2]: r for r in a.step_summary(rows).collect()}
     assert (got["a"].n_steps, got["a"].mem_gb) == (2, 73.65)
     assert got["a"].step_time == pytest.approx(4.1) and got["a"].tflops == pytest.approx(201)
     assert got["one"].step_time is None and got["none"].n_steps == 0 and got["none"].step_time is None
@@ -156,6 +160,23 @@ def test_throughput_guards(spark):
     assert rows[2].tokens_per_sec == 500 and rows[2].device_tokens_per_sec == 250
 
 
+def test_gaps_in_the_log_do_not_count(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    kept = [s for s in range(0, 60, 2) if s % 10]
+    df = spark.createDataFrame([("r", s, t0 + dt.timedelta(seconds=s)) for s in kept], "run string, step long, ts timestamp")
+    rows = a.rolling_throughput(df, 1, 1, 1, window=3).orderBy("step").collect()
+    want = [None if k < 3 else 3 / (kept[k] - kept[k - 3]) for k in range(len(kept))]
+    assert [r.batches_per_sec for r in rows] == [None if w is None else pytest.approx(w) for w in want]
+    flops = spark.createDataFrame([("r", s, 10.0 if k != 9 else 5.0) for k, s in enumerate(kept)], "run string, step long, tflops double")
+    assert [r.step for r in a.throughput_drop(flops, window=6, block=7).collect()] == [kept[9]]
+    losses = [("r", s, d, x) for s, d, x in [(0, "a", 1.0), (0, "b", 5.0), (100, "a", 1.5), (100, "b", 3.0), (300, "a", 1.4), (300, "b", 3.0)]]
+    val = spark.createDataFrame(losses, "run string, step long, dataset string, loss double")
+    mean = val.groupBy("run", "step").agg(F.avg("loss").alias("loss")).withColumn("dataset", F.lit(None).cast("string"))
+    got = a.domain_collapse(val.unionByName(mean)).collect()
+    assert [(r.step, r.dataset, r.change) for r in got] == [(100, "a", 0.5)]
+    assert [(r.step, r.dataset) for r in a.stagnating(val, 1).orderBy("step").collect()] == [(100, "a"), (300, "b")]
+
+
 def test_alerts(spark):
     xs = [1.0, 2.0, float("nan"), 19.0, 21.0, float("inf"), 1.0, 250.0]
     df = spark.createDataFrame([("r", i, x) for i, x in enumerate(xs)], "run string, step long, loss double")

@@ -89,6 +89,27 @@ def test_jsonl_corrupt_missing_blank(spark, tmp_path):
     assert {r.file_name: r.file_index for r in ordered.collect()} == {"a.jsonl": 2, "b.jsonl": 1}
 
 
+def test_files_are_their_paths_and_lines_keep_their_order(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    for d, n in (("x y", 30_000), ("b", 10)):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "part-0.json").write_text("".join('{"id": %d}\n%s' % (k, "\n" if k == 4 else "") for k in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = io.read_jsonl(spark, [str(tmp_path / "x y"), str(tmp_path / "b")], schema)
+        assert rows.rdd.getNumPartitions() > 4
+        got = sorted((r.file_index, r.line_no, r.id) for r in rows.collect())
+        assert got == [(1, k + (k > 4), k) for k in range(10)] + [(2, k + (k > 4), k) for k in range(30_000)]
+        paths = [str(tmp_path / "x y"), str(tmp_path / "b")]
+        again = io.read_jsonl(spark, paths, schema, file_order=["x y/part-0.json", "b/part-0.json"])
+        assert sorted((r.file_index, r["count"]) for r in again.groupBy("file_index").count().collect()) == [(1, 30_000), (2, 10)]
+        with pytest.raises(ValueError, match="2 of the files"):
+            io.read_jsonl(spark, paths, schema, file_order=["part-0.json"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_merge_index_finds_a_wrong_order(spark):
     rows = [("p10", 0, 5), ("p2", 0, 7), ("p2", 1, 8)]
     shards = spark.createDataFrame(rows, "shard string, local_id long, n_tokens int")
