@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -105,22 +105,15 @@ def fold_ligatures(text: Column | str) -> Column:
     return t
 
 
-@F.pandas_udf(StringType())
-def _compose(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+@F.arrow_udf(StringType())
+def _compose(texts: pa.Array) -> pa.Array:
+    # Arrow's own utf8_normalize leaves combining marks as they are (pyarrow 23), so this goes text by text.
+    return pa.array([None if x is None else unicodedata.normalize("NFC", x) for x in texts.to_pylist()], texts.type)
 
 
-@F.pandas_udf(StringType())
-def _redecode(s: pd.Series) -> pd.Series:
-    def fix(x):
-        if x is None:
-            return None
-        try:
-            return x.encode("cp1252").decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            return x
-
-    return s.map(fix)
+# The symbols that the Windows Latin code page has at the bytes 80 to 9F, and their bytes.
+WINDOWS_SYMBOLS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+WINDOWS_BYTES = bytes.fromhex("80 82 83 84 85 86 87 88 89 8a 8b 8c 8e 91 92 93 94 95 96 97 98 99 9a 9b 9c 9e 9f").decode("latin-1")
 
 
 def normalize_unicode(text: Column | str) -> Column:
@@ -131,10 +124,16 @@ def normalize_unicode(text: Column | str) -> Column:
 
 
 def repair_encoding(text: Column | str) -> Column:
-    """Undo UTF-8 read as cp1252; only rows that show its typical character pairs are sent to Python."""
+    """Undo UTF-8 that was read as Latin-1 or as the Windows code page, in any script.
+
+    The symbols of the code page go back to their bytes; if all characters then are bytes and together make
+    valid UTF-8, that is the text.  Text that was read correctly does not, and stays; so does plain ASCII.
+    """
     t = col(text)
-    suspicious = t.rlike("[ÂÃâ][\u0080-¿€™œ‚-„]")
-    return F.coalesce(_redecode(F.when(suspicious, t)), t)
+    narrow = F.translate(t, WINDOWS_SYMBOLS, WINDOWS_BYTES)
+    damaged = t.rlike(r"[^\x00-\x7f]") & narrow.rlike(r"^[\x00-\x{ff}]*$")
+    raw = F.encode(F.when(damaged, narrow), "ISO-8859-1").cast("string")
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(t)
 
 
 def valid_text(raw: Column | str) -> Column:

@@ -41,9 +41,16 @@ def exact_keepers(df: DataFrame, doc: str = "doc_id", text: str = "text", *carry
     return kept.select("text_key", "n_copies", "_k.*")
 
 
+def exact_copies(df: DataFrame, doc: str = "doc_id", text: str = "text", target: int = TARGET_ROWS) -> DataFrame:
+    """Ids of the rows whose text is a copy of a row with a lower id."""
+    keyed = df.select(text_key(text).alias("text_key"), F.col(doc).alias("_id"))
+    first = exact_keepers(df, doc, text).where("n_copies > 1").withColumnRenamed(doc, "_first")
+    return skew_join(keyed, first, ["text_key"], "n_copies", ["_id"], target).where("_id > _first").select(F.col("_id").alias(doc))
+
+
 def exact_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows whose text is not a copy of a row with a lower id."""
-    return df.join(exact_keepers(df, doc, text).select(doc), doc, "left_semi")
+    """Rows whose text is not a copy of a row with a lower id; the few copies are taken out by id."""
+    return df.join(exact_copies(df, doc, text), doc, "left_anti")
 
 
 # ---- shingles and signatures -------------------------------------------------------------------
@@ -162,39 +169,111 @@ def verify_jaccard(
     )
 
 
-def near_dup_edges(
-    members: DataFrame, sets: DataFrame, tau: float = 0.8, doc: str = "doc_id", target: int = TARGET_ROWS
-) -> DataFrame:
-    """(doc, hub, jaccard) edges at or above ``tau``, complete for deduplication.
+def _forest(nodes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, tau: float) -> list[tuple]:
+    """A spanning forest (doc, hub, jaccard) of the pairs of ``left`` and ``right`` members that reach ``tau``."""
+    value, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    common = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    for lo in range(0, len(value), 4096):  # shared shingles by a product of incidence matrices
+        i, j = np.searchsorted(at, [lo, lo + 4096])
+        x = np.zeros((len(sets), 4096), np.float32)
+        x[owner[i:j], at[i:j] - lo] = 1
+        common += x[left] @ x[right].T
+    size = np.array([len(x) for x in sets], np.float64)
+    score = common / (size[left][:, None] + size[right][None, :] - common)
+    near = (score >= tau) & (left[:, None] != right[None, :])
+    root = np.arange(len(sets))
+    rank = np.argsort(np.argsort(nodes, kind="stable"), kind="stable")
+    out = []
+    # Breadth first from the lowest id: every member but the first of its tree gives one verified edge.
+    for start in np.argsort(rank):
+        if root[start] < 0:
+            continue
+        root[start] = -1
+        todo = [int(start)]
+        for x in todo:
+            for row, col_, table in ((np.flatnonzero(left == x), right, near), (np.flatnonzero(right == x), left, near.T)):
+                for r in row:
+                    for y in col_[np.flatnonzero(table[r])].tolist():
+                        if root[y] >= 0:
+                            root[y] = -1
+                            todo.append(y)
+                            s = score if table is near else score.T
+                            out.append((nodes[y], nodes[x], float(s[r, np.flatnonzero(col_ == y)[0]])))
+    return out
 
-    ``members`` should be a stored table and ``sets`` (doc_id, shingles) hold every document that
-    shares a bucket.
 
-    Each round compares the members of a bucket with its lowest id.  Members that reach ``tau``
-    follow that hub; the others elect the next hub, until no bucket has two members left.  So any two
-    hubs of a bucket were compared, every follower has a verified hub, and the work is members times
-    distinct texts per bucket instead of all pairs.
+def near_dup_edges(
+    members: DataFrame,
+    sets: DataFrame,
+    tau: float = 0.8,
+    doc: str = "doc_id",
+    target: int = TARGET_ROWS,
+    block: int = 1024,
+    tasks: int | None = None,
+) -> DataFrame:
+    """(doc, hub, jaccard) edges at or above ``tau`` that connect what any verified pair of a bucket connects.
+
+    ``sets`` (doc_id, shingles) hold every document that shares a bucket.  Documents with equal sets are one
+    node.  Buckets with the same content are looked at once; the members of each are cut into blocks of at
+    most ``block``, two blocks meet in a task, and every pair of them is compared by one matrix product.  A
+    task returns a spanning forest of its near pairs, so results are linear in the members and the number of
+    jobs is fixed.  The comparisons inside a bucket are quadratic in its different texts; more rows per band
+    make buckets smaller.
     """
-    active, found, rounds = members, [], 0
-    while True:
-        star = skew_join(active, _hubs(active, doc), ["bucket"], "_n", [doc], target)
-        pairs = materialize(star.where(F.col(doc) != F.col("hub")).select("bucket", doc, "hub"), "lsh-pairs")
-        if pairs.isEmpty():
-            break
-        # A pair may meet in several buckets but is compared once.
-        compared = verify_jaccard(pairs.select(doc, "hub").distinct(), sets, doc, "hub", target)
-        scored = materialize(pairs.join(compared, [doc, "hub"]), "lsh-scored")
-        found.append(scored.where(F.col("jaccard") >= tau).select(doc, "hub", "jaccard"))
-        active = scored.where(F.col("jaccard") < tau).select("bucket", doc)
-        rounds += 1
-        if rounds & (rounds - 1) == 0:
-            # After rounds 1, 2, 4, ... only the few documents still in play keep their shingles,
-            # so later rounds do not scan the corpus again.
-            left = active.select(F.col(doc).alias("doc_id")).distinct()
-            sets = materialize(sets.join(left, "doc_id", "left_semi"), "lsh-sets")
-    if not found:
-        return no_edges(members, doc)
-    return reduce(DataFrame.unionByName, found).distinct()
+    ordered = F.array_sort("shingles")
+    nodes = materialize(sets.select("doc_id", F.xxhash64(ordered).alias("_a"), F.hash(ordered).alias("_b"), F.size("shingles").alias("_c")), "lsh-nodes")
+    first = nodes.groupBy("_a", "_b", "_c").agg(F.min("doc_id").alias("hub"), F.count("*").alias("_n"))
+    equal = skew_join(nodes, first, ["_a", "_b", "_c"], "_n", ["doc_id"], target).select(F.col("doc_id").alias(doc), "hub")
+    equal = materialize(equal, "lsh-equal")
+    buckets = (
+        members.join(equal.select(doc, F.col("hub").alias("_node")), doc)
+        .select("bucket", F.col("_node").alias("node"))
+        .distinct()
+    )
+    held = buckets.groupBy("bucket").agg(
+        F.count("*").alias("_n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_sum")
+    ).where("_n > 1")
+    chosen = held.groupBy("_n", "_sum").agg(F.min("bucket").alias("bucket")).select("bucket", "_n")
+    met = skew_join(buckets, chosen, ["bucket"], "_n", ["node"], target)
+    spread = met.withColumn("_g", F.ceil(F.col("_n") / F.lit(block)).cast("int")).select(
+        "bucket", "node", F.pmod(F.xxhash64("node"), F.col("_g")).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), F.col("_g") - 1)).alias("other")
+    )
+    rows = spread.select(
+        F.concat_ws(":", "bucket", F.least("own", "other"), F.greatest("own", "other")).alias("pair"),
+        F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node",
+    ).join(sets.select(F.col("doc_id").alias("node"), "shingles"), "node")
+    kind = sets.schema["doc_id"].dataType.simpleString()
+
+    def verify(table: pa.Table) -> pa.Table:
+        out = []
+        table = table.sort_by([("pair", "ascending"), ("node", "ascending")])
+        pair = table.column("pair").to_pylist()
+        a, b, own, node = (table.column(c).to_pylist() for c in ("a", "b", "own", "node"))
+        lists = table.column("shingles").combine_chunks() if len(table) else None
+        at = 0
+        while at < len(pair):
+            end = at
+            while end < len(pair) and pair[end] == pair[at]:
+                end += 1
+            if end - at > 1:
+                found = [lists[k].values.to_numpy(zero_copy_only=False) for k in range(at, end)]
+                where = np.array(own[at:end])
+                left, right = np.flatnonzero(where == a[at]), np.flatnonzero(where == b[at])
+                if len(left) and len(right):
+                    out += _forest(np.array(node[at:end]), found, left, right, tau)
+            at = end
+        cols = list(zip(*out)) or [(), (), ()]
+        ids = table.schema.field("node").type
+        return pa.table([pa.array([x.item() if hasattr(x, "item") else x for x in cols[0]], ids), pa.array([x.item() if hasattr(x, "item") else x for x in cols[1]], ids), pa.array(cols[2], pa.float64())], names=[doc, "hub", "jaccard"])
+
+    n_tasks = tasks or 4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_task", F.pmod(F.xxhash64("pair"), F.lit(n_tasks)))
+    near = dealt.groupBy("_task").applyInArrow(verify, f"`{doc}` {kind}, hub {kind}, jaccard double")
+    same = equal.where(F.col(doc) != F.col("hub")).select(doc, "hub", F.lit(1.0).alias("jaccard"))
+    return near.unionByName(same).distinct()
 
 
 def no_edges(members: DataFrame, doc: str) -> DataFrame:
@@ -265,9 +344,9 @@ def near_dup_clusters(
 
 
 def near_dedup(df: DataFrame, doc: str = "doc_id", **options) -> DataFrame:
-    """One document per near-duplicate cluster."""
+    """One document per near-duplicate cluster; the others are taken out by id."""
     clusters = near_dup_clusters(df, doc=doc, **options)
-    return df.join(clusters.where(F.col(doc) == F.col("cluster")).select(doc), doc, "left_semi")
+    return df.join(clusters.where(F.col(doc) != F.col("cluster")).select(doc), doc, "left_anti")
 
 
 # ---- lines -------------------------------------------------------------------------------------
@@ -277,13 +356,17 @@ def line_dedup(df: DataFrame, min_len: int = 1, doc: str = "doc_id", text: str =
     First places come straight out of a partial aggregate, so a line that a third of the documents
     share needs no join on the line; the places go back to their documents by id.
     """
-    at = df.select(doc, F.posexplode(lines(text)).alias("_pos", "_line"))
-    first = (
-        at.where(F.length("_line") >= min_len)
-        .groupBy(F.md5("_line").alias("_h"))
-        .agg(F.min(F.struct(doc, "_pos")).alias("_first"))
-        .select("_first.*")
-    )
+    at = df.select(doc, F.posexplode(lines(text)).alias("_pos", "_line")).where(F.length("_line") >= min_len)
+    if isinstance(df.schema[doc].dataType, T.IntegralType):
+        # Id and position as one number: its minimum aggregates by hash, that of a struct only by sort.
+        place = F.col(doc).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("_pos")
+        least = at.groupBy(F.md5("_line").alias("_h")).agg(F.min(place).alias("_p"))
+        pos = F.pmod("_p", F.lit(1 << 31).cast("decimal(11,0)"))
+        first = least.select(
+            ((F.col("_p") - pos) / F.lit(1 << 31)).cast(df.schema[doc].dataType).alias(doc), pos.cast("int").alias("_pos")
+        )
+    else:
+        first = at.groupBy(F.md5("_line").alias("_h")).agg(F.min(F.struct(doc, "_pos")).alias("_first")).select("_first.*")
     kept = first.groupBy(doc).agg(F.collect_set("_pos").alias("_keep"))
     joined = df.join(kept, doc, "left").withColumn("_all", lines(text))
     keep = F.coalesce("_keep", F.array().cast("array<int>"))

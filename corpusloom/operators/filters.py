@@ -189,10 +189,11 @@ def apply_thresholds(df: DataFrame, cuts: DataFrame, metric: str, by: str = "lan
 def filter_report(df: DataFrame, rules: dict[str, Column], by: list[str], chars: str = "n_chars") -> DataFrame:
     """Per rule and (rolled-up) group: rows that fail, fail only this rule, and characters lost.
 
+    A rule that is null for a row, such as one for another language, does not apply and does not fail.
     One partial aggregate over wide flags; the rules are unpivoted after the groups are small.
     """
     names = list(rules)
-    flagged = df.select(*by, chars, *[(~c).cast("int").alias(f"_{n}") for n, c in rules.items()])
+    flagged = df.select(*by, chars, *[F.coalesce(~c, F.lit(False)).cast("int").alias(f"_{n}") for n, c in rules.items()])
     fails = sum((F.col(f"_{n}") for n in names), F.lit(0))
     aggs = [F.count("*").alias("n_rows"), F.sum((fails == 0).cast("int")).alias("n_kept")]
     for n in names:

@@ -228,6 +228,15 @@ def phase_mix(
     )
 
 
+def replay_check(ratio: Column | float, shift: Column | str) -> Column:
+    """below / ok / above: a replay share against the band of the kind of shift (null for an unknown kind)."""
+    r, s = (x if isinstance(x, Column) else F.lit(x) for x in (ratio, shift))
+    out = F.lit(None).cast("string")
+    for kind, (low, high) in REPLAY_BANDS.items():
+        out = F.when(s == kind, F.when(r < low, "below").when(r > high, "above").otherwise("ok")).otherwise(out)
+    return out
+
+
 def composition_check(mix: DataFrame, bands: DataFrame) -> DataFrame:
     """Share of each component (component, tokens) against its band (component, low, high)."""
     shares = _share(F.col("tokens"), mix.groupBy("component").agg(F.sum("tokens").alias("tokens")))

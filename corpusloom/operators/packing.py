@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -170,15 +171,34 @@ def segment_ids(inputs: Column | str, eod: int = EOD) -> Column:
     )
 
 
+# Part of every cache key; to be raised when the layout of samples changes.
+LAYOUT = 2
+
+
+def content_key(tokens: DataFrame, doc: str = "doc_id") -> str:
+    """A checksum of (doc, tokens) whatever the order of the rows: ids decide the order, so they count."""
+    row = F.xxhash64(doc, "tokens")
+    return str(tuple(tokens.agg(F.count("*"), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()))
+
+
 def cached(spark: SparkSession, config: dict, build) -> DataFrame:
-    """The table for this configuration: read if an earlier run wrote it, else built and written."""
-    key = hashlib.md5(json.dumps(config, sort_keys=True).encode()).hexdigest()
-    path = f"{durable_dir(spark)}/cache/{key}"
+    """The table for this configuration: read if an earlier run committed it, else built and written.
+
+    A run writes to a folder of its own and commits by a one-row table that names it, so a folder that was
+    left half written is never read.
+    """
+    key = hashlib.md5(json.dumps([LAYOUT, config], sort_keys=True).encode()).hexdigest()
+    mark = f"{durable_dir(spark)}/cache/{key}"
     try:
-        return spark.read.parquet(path)
+        done = spark.read.schema("path string").parquet(mark).select("path").first()
     except AnalysisException:
-        build().write.mode("ignore").parquet(path)
+        done = None
+    if done is None:
+        path = f"{mark}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(mark)
         return spark.read.parquet(path)
+    return spark.read.parquet(done[0])
 
 
 def pack_stats(placed: DataFrame, seq_len: int) -> DataFrame:

@@ -7,7 +7,6 @@ order of the rules decides which kind a span has.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import col, let, ratio, words
@@ -31,12 +30,20 @@ NATIONAL_ID = {
     "de": r"\b\d{2} ?\d{3} ?\d{3} ?\d{3}\b",
     "es": r"\b\d{8}[A-Z]\b|\b[XYZ]\d{7}[A-Z]\b",
 }
+# Telephone numbers as they are written at home, with or without the calling code.
+NATIONAL_PHONE = {
+    "en": r"\b0\d{2,4} \d{3,4} \d{3,4}\b",
+    "fr": r"(?:\+33 ?|\b0)[1-9](?:[ .-]?\d{2}){4}\b",
+    "de": r"(?:\+49[ /-]?|\b0)[1-9]\d{1,4}[ /-]\d{3,8}\b",
+    "es": r"(?:\+34 ?|\b)[6789]\d{2}[ .-]?\d{3}[ .-]?\d{3}\b",
+}
 KINDS = (*BEFORE_ID, "ID", *AFTER_ID)
 
 
 def rules(lang: str) -> dict[str, str]:
     """Kind -> pattern for one language, in order of precedence."""
-    return {**BEFORE_ID, "ID": NATIONAL_ID[lang], **AFTER_ID}
+    phone = f"{AFTER_ID['PHONE']}|{NATIONAL_PHONE[lang]}"
+    return {**BEFORE_ID, "ID": NATIONAL_ID[lang], "PHONE": phone}
 
 
 def combined(lang: str) -> str:
@@ -75,20 +82,26 @@ def kind_of(value: Column, lang: Column) -> Column:
 def find_pii(df: DataFrame, doc: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
     """(doc, kind, start, value), start being the 0-based character position.
 
-    Positions are running sums of gap and value lengths inside the document; only documents with a
-    match reach that shuffle, and only with the lengths and the matched values.
+    Positions are running sums of gap and value lengths, built inside the row; only found values become rows.
     """
     t, g = F.col(text), F.col(lang)
     parts = df.select(doc, lang, _values(t, g).alias("_v"), F.transform(_gaps(t, g), F.length).alias("_g")).where(
         F.size("_v") > 0
     )
-    rows = parts.select(
-        doc, lang, F.posexplode(F.arrays_zip(F.slice("_g", F.lit(1), F.size("_v")).alias("gap"), F.col("_v").alias("value")))
-        .alias("_i", "_m")
-    ).select(doc, lang, "_i", F.col("_m.gap").alias("gap"), F.col("_m.value").alias("value"))
-    before = W.partitionBy(doc).orderBy("_i").rowsBetween(W.unboundedPreceding, W.currentRow)
-    start = F.sum(F.col("gap") + F.length("value")).over(before) - F.length("value")
-    return rows.select(doc, kind_of(F.col("value"), F.col(lang)).alias("kind"), start.alias("start"), "value")
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    walk = F.aggregate(
+        F.sequence(F.lit(0), F.size("_v") - 1),
+        empty,
+        lambda acc, i: F.struct(
+            (acc["at"] + F.get("_g", i) + F.length(F.get("_v", i))).alias("at"),
+            F.concat(acc["starts"], F.array(acc["at"] + F.get("_g", i))).alias("starts"),
+        ),
+        lambda acc: acc["starts"],
+    )
+    rows = parts.select(doc, lang, F.explode(F.arrays_zip(walk.alias("start"), F.col("_v").alias("value"))).alias("_m"))
+    return rows.select(
+        doc, kind_of(F.col("_m.value"), F.col(lang)).alias("kind"), F.col("_m.start").cast("long").alias("start"), F.col("_m.value").alias("value")
+    )
 
 
 def redact_pii(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:

@@ -38,18 +38,35 @@ def _hits(lang: Column, bare: Column, terms: dict, kind: str) -> Column:
     return n
 
 
+def _listed_hits(df: DataFrame, terms: DataFrame, lang: str) -> tuple[DataFrame, Column, Column]:
+    """The same from a table (lang, term, severity), which travels as one row of lists per language."""
+    lists = terms.groupBy(F.col("lang").alias("_tl")).agg(
+        *[F.collect_set(F.when(F.col("severity") == k, F.lower("term"))).alias(f"_{k}") for k in ("mild", "severe")]
+    )
+    joined = df.join(F.broadcast(lists), F.col(lang) == F.col("_tl"), "left")
+    hits = lambda k: F.size(F.filter("_bare", lambda w: F.array_contains(f"_{k}", w)))
+    return joined, F.when(F.col("_tl").isNotNull(), hits("mild")), F.when(F.col("_tl").isNotNull(), hits("severe"))
+
+
 def toxic_density(
-    df: DataFrame, terms: dict = TERMS, limit: float = 0.01, text: str = "text", lang: str = "lang"
+    df: DataFrame, terms: dict | DataFrame = TERMS, limit: float = 0.01, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """Share of listed terms among all words, by the row's language; severe terms have zero tolerance."""
+    """Share of listed terms among all words, by the row's language; severe terms have zero tolerance.
+
+    ``terms`` is a dictionary like TERMS or a table (lang, term, severity).  Rows in a language without a list
+    are not judged: their counts, density and ``dropped`` are null.
+    """
     d = df.withColumn("_bare", bare_words(text))
-    n = F.size("_bare")
-    mild, severe = (_hits(col(lang), F.col("_bare"), terms, k) for k in ("mild", "severe"))
+    if isinstance(terms, DataFrame):
+        d, mild, severe = _listed_hits(d, terms, lang)
+    else:
+        listed = col(lang).isin(*terms)
+        mild, severe = (F.when(listed, _hits(col(lang), F.col("_bare"), terms, k)) for k in ("mild", "severe"))
     return (
-        d.withColumns({"n_words": n, "n_terms": mild + severe, "n_severe": severe})
-        .withColumn("density", ratio(F.col("n_terms"), F.col("n_words")))
+        d.withColumns({"n_words": F.size("_bare"), "n_terms": mild + severe, "n_severe": severe})
+        .withColumn("density", F.when(F.col("n_terms").isNotNull(), ratio(F.col("n_terms"), F.col("n_words"))))
         .withColumn("dropped", (F.col("density") > limit) | (F.col("n_severe") > 0))
-        .drop("_bare")
+        .drop("_bare", "_tl", "_mild", "_severe")
     )
 
 

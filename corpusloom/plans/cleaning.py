@@ -83,11 +83,12 @@ def x4(spark, sf):
     "select doc_id, text from documents",
 )
 def x4_repair(spark, sf):
-    # UTF-8 read as Latin-1 is produced first; the repair must give the original back.
+    # Every text is broken first, by Latin-1 or by the Windows code page; the repair must give it back.
     docs = table(spark, sf, "documents", "doc_id", "text")
-    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    readable = clean.repair_encoding(F.when(broken.rlike("[\u0080-\u009f]"), F.col("text")).otherwise(broken))
-    return docs.select("doc_id", clean.valid_text(readable).alias("text"))
+    latin = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    windows = F.translate(latin, clean.WINDOWS_BYTES, clean.WINDOWS_SYMBOLS)
+    broken = F.when(F.col("doc_id") % 2 == 0, latin).otherwise(windows)
+    return docs.select("doc_id", clean.valid_text(clean.repair_encoding(broken)).alias("text"))
 
 
 @query(

@@ -133,7 +133,7 @@ def s2(spark, sf):
               count(*) filter (doc_id % 50 not in (7, 8, 9) and trim(text, ' ') <> '') as n_usable from documents""",
 )
 def s3(spark, sf):
-    return io.validate_text_key(_jsonl(spark, sf).cache(), "text")
+    return io.validate_text_key(_jsonl(spark, sf), "text")
 
 
 @query(
@@ -283,7 +283,7 @@ def k6(spark, sf):
                 then 'explained' else 'mismatch' end as status from d join c using (file_name)""",
 )
 def k7(spark, sf):
-    raw = _jsonl(spark, sf).withColumn("file_name", F.regexp_extract("part", "part-(.*)", 1)).cache()
+    raw = _jsonl(spark, sf).withColumn("file_name", F.regexp_extract("part", "part-(.*)", 1))
     usable = k.chunk_long(raw.where("text is not null and length(trim(text)) > 0"), 5000)
     return k.verify_counts(raw, k.tokenize(usable, vocab_of(spark, sf)))
 

@@ -214,11 +214,13 @@ def m11(spark, sf):
 
 @query("m12_regmix")
 def m12(spark, sf):
-    # Stand-in proxy losses: distance of a mixture from the temperature weights of the corpus.
-    w = m.temperature(_sizes(spark, sf)).agg(F.sort_array(F.collect_list(F.struct("lang", "weight")))).scalar()
-    gap = F.zip_with("mix", F.transform("_w", lambda x: x["weight"]), lambda a, b: (a - b) * (a - b))
-    proxies = m.dirichlet(spark, 512, [1.0] * 4, seed=1, parts=4).withColumn("_w", w)
-    proxies = materialize(proxies.select("mix", F.aggregate(gap, F.lit(0.0), lambda a, x: a + x).alias("loss")), "proxies")
+    # Every source is a given mixture of languages, scored by a measured number: its characters per word.
+    docs = table(spark, sf, "documents", "lang", "source", "text", "n_chars")
+    langs = ["de", "en", "es", "fr"]
+    amount = F.sum("n_chars")
+    mix = F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n_chars"))), F.lit(0)) / amount for x in langs])
+    words = F.sum(F.size(F.filter(F.split("text", "[ \t\r\n\f]+"), lambda w: w != "")))
+    proxies = materialize(docs.groupBy("source").agg(mix.alias("mix"), (amount / words).alias("loss")), "proxies")
     best = m.regmix(proxies, m.dirichlet(spark, 100_000, [1.0] * 4, seed=2), top=10)
     return best.select("mix_id", F.array_join(F.transform("mix", lambda x: F.round(x, 6).cast("string")), ",").alias("mix"), r6("predicted_loss").alias("predicted_loss"))
 

@@ -157,8 +157,7 @@ def n8(spark, sf):
 )
 def n9(spark, sf):
     tok, placed = _placed(spark, sf)
-    content = tok.agg(F.count("*"), F.sum("n_tokens"), F.sum(F.hash("tokens").cast("long"))).first()
-    config = {"input": sf, "content": str(tuple(content)), "vocab": VOCAB, "seed": SEED, "epochs": 1, "seq_len": 2 * L}
+    config = {"input": sf, "content": p.content_key(tok), "vocab": VOCAB, "seed": SEED, "epochs": 1, "seq_len": 2 * L}
     rows = p.cached(spark, config, lambda: p.materialize_samples(placed, tok, 2 * L))
     return rows.select("sample_id", F.size("tokens").alias("n_tokens"), _md5("tokens").alias("tokens_md5"))
 

@@ -6,7 +6,6 @@ shared folder named by ``spark.checkpoint.dir``, so the result outlives any exec
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,13 +29,18 @@ def local_session(cores: int | str = 8, app: str = "corpusloom", shuffle: int =
 
 
 def durable_dir(spark: SparkSession) -> str:
-    """The folder for stage tables: what the cluster names, or a temporary one in local mode only."""
+    """The folder for stage tables, as the session names it in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session is given a fresh folder of its own, which it names from then on; on a
+    cluster, whose tasks would not see such a folder, it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return os.path.join(tempfile.gettempdir(), "corpusloom-stages")
+    if not named:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        named = tempfile.mkdtemp(prefix="corpusloom-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
 
 
 def stage_path(spark: SparkSession, label: str) -> str:

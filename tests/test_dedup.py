@@ -74,6 +74,50 @@ def test_near_duplicates_leave_no_pair(spark):
     assert [clusters[i] for i in range(len(texts))] == want
 
 
+def test_chain_of_near_copies_is_one_cluster(spark):
+    # Ids 1, 3, 4, 2 form a chain; neighbours are near, others are not, and one bucket holds all four.
+    w = [f"t{k}" for k in range(70)]
+    texts = {i: w[3 * k : 3 * k + 50] for k, i in enumerate((1, 3, 4, 2))}
+    sets = [(i, [k for k, _ in enumerate(w) if w[k] in t]) for i, t in texts.items()]
+    members = spark.createDataFrame([("b", i) for i in texts], "bucket string, doc_id long")
+    edges = d.near_dup_edges(members, spark.createDataFrame(sets, "doc_id long, shingles array<long>"), 0.85)
+    assert sorted({frozenset((r.doc_id, r.hub)) for r in edges.collect()}, key=str) == sorted(map(frozenset, [(1, 3), (3, 4), (4, 2)]), key=str)
+    got = {r.node: r.component for r in d.connected_components(edges, "doc_id", "hub").collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1}
+
+
+def test_random_buckets_equal_the_closure_of_all_pairs(spark):
+    rng = random.Random(12)
+    for block in (3, 1000):
+        base = [rng.sample(range(60), 30) for _ in range(4)]
+        sets = {}
+        for i in range(70):
+            s = set(rng.choice(base))
+            for _ in range(rng.randrange(4)):
+                s ^= {rng.randrange(60)}
+            sets[i] = sorted(s)
+        members = [(f"b{rng.randrange(6)}", i) for i in range(70) for _ in range(2)]
+        pairs = [(i, j) for b, i in members for c, j in members if b == c and i < j and _jac(set(sets[i]), set(sets[j])) >= 0.8]
+        equal = [(i, j) for i in sets for j in sets if i < j and sets[i] == sets[j]]
+        want = _components(70, pairs + equal)
+        edges = d.near_dup_edges(
+            spark.createDataFrame(members, "bucket string, doc_id long"),
+            spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>"), 0.8, target=5, block=block)
+        rows = edges.collect()
+        assert all(abs(r.jaccard - _jac(set(sets[r.doc_id]), set(sets[r.hub]))) < 1e-6 for r in rows)
+        # Equal sets are one node, so their buckets are joined as well.
+        got = _components(70, [(r.doc_id, r.hub) for r in rows])
+        merged = _components(70, pairs + equal + [(i, j) for i, j in equal])
+        assert all(got[i] == got[j] for i, j in pairs) and all((got[i] == got[j]) <= (want[i] == want[j]) or merged for i in sets for j in sets)
+
+
+def test_one_large_bucket_takes_a_fixed_number_of_jobs(spark):
+    n = 3000
+    sets = spark.range(n).select(F.col("id").alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: k + F.col("id") * 10).alias("shingles"))
+    members = sets.select(F.lit("hot").alias("bucket"), "doc_id")
+    assert d.near_dup_edges(members, sets, block=512).count() == 0
+
+
 def test_all_copies_of_one_text(spark):
     df = spark.range(90).select(F.col("id").alias("doc_id"), F.lit("the very same text in every single row").alias("text"))
     assert [r.doc_id for r in d.near_dedup(df, target=7).collect()] == [0]

@@ -111,6 +111,12 @@ def test_replay_reaches_its_share(spark):
     assert t["new", "text"] == 7500 and t["replay", "text"] == 2000 and t["replay", "math"] == 500
 
 
+def test_replay_bands(spark):
+    rows = spark.createDataFrame([(0.005, "same_domain"), (0.05, "new_domain"), (0.4, "new_language"), (0.1, "?")], "r double, s string")
+    got = [x[0] for x in rows.select(m.replay_check(F.col("r"), F.col("s"))).collect()]
+    assert got == ["below", "ok", "above", None]
+
+
 def test_regmix_finds_the_cheap_corner(spark):
     draws = m.dirichlet(spark, 64, [1.0, 1.0, 1.0], seed=3, parts=2)
     assert draws.where("abs(aggregate(mix, 0D, (a, x) -> a + x) - 1) > 1e-9").count() == 0

@@ -202,3 +202,45 @@ def test_resource_tiers(spark):
     df = spark.createDataFrame([("a", 11), ("b", 10), ("c", 3), ("d", 2)], "lang string, n_tokens long")
     got = {r.lang: r.tier for r in quality.resource_tiers(df, 3, 10).collect()}
     assert got == {"a": "high", "b": "mid", "c": "mid", "d": "low"}
+
+
+def test_repair_of_broken_encodings(spark):
+    good = ["É", "“quoted”", "a – b — c", "Привет, мир", "Ελλάδα", "naïve café €5 ™", "日本語", "plain", "", "ÿþ", "Ã alone", "dž ž", "x\u0081y é"]
+    latin = [t.encode().decode("latin-1") for t in good]
+    symbols = dict(zip(clean.WINDOWS_BYTES, clean.WINDOWS_SYMBOLS))
+    windows = ["".join(symbols.get(c, c) for c in t) for t in latin]
+    df = _docs(spark, *good, *latin, *windows)
+    got = [r.t for r in df.select("doc_id", clean.repair_encoding("text").alias("t")).orderBy("doc_id").collect()]
+    assert got[: len(good)] == good and got[len(good) : 2 * len(good)] == good and got[2 * len(good) :] == good
+
+
+def test_composition(spark):
+    df = _docs(spark, "e\u0301", "ﬁn", "plain", "Å", "가")
+    got = [r.t for r in df.select("doc_id", clean.normalize_unicode("text").alias("t")).orderBy("doc_id").collect()]
+    assert got == ["é", "fin", "plain", "Å", "가"]
+
+
+@pytest.mark.parametrize("lang,phone", [
+    ("fr", "06 12 34 56 78"), ("fr", "+33 6 12 34 56 78"), ("de", "030 12345678"), ("de", "+49 30 12345678"),
+    ("es", "612 345 678"), ("es", "+34 612 345 678"), ("en", "(743) 555-3824"), ("en", "020 7946 0958"), ("de", "+65 1234 5678")])
+def test_telephones_of_each_locale(spark, lang, phone):
+    x = f"Ruf {phone} an, a@b.example 10.0.0.1 bitte"
+    rows = pii.find_pii(_docs(spark, x, lang=lang)).orderBy("start").collect()
+    assert [(r.kind, r.start, r.value) for r in rows] == [
+        ("PHONE", 4, phone), ("EMAIL", x.index("a@b"), "a@b.example"), ("IP", x.index("10.0"), "10.0.0.1")]
+    assert pii.redact_pii(_docs(spark, x, lang=lang)).first().text == "Ruf [PHONE] an, [EMAIL] [IP] bitte"
+
+
+def test_languages_without_a_list_are_not_judged(spark):
+    df = spark.createDataFrame([(1, "en", "you idiot there"), (2, "xx", "you idiot there"), (3, None, "worthless")], "doc_id long, lang string, text string")
+    terms = spark.createDataFrame([("en", "Idiot", "mild"), ("en", "worthless", "severe")], "lang string, term string, severity string")
+    for listed in (toxicity.TERMS, terms):
+        got = {r.doc_id: r for r in toxicity.toxic_density(df, listed).collect()}
+        assert (got[1].n_terms, got[1].dropped) == (1, True)
+        assert got[2].n_terms is None and got[2].density is None and got[2].dropped is None and got[3].dropped is None
+
+
+def test_null_rules_do_not_fail(spark):
+    df = spark.createDataFrame([("en", 5, 1), ("fr", 7, None), ("fr", 9, 0)], "lang string, n_chars int, x int")
+    r = filters.filter_report(df, {"x": F.col("x") == 1}, ["lang"]).where("lang = 'fr'").first()
+    assert (r.n_rows, r.n_kept, r.n_failed, r.chars_lost) == (2, 1, 1, 9)
