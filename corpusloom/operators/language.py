@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,9 +20,46 @@ from corpusloom.functions.text import char_ngrams, col, lines, ratio
 UNSEEN = 1e-6
 
 
+def _clean(text: Column | str) -> Column:
+    return F.lower(F.replace(col(text), F.lit("\n"), F.lit(" ")))
+
+
 def _grams(text: Column | str, sizes: tuple[int, ...]) -> Column:
-    clean = F.lower(F.replace(col(text), F.lit("\n"), F.lit(" ")))
-    return char_ngrams(clean, sizes)
+    return char_ngrams(_clean(text), sizes)
+
+
+def _count_grams(sizes: tuple[int, ...], chars_at_once: int = 1_000_000):
+    """Arrow batches of (lang, text) -> (lang, gram, n), counted once per slice instead of one row per n-gram."""
+
+    def run(batches):
+        for batch in batches:
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            first, size = 0, 0
+            for i, t in enumerate(texts):
+                size += len(t or "")
+                if size < chars_at_once and i < len(texts) - 1:
+                    continue
+                part, names = [t or "" for t in texts[first : i + 1]], langs[first : i + 1]
+                codes_of = {x: k for k, x in enumerate(dict.fromkeys(names))}
+                owner_lang = np.array([codes_of[x] for x in names])
+                chars, owner = _flat(part)
+                out: tuple[list, list, list] = ([], [], [])
+                for n in sizes:
+                    code, row = _codes(chars, owner, n)
+                    for name, k in codes_of.items():
+                        found, times = np.unique(code[owner_lang[row] == k], return_counts=True)
+                        shifts = [21 * (n - 1 - j) for j in range(n)]
+                        points = np.stack([(found >> x) & 0x1FFFFF for x in shifts], 1).astype(np.uint32) - 1
+                        joined = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                        out[0].extend([name] * len(found))
+                        out[1].extend(joined[j : j + n] for j in range(0, len(joined), n))
+                        out[2].extend(times.tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names=["lang", "gram", "n"]
+                )
+                first, size = i + 1, 0
+
+    return run
 
 
 def train_lang_profiles(
@@ -29,12 +67,14 @@ def train_lang_profiles(
 ) -> DataFrame:
     """(lang, gram, n, p, rank): the ``top_k`` most frequent character n-grams of each language.
 
-    The counts are a plain partial aggregate; the rank filter is applied before the shuffle as well as
-    after it, so no task sees more than ``top_k`` rows per language and map task.
+    n-grams are counted in Python, slice by slice, so what is shuffled is one row per n-gram and slice; the
+    rank filter is applied before the shuffle as well as after it, so no task sees more than ``top_k`` rows per
+    language and map task.
     """
-    counts = (
-        df.select(lang, F.explode(_grams(text, sizes)).alias("gram")).groupBy(lang, "gram").agg(F.count("*").alias("n"))
-    )
+    if max(sizes) > 3:
+        raise ValueError("n-grams of more than 3 characters do not fit the codes")
+    rows = df.select(F.col(lang).alias("lang"), _clean(text).alias("text")).mapInArrow(_count_grams(sizes), "lang string, gram string, n long")
+    counts = rows.withColumnRenamed("lang", lang).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("_total"))
     ranked = counts.withColumn(
         "rank", F.row_number().over(W.partitionBy(lang).orderBy(F.col("n").desc(), F.col("gram")))
@@ -78,8 +118,9 @@ def _scorer(profiles: list, langs: list[str], sizes: tuple[int, ...], chars_at_o
             code, row = _codes(chars, owner, n)
             at = np.minimum(np.searchsorted(known, code), len(known) - 1)
             hit = known[at] == code
-            pair, count = np.unique(row[hit] * len(known) + at[hit], return_counts=True)
-            np.add.at(out, pair // len(known), weight[pair % len(known)] * count[:, None])
+            row, at = row[hit], at[hit]
+            for k in range(len(langs)):
+                out[:, k] += np.bincount(row, weights=weight[at, k], minlength=len(texts))
         return out
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -126,8 +167,7 @@ def detect_lang(
         rows = weights.collect()
         langs = sorted({r[1] for r in rows})
         scorer = _scorer([tuple(r) for r in rows], langs, sizes)
-        clean = F.lower(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))
-        sums = df.select(*ids, scorer(clean).alias("_s"))
+        sums = df.select(*ids, scorer(_clean(text)).alias("_s"))
         top = F.array_max("_s")
         share = 1 / F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.array_max("_s")))
         best = F.element_at(F.array(*[F.lit(x) for x in langs]), F.array_position("_s", top).cast("int"))
@@ -178,14 +218,11 @@ def paragraph_lang(
     paras = df.select(doc, target.alias("_target"), F.posexplode(lines(text)).alias("para_no", "para")).where(
         F.length(F.trim("para")) > 0
     )
-    labels = detect_lang(paras, profiles, ids=(doc, "para_no"), text="para")
+    # Paragraph and target go through the scorer with the text, so nothing is joined back.
+    labels = detect_lang(paras, profiles, ids=(doc, "para_no", "_target"), text="para")
     hit = (F.col("lang_pred") == F.col("_target")).cast("double")
     near = W.partitionBy(doc).orderBy("para_no").rowsBetween(-window, window)
-    smooth = (
-        paras.select(doc, "para_no", "_target")
-        .join(labels, [doc, "para_no"])
-        .withColumn("_in", (F.avg(hit).over(near) > 0.5).cast("int"))
-    )
+    smooth = labels.withColumn("_in", (F.avg(hit).over(near) > 0.5).cast("int"))
     share = ratio(F.sum("_in"), F.count("*"))
     return smooth.groupBy(doc).agg(
         F.count("*").alias("n_paragraphs"), share.alias("target_share"), (share >= frac).alias("keep")

@@ -125,12 +125,16 @@ def m3(spark, sf):
     return out.withColumns({"weight": r9("weight"), "epochs": r6("epochs")})
 
 
-@query("m4_language_shares", f"with {STEP1} select lang, round(share, 9) as share from st1")
+@query(
+    "m4_language_shares",
+    """with r as (select lang, case when lang = 'es' then 0 else sqrt(count(*)) end as ratio from documents group by 1)
+    select lang, round(ratio / sum(ratio) over (), 9) as share from r where ratio > 0""",
+)
 def m4(spark, sf):
-    # Only languages that the catalog or the ratio table names take part.
-    return m.language_shares(_pairs(spark, RATIOS, "ratio")).join(
-        _catalog(spark, sf).select("lang").distinct(), "lang", "left_semi"
-    ).withColumn("share", r9("share"))
+    # Ratios by the square root of the documents of a language; one language is switched off.
+    n = table(spark, sf, "documents", "lang").groupBy("lang").agg(F.sqrt(F.count("*")).alias("ratio"))
+    ratios = n.withColumn("ratio", F.when(F.col("lang") == "es", 0.0).otherwise(F.col("ratio")))
+    return m.language_shares(ratios).withColumn("share", r9("share"))
 
 
 @query("m5_quality_shares", f"with {STEP2} select lang, quality, round(share, 9) as share from st2")
