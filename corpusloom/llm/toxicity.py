@@ -2,13 +2,14 @@
 
 A word's score is the log of its odds between toxic and clean training documents.  The counts (documents that
 contain the word) have a Dirichlet prior in proportion to the word's count in the whole corpus, and the log-odds
-are drawn towards zero by ``SHRINK`` standard errors and lowered by ``DRIFT``, so that ordinary words score
-below zero.  One linear scan over a text finds all its maximal scoring segments.  How often clean text holds a
+are drawn towards zero by ``SHRINK`` standard errors and lowered by a drift, so that ordinary words score
+below zero.  Of ``DRIFTS`` the one is taken whose scores tell the training documents apart best.  One linear scan over a text finds all its maximal scoring segments.  How often clean text holds a
 segment of score S by chance, K * n * exp(-lambda * S) times in n words, is fitted to clean training documents;
 a document's evidence is the sum of log(1 + 1 / expected) over its segments, and a logistic curve through the
 training documents makes it a probability.
 
-Models for the fit are crossed: a training document is scored by a model of the other fold.  Only labelled
+Models for the fit are crossed: a training document is scored by a model of the other fold.  Copies of one text
+count once.  Only labelled
 rows whose crc32 remainder is not ``HELD_OUT`` are learned from, about ``max_labels`` of them at most (chosen by
 hash); word counts of the prior cover all documents.  Candidate words are those in at least ``MIN_DOCS`` toxic
 training documents and in one of 2**20 of all their words, so at most 2**20 words travel to the tasks.
@@ -31,7 +32,8 @@ FOLDS, HELD_OUT = 3, 1
 MAX_LABELS = 200_000
 MIN_DOCS = 3
 MAX_WORDS = 1 << 20
-SHRINK, DRIFT, TOP = 1.64, 1.0, 6.0
+SHRINK, TOP = 1.64, 8.0
+DRIFTS = (1.0, 1.5, 2.0, 2.5)
 # The prior weighs this share of the training words.
 PRIOR = 0.1
 CUTOFF = 0.7
@@ -39,30 +41,31 @@ CUTOFF = 0.7
 
 @dataclass(frozen=True)
 class Words:
-    """Scores of the words that score above zero; all others score -DRIFT."""
+    """Log-odds, drawn towards zero, of the words whose log-odds exceed the smallest drift."""
 
     hashes: np.ndarray
-    scores: np.ndarray
+    odds: np.ndarray
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of known words in an array of hashes, and their scores."""
+        """Places of known words in an array of hashes, and their log-odds."""
         if not len(self.hashes):
             return np.empty(0, np.int64), np.empty(0)
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
         hit = np.flatnonzero(self.hashes[at] == words)
-        return hit, self.scores[at[hit]]
+        return hit, self.odds[at[hit]]
 
 
 @dataclass(frozen=True)
 class Model:
     words: Words
+    drift: float
     k: float
     lam: float
     intercept: float
     slope: float
 
 
-def segments(places: list[int], scores: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
+def segments(places: list[int], scores: list[float], drift: float = DRIFTS[0]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score) of a text in which the words at ``places``
     have the given positive ``scores`` and every other word scores ``-drift``.
 
@@ -93,14 +96,19 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
 
-def training_labels(labels: DataFrame, max_labels: int) -> DataFrame:
-    """(doc_id, toxic, fold) of the rows that may be learned from; about ``max_labels`` rows at most."""
+def training_labels(docs: DataFrame, labels: DataFrame, max_labels: int) -> DataFrame:
+    """(doc_id, toxic, fold) of the rows that may be learned from; about ``max_labels`` rows at most, and one
+    for documents with the same text."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
     rows = rows.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     n = rows.count()
     if n > max_labels:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_labels / n))
-    return rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    once = docs.join(F.broadcast(rows), "doc_id").groupBy(text.alias("_t")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    rows = rows.join(once, "doc_id", "left_semi")
+    # Texts of one fold are never split from their copies, of which only one is left.
+    return materialize(rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")), "labels")
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,39 +168,66 @@ def _words_model(counts: np.ndarray, hashes: np.ndarray, all_words: np.ndarray,
     n_t, n_c = float(all_words[toxic].sum()), float(all_words[clean].sum())
     weight = max(PRIOR * (n_t + n_c), 1.0)
     prior = weight * counts[:, 0] / max(float(all_words[0]), 1.0) + 1e-6
-    score = log_odds(counts[:, toxic].sum(1), counts[:, clean].sum(1), prior, n_t, n_c, weight) - DRIFT
-    keep = score > 0
-    return Words(hashes[keep], np.minimum(score[keep], TOP))
+    odds = log_odds(counts[:, toxic].sum(1), counts[:, clean].sum(1), prior, n_t, n_c, weight)
+    keep = odds > DRIFTS[0]
+    return Words(hashes[keep], np.minimum(odds[keep], TOP))
 
 
-SCANNED = "doc_id long, n_words long, toxic int, scores array<double>, firsts array<int>, lasts array<int>"
+MATCHED = "n_words long, toxic int, places array<int>, odds array<double>"
+SCANNED = "doc_id long, n_words long, scores array<double>, firsts array<int>, lasts array<int>"
 
 
-def _scanner(models: list[Words]):
-    """Segments of every text; with two models a document of fold f is read by the model of the other."""
+def _matches(piece: pa.RecordBatch, models: list[Words], folds: list[int]) -> tuple[np.ndarray, list[tuple[list, list]]]:
+    """Words per text, and the known words of each (places, log-odds); with two models a text of fold f is read
+    by the model of the other."""
+    words, first = plain_words(piece.column("text"))
+    found: list[tuple[list, list]] = [([], [])] * len(piece)
+    for f, model in enumerate(models):
+        hit, odds = model.find(words)
+        doc = np.searchsorted(first, hit, "right") - 1
+        for a, b in zip(*_stretches(doc)):
+            d = int(doc[a])
+            if len(models) == 1 or folds[d] != f:
+                found[d] = (hit[a:b] - first[d]).tolist(), odds[a:b].tolist()
+    return np.diff(first), found
 
+
+def _parts(places: list[int], odds: list[float], drift: float) -> list[tuple[int, int, float]]:
+    """The segments of a text at a drift, from its known words."""
+    kept = [(p, o - drift) for p, o in zip(places, odds) if o > drift]
+    return segments([p for p, _ in kept], [s for _, s in kept], drift)
+
+
+def _matcher(models: list[Words]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            words, first = plain_words(piece.column("text"))
-            folds = piece.column("fold").to_pylist() if len(models) > 1 else [0] * len(piece)
-            found: list[list[tuple[int, int, float]]] = [[] for _ in range(len(piece))]
-            for f, model in enumerate(models):
-                hit, score = model.find(words)
-                doc = np.searchsorted(first, hit, "right") - 1
-                for a, b in zip(*_stretches(doc)):
-                    d = int(doc[a])
-                    if len(models) == 1 or folds[d] != f:
-                        found[d] = segments((hit[a:b] - first[d]).tolist(), score[a:b].tolist())
-            toxic = piece.column("toxic") if "toxic" in piece.schema.names else pa.nulls(len(piece), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column("doc_id"), pa.array(np.diff(first)), toxic,
-                    pa.array([[s for _, _, s in x] for x in found], pa.list_(pa.float64())),
-                    pa.array([[a for a, _, _ in x] for x in found], pa.list_(pa.int32())),
-                    pa.array([[b for _, b, _ in x] for x in found], pa.list_(pa.int32())),
-                ],
-                names=[c.split()[0] for c in SCANNED.split(", ")],
-            )
+            size, found = _matches(piece, models, piece.column("fold").to_pylist())
+            cols = [pa.array([x[k] for x in found], pa.list_(t)) for k, t in ((0, pa.int32()), (1, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(size), piece.column("toxic"), *cols], names=["n_words", "toxic", "places", "odds"])
+
+    return run
+
+
+def _rescored(drift: float):
+    """Scores of the segments of matched texts at a drift."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores = [[s for *_, s in _parts(p, o, drift)] for p, o in zip(b.column("places").to_pylist(), b.column("odds").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("n_words"), b.column("toxic"), pa.array(scores, pa.list_(pa.float64()))], names=["n_words", "toxic", "scores"])
+
+    return run
+
+
+def _scanner(words: Words, drift: float):
+    """Segments of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            size, matched = _matches(piece, [words], [])
+            found = [_parts(p, o, drift) for p, o in matched]
+            cols = [pa.array([[x[k] for x in f] for f in found], pa.list_(t)) for k, t in ((2, pa.float64()), (0, pa.int32()), (1, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(size), *cols], names=[c.split()[0] for c in SCANNED.split(", ")])
 
     return run
 
@@ -237,8 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
 
     Without labels of both kinds no word scores above zero and every document gets the same probability.
     """
-    known = F.broadcast(training_labels(labels, max_labels))
     texts = docs.select("doc_id", "text")
+    known = F.broadcast(training_labels(texts, labels, max_labels))
     toxic_words = texts.join(known.where("toxic = 1"), "doc_id").select("text").mapInArrow(_distinct_words, "word long, docs long")
     toxic_words = materialize(toxic_words.groupBy("word").agg(F.sum("docs").alias("docs")), "toxic-words")
     least = max(MIN_DOCS, math.ceil((toxic_words.agg(F.sum("docs")).first()[0] or 0) / MAX_WORDS))
@@ -256,17 +291,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
     hashes, counts = hashes[~total], counts[~total]
     crossed = [_words_model(counts, hashes, all_words, [1 + f], [3 + f]) for f in (0, 1)]
     words = _words_model(counts, hashes, all_words, [1, 2], [3, 4])
-    rows = materialize(texts.join(known, "doc_id").mapInArrow(_scanner(crossed), SCANNED), "scanned")
-    clean = rows.where("toxic = 0").agg(
-        F.sum("n_words"), F.sum(F.size("scores")), F.sum(F.aggregate("scores", F.lit(0.0), lambda a, s: a + s))
-    ).first()
-    n_words, n_found, score = (float(x or 0) for x in clean)
-    # One imaginary segment of score 1 stands for what theory says of log-odds: lambda is 1.
-    lam, k = (n_found + 1) / (score + 1), (n_found + 0.5) / max(n_words, 1.0)
-    x = F.round(F.least(_evidence(k, lam), F.lit(100.0)), 1).alias("x")
-    bins = rows.select(x, "toxic").groupBy("x").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).toPandas()
-    a, b = logistic(*(bins[c].to_numpy(float) for c in ("x", "t", "c"))) if len(bins) else (0.0, 0.0)
-    return Model(words, k, lam, a, b)
+    matched = texts.join(known, "doc_id").select("text", "toxic", "fold").mapInArrow(_matcher(crossed), MATCHED)
+    matched = materialize(matched, "matched")
+    best: tuple[float, Model] | None = None
+    for drift in DRIFTS:
+        rows = materialize(matched.mapInArrow(_rescored(drift), "n_words long, toxic int, scores array<double>"), "rescored")
+        clean = rows.where("toxic = 0").agg(
+            F.sum("n_words"), F.sum(F.size("scores")), F.sum(F.aggregate("scores", F.lit(0.0), lambda a, s: a + s))
+        ).first()
+        n_words, n_found, total_score = (float(x or 0) for x in clean)
+        # One imaginary segment of score 1 stands for what theory says of log-odds: lambda is 1.
+        lam, k = (n_found + 1) / (total_score + 1), (n_found + 0.5) / max(n_words, 1.0)
+        x = F.round(F.least(_evidence(k, lam), F.lit(100.0)), 1).alias("x")
+        bins = rows.select(x, "toxic").groupBy("x").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).toPandas()
+        x, t, c = (bins[name].to_numpy(float) for name in ("x", "t", "c"))
+        a, b = logistic(x, t, c) if len(bins) else (0.0, 0.0)
+        p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
+        loss = float(-(t * np.log(p) + c * np.log(1 - p)).sum())
+        if best is None or loss < best[0]:
+            best = loss, Model(words, drift, k, lam, a, b)
+    return best[1]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -276,7 +320,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     below one.  A null text counts as empty; a text without words has no passages and the score of one
     without evidence.  Rows that repeat are scored alike; extra columns are ignored.
     """
-    found = docs.select("doc_id", "text").mapInArrow(_scanner([model.words]), SCANNED)
+    found = docs.select("doc_id", "text").mapInArrow(_scanner(model.words, model.drift), SCANNED)
     p = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * _evidence(model.k, model.lam))))
     spans = F.arrays_zip(F.col("firsts").alias("first_word"), F.col("lasts").alias("last_word"), F.col("scores").alias("score"))
     rare = F.filter(spans, lambda s: model.k * F.col("n_words") * F.exp(-model.lam * s["score"]) < 1)
@@ -296,7 +340,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, max_l
     model = fit(docs, labels, max_labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = _scanner([model.words])
+        scan = _scanner(model.words, model.drift)
         for piece in slices(batches):
             texts = pa.RecordBatch.from_arrays([pa.nulls(len(piece), pa.int64()), piece.column("text")], names=["doc_id", "text"])
             stay = []

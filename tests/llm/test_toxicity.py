@@ -74,7 +74,16 @@ def test_labels_of_held_out_rows_change_nothing(spark, frame):
     docs, labels = labelled(spark)
     other = labels.withColumn("toxic", toxicity.F.when(toxicity.held_out("doc_id"), 1 - labels.toxic).otherwise(labels.toxic))
     a, b = (toxicity.fit(frame(docs), x) for x in (labels, other))
-    assert (a.words.hashes == b.words.hashes).all() and (a.k, a.lam, a.intercept, a.slope) == (b.k, b.lam, b.intercept, b.slope)
+    assert (a.words.hashes == b.words.hashes).all() and (a.drift, a.k, a.lam, a.intercept, a.slope) == (b.drift, b.k, b.lam, b.intercept, b.slope)
+
+
+def test_copies_count_once(spark, frame):
+    docs, labels = labelled(spark, 120)
+    more = docs + [(500 + k, docs[0][1]) for k in range(60)]
+    extra = labels.unionByName(spark.createDataFrame([(500 + k, 1) for k in range(60)], labels.schema))
+    rows = toxicity.training_labels(frame(more), extra, 10_000).collect()
+    assert len([r for r in rows if r.doc_id >= 500]) <= 1
+    assert len(toxicity.training_labels(frame(docs), labels, 20).collect()) < 50
 
 
 def test_no_labels_and_no_documents(spark, frame):
