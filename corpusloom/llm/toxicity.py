@@ -270,7 +270,7 @@ def logistic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float =
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Model:
     """Learn word scores, the chance of segments in clean text, and the curve from evidence to probability.
 
-    Without labels of both kinds no word scores above zero and every document gets the same probability.
+    Without labels of both kinds every document gets the probability one half, which rejects none.
     """
     texts = docs.select("doc_id", "text")
     known = F.broadcast(training_labels(texts, labels, max_labels))
@@ -305,7 +305,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
         x = F.round(F.least(_evidence(k, lam), F.lit(100.0)), 1).alias("x")
         bins = rows.select(x, "toxic").groupBy("x").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).toPandas()
         x, t, c = (bins[name].to_numpy(float) for name in ("x", "t", "c"))
-        a, b = logistic(x, t, c) if len(bins) else (0.0, 0.0)
+        a, b = logistic(x, t, c) if t.sum() and c.sum() else (0.0, 0.0)
+        a = min(a, 0.0)  # a document without evidence is never more likely toxic than not
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
         loss = float(-(t * np.log(p) + c * np.log(1 - p)).sum())
         if best is None or loss < best[0]:
