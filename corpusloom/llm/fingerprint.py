@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import ROLL, mix, running, slices, window_hash
-from corpusloom.llm.repeats import starts_inside
 
 KEEP = 32
 ENOUGH = 16

@@ -3,7 +3,7 @@
 Level one takes windows of half the wanted length; those that repeat, and only those, are extended to the
 whole length (at most twice theirs) and compared again; what survives repeats at the whole length.  Level
 one looks at one window in each stretch of starts (see ``repeats``), which loses nothing: two equal long
-windows contain the same sampled short one.  ``extend`` goes on doubling beyond the wanted length until no
+windows contain the same sampled short one.  ``longest_repeats`` goes on doubling beyond that length until no
 candidates survive and says how long the repeats of each document are.
 """
 
