@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import col, let, ratio, words
+from corpusloom.functions.text import let, ratio, words
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from corpusloom.operators import filters as f
 from corpusloom.plans.registry import bare_sql, ngrams_sql, query, r6, ratio_sql, table, words_sql
