@@ -423,14 +423,20 @@ def semantic_matches(
         m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
         order = np.argsort(ids, kind="stable")
         ids, m = ids[order], m[order]
+        own = pdf["_i"].to_numpy()[order]
+        p, q = (np.flatnonzero(own == pdf[c].iloc[0]) for c in ("_p", "_q"))
         out_id, out_match = [], []
-        for at in range(0, len(ids), 512):
-            close = (m[at : at + 512] @ m.T) >= 1.0 - eps
-            first = close.argmax(axis=1)
-            rows = np.arange(at, at + len(first))
-            hit = close.any(axis=1) & (ids[first] < ids[rows])
-            out_id.append(ids[rows[hit]])
-            out_match.append(ids[first[hit]])
+        # Pairs inside a block are compared once, in the task that holds it alone.
+        for rows_of, cols_of in [(p, p)] if pdf["_p"].iloc[0] == pdf["_q"].iloc[0] else [(p, q), (q, p)]:
+            for at in range(0, len(rows_of) if len(cols_of) else 0, 512):
+                rows = rows_of[at : at + 512]
+                close = (m[rows] @ m[cols_of].T) >= 1.0 - eps
+                first = ids[cols_of[close.argmax(axis=1)]]
+                hit = close.any(axis=1) & (first < ids[rows])
+                out_id.append(ids[rows[hit]])
+                out_match.append(first[hit])
+        if not out_id:
+            return pd.DataFrame({vid: ids[:0], "match": ids[:0]})
         return pd.DataFrame({vid: np.concatenate(out_id), "match": np.concatenate(out_match)})
 
     kind = df.schema[vid].dataType
