@@ -12,8 +12,10 @@ into (far fewer) pools and packed once more.  No piece is dropped and none is mo
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -42,18 +44,25 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.path = path
+        self.special = [t["content"] for t in spec["added_tokens"]]
         # The files write bytes as printable characters: printable ones as themselves, the rest from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         byte_of = {chr(b): b for b in plain}
-        byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        ranks = {bytes(byte_of[c] for c in token): k for token, k in vocabulary.items() if token not in self.special}
+        byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        ranks = {bytes(byte_of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in self.special}
         self.encode = tiktoken.Encoding("ids", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    @cached_property
+    def tokenizer(self):
+        """The ``tokenizers`` library's own reading of the file, loaded when a text first needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids

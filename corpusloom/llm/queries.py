@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, extract, fingerprint, packing, privacy, sharding, similar, substring_dedup, suffix_dedup, toxicity
-from corpusloom.llm.common import read
+from corpusloom.llm.common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,7 +16,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def bounded(spark: SparkSession, sf: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = bounded
         if sql is not None:
             SQL[name] = sql
         return fn
