@@ -174,7 +174,7 @@ def _words_model(counts: np.ndarray, hashes: np.ndarray, all_words: np.ndarray,
 
 
 MATCHED = "n_words long, toxic int, places array<int>, odds array<double>"
-SCANNED = "doc_id long, n_words long, scores array<double>, firsts array<int>, lasts array<int>"
+SCANNED = "doc_id long, n_words long, score double, scores array<double>, firsts array<int>, lasts array<int>"
 
 
 def _matches(piece: pa.RecordBatch, models: list[Words], folds: list[int]) -> tuple[np.ndarray, list[tuple[list, list]]]:
@@ -219,15 +219,22 @@ def _rescored(drift: float):
     return run
 
 
-def _scanner(words: Words, drift: float):
-    """Segments of every text."""
+def _probability(model: Model, n_words: int, scores: list[float]) -> float:
+    """The probability that a text with segments of these scores is toxic; no score is too large for it."""
+    evidence = float(np.logaddexp(0.0, model.lam * np.array(scores) - math.log(model.k * max(n_words, 1))).sum())
+    return float(np.exp(-np.logaddexp(0.0, -(model.intercept + model.slope * evidence))))
+
+
+def _scanner(model: Model):
+    """Score and segments of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            size, matched = _matches(piece, [words], [])
-            found = [_parts(p, o, drift) for p, o in matched]
+            size, matched = _matches(piece, [model.words], [])
+            found = [_parts(p, o, model.drift) for p, o in matched]
+            score = pa.array([_probability(model, n, [s for *_, s in f]) for n, f in zip(size.tolist(), found)], pa.float64())
             cols = [pa.array([[x[k] for x in f] for f in found], pa.list_(t)) for k, t in ((2, pa.float64()), (0, pa.int32()), (1, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(size), *cols], names=[c.split()[0] for c in SCANNED.split(", ")])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(size), score, *cols], names=[c.split()[0] for c in SCANNED.split(", ")])
 
     return run
 
@@ -241,10 +248,14 @@ def _stretches(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _evidence(k: float, lam: float) -> Column:
-    """Sum over segments of log(1 + 1 / E), E = k * n * exp(-lam * score)."""
-    return F.aggregate(
-        "scores", F.lit(0.0), lambda a, s: a + F.log1p(F.exp(lam * s) / (F.lit(k) * F.greatest(F.col("n_words"), F.lit(1))))
-    )
+    """Sum over segments of log(1 + 1 / E), E = k * n * exp(-lam * score), without a power that overflows."""
+    log_kn = F.log(F.lit(k) * F.greatest(F.col("n_words"), F.lit(1)))
+
+    def add(a: Column, s: Column) -> Column:
+        x = lam * s - log_kn
+        return a + F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
+
+    return F.aggregate("scores", F.lit(0.0), add)
 
 
 def logistic(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
@@ -321,11 +332,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     below one.  A null text counts as empty; a text without words has no passages and the score of one
     without evidence.  Rows that repeat are scored alike; extra columns are ignored.
     """
-    found = docs.select("doc_id", "text").mapInArrow(_scanner(model.words, model.drift), SCANNED)
-    p = 1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * _evidence(model.k, model.lam))))
+    found = docs.select("doc_id", "text").mapInArrow(_scanner(model), SCANNED)
     spans = F.arrays_zip(F.col("firsts").alias("first_word"), F.col("lasts").alias("last_word"), F.col("scores").alias("score"))
     rare = F.filter(spans, lambda s: model.k * F.col("n_words") * F.exp(-model.lam * s["score"]) < 1)
-    return found.select("doc_id", p.alias("score"), "n_words", F.size(rare).alias("n_passages"), rare.alias("passages"))
+    return found.select("doc_id", "score", "n_words", F.size(rare).alias("n_passages"), rare.alias("passages"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, max_labels: int = MAX_LABELS) -> DataFrame:
@@ -341,14 +351,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF, max_l
     model = fit(docs, labels, max_labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = _scanner(model.words, model.drift)
+        scan = _scanner(model)
         for piece in slices(batches):
             texts = pa.RecordBatch.from_arrays([pa.nulls(len(piece), pa.int64()), piece.column("text")], names=["doc_id", "text"])
-            stay = []
-            for found in scan([texts]):
-                for n, scores in zip(found.column("n_words").to_pylist(), found.column("scores").to_pylist()):
-                    evidence = sum(math.log1p(math.exp(model.lam * s) / (model.k * max(n, 1))) for s in scores)
-                    stay.append(1 / (1 + math.exp(-(model.intercept + model.slope * evidence))) < cutoff)
+            stay = [p < cutoff for found in scan([texts]) for p in found.column("score").to_pylist()]
             yield piece.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -49,3 +49,15 @@ def test_no_documents(spark, tables):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.materialize(stage(spark, docs, tables), f"none-{name}")
         assert docs.count() == 0
+
+
+def test_pipeline_takes_a_long_toxic_document(spark, tmp_path):
+    docs = [(k, "vile rotten nasty words here " + str(k) if k % 4 == 0 else f"the calm text of number {k}", "en", "s", 20, "n", 0.5, 9) for k in range(200)]
+    docs += [(9004, "vile rotten nasty " * 5000, "en", "s", 90_000, "n", 0.5, 9)]
+    spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(200)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = spark.createDataFrame(docs, COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        left = corpus_pipeline.materialize(stage(spark, left, str(tmp_path)), f"toxic-{name}")
+    ids = {r.doc_id for r in left.select("doc_id").collect()}
+    assert ids and 9004 not in ids and not any(k % 4 == 0 for k in ids)

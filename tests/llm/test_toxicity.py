@@ -103,6 +103,13 @@ def test_filter_agrees_with_scores(spark, clashing):
     assert kept.columns == clashing(docs).columns and kept.count() == len(docs) - bad and bad >= 75
 
 
+def test_filter_takes_long_toxic_documents(spark, frame):
+    docs, labels = labelled(spark)
+    docs += [(9004, "Vile, ROTTEN; nasty " * 5000)]
+    kept = {r.doc_id for r in toxicity.drop_toxic(frame(docs), labels).collect()}
+    assert kept == {r.doc_id for r in toxicity.judge(frame(docs), labels).where("predicted = 0").collect()} and 9004 not in kept
+
+
 def test_held_out_accuracy(spark):
     labels = read(spark, SF, "labels")
     out = toxicity.judge(read(spark, SF, "documents"), labels).join(labels, "doc_id").where("held_out").toPandas()
