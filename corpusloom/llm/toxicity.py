@@ -70,25 +70,27 @@ def segments(places: list[int], scores: list[float], drift: float = DRIFTS[0]) -
     have the given positive ``scores`` and every other word scores ``-drift``.
 
     Each positive word starts as a segment of its own.  Going left over the kept segments, the nearest one
-    whose left sum is smaller takes it in, with all between, if that raises the right sum.
+    whose left sum is smaller takes it in, with all between, if that raises the right sum.  Every kept segment
+    is linked to its nearest one with a smaller left sum, as Ruzzo and Tompa do, so each is passed over once.
     """
-    kept: list[tuple[int, int, float, float]] = []  # first, last, sum before it, sum after it
+    kept: list[tuple[int, int, float, float, int]] = []  # first, last, sum before it, sum after it, link
     total, seen = 0.0, 0
     for p, s in zip(places, scores):
         total -= drift * (p - seen)
         seen = p + 1
         first, last, left, right = p, p, total, total + s
         total = right
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= left:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= right:
-                kept.append((first, last, left, right))
+                kept.append((first, last, left, right, j))
                 break
-            first, left = kept[j][0], kept[j][2]
+            first, _, left, _, link = kept[j]
             del kept[j:]
-    return [(a, b, r - lo) for a, b, lo, r in kept]
+            j = link
+    return [(a, b, r - lo) for a, b, lo, r, _ in kept]
 
 
 def held_out(doc_id: Column | str) -> Column:

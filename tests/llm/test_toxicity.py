@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -44,6 +45,13 @@ def test_segments_are_the_maximal_ones(seed):
     assert np.allclose([s for *_, s in mine], [s for *_, s in want])
 
 
+def test_segments_of_isolated_words_take_linear_time():
+    begin = time.process_time()
+    found = toxicity.segments(list(range(0, 600_000, 20)), [2.0] * 30_000)
+    assert len(found) == 30_000 and all(a == b for a, b, _ in found)
+    assert time.process_time() - begin < 3
+
+
 def labelled(spark, n=300):
     rng = random.Random(1)
     docs, labels = [], []
