@@ -41,8 +41,9 @@ NO_ID = np.iinfo(np.int64).min
 ALONE = (1 << 16) - 1
 # Base of the second hash of strings.
 CHECK_BASE = 0xD6E8FEB86659FD93
-# An anchor is hot above this many places, and above one in HOT_SHARE of all; so there are at most HOT_SHARE.
-HOT_PLACES, HOT_SHARE = 20_000, 10_000
+# An anchor is hot above this many places.  Only to bound the list of hot anchors (32 MB) the number grows with the
+# corpus where it has more than HOT_PLACES * HOT_SHARE bytes (84 GB).
+HOT_PLACES, HOT_SHARE = 20_000, 1 << 22
 
 
 def _find(width: int, short: int):
@@ -101,7 +102,7 @@ def _distinct(columns: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[np.ndar
 def _contexts(width: int, short: int, n_buckets: int, hot: np.ndarray):
     """From the texts and repeated anchors of a part, packets of contexts for the buckets of their anchors.
 
-    Strings with an anchor in ``hot`` (hashes that very many places share) travel one by one to the buckets
+    Strings with an anchor in ``hot`` (ascending hashes that very many places share) travel one by one to the buckets
     of their own hashes, so that no bucket gathers all surroundings of a common phrase (their lead is ALONE).
     """
 
@@ -116,7 +117,10 @@ def _contexts(width: int, short: int, n_buckets: int, hot: np.ndarray):
                 continue
             live = repeats.alive_at(found, [keys[k] for k in at], first)[anchor]
             starts, anchor = starts[live], anchor[live]
-            common = np.isin(repeats.renamed(hashes[anchor]) >> repeats.FILTER_SHIFT, hot) if len(hot) else np.zeros(len(starts), bool)
+            common = np.zeros(len(starts), bool)
+            if len(hot):
+                name = repeats.renamed(hashes[anchor]) >> repeats.FILTER_SHIFT
+                common = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
             alone, starts, anchor = starts[common], starts[~common], anchor[~common]
             begin, end = _runs(starts, anchor)
             lo, size, a = starts[begin], starts[end] - starts[begin] + width, anchor[begin]

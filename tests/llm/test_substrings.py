@@ -72,6 +72,19 @@ def test_hot_anchors_travel_alone(frame, monkeypatch):
     assert got(suffix_dedup.remove_later_copies(frame(rows))) == brute_later(rows, 50)
 
 
+def test_hot_anchors_do_not_depend_on_the_size_of_the_corpus(frame, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_PLACES", 5)
+    lists, contexts = [], suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda w, s, n, hot: lists.append(hot) or contexts(w, s, n, hot))
+    # A phrase at eight places, in a corpus of which a ten thousandth is more bytes than eight.
+    around = [[" ".join(f"{k}x{j}{side}" for j in range(12)) for side in "yz"] for k in range(8)]
+    rows = [(k, f"{a} a phrase that stands in all of these documents and is no secret {b}") for k, (a, b) in enumerate(around)]
+    rows += [(3000, " ".join(f"{k:x}" for k in range(30_000)))]
+    assert sum(len(t) for _, t in rows) > 10_000 * 9
+    out = got(suffix_dedup.remove_later_copies(frame(rows)))
+    assert out == brute_later(rows, 50) and len(lists[0])
+
+
 def test_small_packets_and_buckets(frame, monkeypatch):
     for name, value in (("PACKET_HASHES", 50), ("PACKET_DOCS", 3), ("BUCKET_HASHES", 100), ("PART_BYTES", 500)):
         monkeypatch.setattr(repeats, name, value)
