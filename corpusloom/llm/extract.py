@@ -9,8 +9,9 @@ varies, or that a page has beyond the reference, is a slot, and slots are conten
 reference say nothing and are not counted.
 
 Not every part that varies is the article: regions that by their markup are navigation, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles or comments of readers are template on every page.  And
-not every part that stays is template: where it would be most of a page's article, the pages are copies.
+sidebars, notices, adverts, forms, scripts, styles or comments of readers are left out, unless they hold the only
+article or, by a class or id word alone, the bulk of what varies.  And not every part that stays is template: where
+it would be most of a page's article, the pages are copies.
 
 Statistics cover all pages of all hosts and are added up before they are shuffled; a host that holds a third
 of all pages is only ever a key of partial sums.  One reference page and its constant nodes for each host
@@ -51,8 +52,11 @@ BLOCK = frozenset(
 ENDS_P = BLOCK - {"br", "body", "html", "legend", "td", "th", "tr", "tbody", "thead", "tfoot"}
 # Elements that an element of the same group ends when it begins.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-# Elements that never hold the article, and words in class, id or role that mark such regions.
-NEVER = frozenset("head script style noscript template iframe object svg canvas nav header footer aside form button select input textarea dialog menu".split())
+# Elements that show no text of the page, elements that by themselves are not the article, and words in
+# class, id or role that mark such regions.  Words, and a form, may also stand on a wrapper of the whole page.
+HIDDEN = frozenset("head script style noscript template iframe object svg canvas button select input textarea".split())
+NEVER = frozenset("nav header footer aside dialog menu".split())
+WORD, SURE = 1, 2
 MARK = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside|related|recommend\w*|"
     r"share|sharing|social|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscri\w*|signup|login|search|form|comments?|replies|"
@@ -65,24 +69,26 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An element: its tag, whether its markup says it is not the article, and its children and texts in order."""
+    """An element: its tag, whether it shows no text, how surely its markup says it is not the article (0, WORD or
+    SURE), and its children and texts in order."""
 
-    __slots__ = ("tag", "mark", "parts", "label")
+    __slots__ = ("tag", "hidden", "mark", "parts", "label")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.parts = tag, []
-        self.mark = tag in NEVER
+        self.hidden = tag in HIDDEN
+        self.mark = SURE if tag in NEVER else WORD if tag == "form" else 0
         self.label = tag
         if attributes and ("=" in attributes or "hidden" in attributes):
             for name, *value in _MARKED.findall(attributes):
                 name, value = name.lower(), "".join(value).lower()
                 if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                    self.mark = True
+                    self.hidden = True
                 elif name in ("class", "id", "role"):
                     if name == "class":
                         self.label = f"{tag}.{value}"
                     if MARK.search(value) and tag not in ("body", "html", "main", "article"):
-                        self.mark = True
+                        self.mark = max(self.mark, SURE if name == "role" else WORD)
 
     def children(self) -> list[Node]:
         return [p for p in self.parts if isinstance(p, Node)]
@@ -224,31 +230,93 @@ def content(root: Node, template: set[int]) -> str:
     """Texts of all nodes that are not template, block by block, in page order.
 
     ``template`` holds identities of nodes whose own text is constant on the host.  White space inside a block
-    is one space; blocks are joined by one space.  Where the page has an ``article`` or ``main`` region (that
-    is not marked as something else), only that region is looked at.
+    is one space; blocks are joined by one space.  Where the page has an ``article`` or ``main`` region, only
+    that region is looked at.
     """
-    regions: list[Node] = []
-    for wanted in ("article", "main"):
-        todo = [root]
-        while todo:
-            node = todo.pop()
-            if node.mark:
-                continue
-            if node.tag == wanted:
-                regions.append(node)
-                continue
-            todo += reversed(node.children())
-        if regions:
-            break
-    kept, dropped = _texts(regions or [root], template)
-    text = _SPACE.sub(" ", kept).strip()
-    if dropped > len(text) * (1 if regions else COPY_SHARE):
-        text = _SPACE.sub(" ", _texts(regions or [root], set())[0]).strip()
+    removed = _removed(root, template)
+    regions = _regions(root, removed)
+    text, dropped = _flat(regions, template, removed)
+    if dropped > len(text) * (1 if regions != [root] else COPY_SHARE):
+        text = _flat(regions, set(), removed)[0]
     return text
 
 
-def _texts(regions: list[Node], template: set[int]) -> tuple[str, int]:
-    """The texts of regions without template nodes, with a space where blocks begin and end, and how many
+def _flat(regions: list[Node], template: set[int], removed: set[int]) -> tuple[str, int]:
+    kept, dropped = _texts(regions, template, removed)
+    return _SPACE.sub(" ", kept).strip(), dropped
+
+
+def _topmost(nodes: list[Node], wanted, removed: set[int]) -> list[Node]:
+    """The outermost shown nodes below some, in page order, for which ``wanted`` holds."""
+    out, todo = [], [c for n in reversed(nodes) for c in reversed(n.children())]
+    while todo:
+        node = todo.pop()
+        if node.hidden or id(node) in removed:
+            continue
+        if wanted(node):
+            out.append(node)
+        else:
+            todo += reversed(node.children())
+    return out
+
+
+def _regions(root: Node, removed: set[int]) -> list[Node]:
+    for tag in ("article", "main"):
+        inner = _topmost([root], lambda n: n.tag == tag, removed)
+        if inner:
+            return inner
+    return [root]
+
+
+def _removed(root: Node, template: set[int]) -> set[int]:
+    """Marked elements that are left out, whatever stands in them.
+
+    What the markup says is not believed of an element that holds the page's only article or main and no less
+    varying text than is left outside, nor, where only a word says it, of one that holds the bulk of the page's
+    varying text: more than ``COPY_SHARE`` times the rest, or with a template and no article or main more than the rest.
+    Marks inside of such an element are judged by themselves.
+    """
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if not node.hidden:
+            order.append(node)
+            todo += node.children()
+    if not any(n.mark for n in order):
+        return set()
+    # Of each node: varying characters, those outside of marks, and if an article or main is in it, outside of marks.
+    total: dict[int, int] = {}
+    bare: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    shows: dict[int, bool] = {}
+    for node in reversed(order):
+        me = id(node)
+        t = o = 0 if me in template else len(own_text(node))
+        h = s = node.tag in ("article", "main")
+        for c in node.children():
+            if not c.hidden:
+                t, h = t + total[id(c)], h or holds[id(c)]
+                if not c.mark:
+                    o, s = o + bare[id(c)], s or shows[id(c)]
+        total[me], bare[me], holds[me], shows[me] = t, o, h, s
+    outside, shown = bare[id(root)], shows[id(root)]
+    share = 1 if template and not shown else COPY_SHARE
+    out: set[int] = set()
+    queue = _topmost([root], lambda n: n.mark, out)
+    while queue:
+        node = max(queue, key=lambda n: total[id(n)])
+        queue.remove(node)
+        t = total[id(node)]
+        if t and (node.mark == WORD and t > share * outside or holds[id(node)] and not shown and t >= outside):
+            outside, shown = outside + bare[id(node)], shown or shows[id(node)]
+            queue += _topmost([node], lambda n: n.mark, out)
+        else:
+            out.add(id(node))
+    return out
+
+
+def _texts(regions: list[Node], template: set[int], removed: set[int]) -> tuple[str, int]:
+    """The texts of regions without removed elements and template nodes, with a space where blocks begin and end, and how many
     characters of template there were."""
     words: list[str] = []
     dropped = 0
@@ -256,7 +324,7 @@ def _texts(regions: list[Node], template: set[int]) -> tuple[str, int]:
     while todo:
         node, k = todo.pop()
         if k == 0:
-            if node.mark:
+            if node.hidden or id(node) in removed:
                 continue
             if node.tag in BLOCK:
                 words.append(" ")

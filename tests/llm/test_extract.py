@@ -76,6 +76,16 @@ def test_large_references_go_by_join(spark, monkeypatch):
     assert sorted(map(str, extract.main_text(df).collect())) == a and "Welcome" not in "".join(a)
 
 
+@pytest.mark.parametrize("name", ["no-sidebar", "layout with-sidebar", "has-menu", "search-results"])
+def test_marked_wrappers_hide_nothing(spark, name):
+    assert text_of(f"<body><div class='{name}'><article>the story</article><div class='sidebar'>s</div></div></body>") == "the story"
+    assert text_of(f"<body><h1>T</h1><div class='{name}'><p>a story that is long</p><nav>n</nav></div></body>") == "T a story that is long"
+    page = "<body><div class='{0}'><p>Our menu</p><div><p>Story {1} is told at length</p></div><div class='ad'>ad {1}</div></div></body>"
+    rows = [(k, f"http://a.example/{k}", page.format(name, k)) for k in range(9)]
+    out = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[4] == "Story 4 is told at length"
+
+
 def test_copies_of_an_article_stay(spark):
     same = "<nav>{0}</nav><article><h1>One story</h1><p>The same everywhere</p></article>"
     rows = [(k, "http://mirror.example/", same.format(k)) for k in range(10)]
