@@ -8,10 +8,11 @@ over the children of matched nodes.  A node of the reference whose own text come
 varies, or that a page has beyond the reference, is a slot, and slots are content.  Pages equal to the
 reference say nothing and are not counted.
 
-Not every part that varies is the article: regions that by their markup are navigation, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles or comments of readers are left out, unless they hold the only
-article or, by a class or id word alone, the bulk of what varies.  And not every part that stays is template: where
-it would be most of a page's article, the pages are copies.
+What varies is content, inside of ``article`` and ``main`` and outside of them.  Markup is evidence beside it: regions
+that it calls navigation, headers, footers, sidebars, notices, adverts, forms or comments of readers are left out also
+where they vary, unless they hold the only article or, by a class or id word alone, the bulk of what varies; pages
+without a template are cut to their ``main`` or ``article``.  And not every part that stays is template: where it
+would be most of a page's article, the pages are copies.
 
 Statistics cover all pages of all hosts and are added up before they are shuffled; a host that holds a third
 of all pages is only ever a key of partial sums.  One reference page and its constant nodes for each host
@@ -230,14 +231,19 @@ def content(root: Node, template: set[int]) -> str:
     """Texts of all nodes that are not template, block by block, in page order.
 
     ``template`` holds identities of nodes whose own text is constant on the host.  White space inside a block
-    is one space; blocks are joined by one space.  Where the page has an ``article`` or ``main`` region, only
-    that region is looked at.
+    is one space; blocks are joined by one space.  With a template, what varies is content, wherever it stands,
+    besides marked regions (see ``_removed``).  Without one, only the page's ``main`` or ``article`` is looked
+    at where it holds a fair share of the text.  A template that is most of an article is a copy of it.
     """
     removed = _removed(root, template)
-    regions = _regions(root, removed)
-    text, dropped = _flat(regions, template, removed)
-    if dropped > len(text) * (1 if regions != [root] else COPY_SHARE):
-        text = _flat(regions, set(), removed)[0]
+    if not template:
+        return _flat(_regions(root, removed), template, removed)[0]
+    text, dropped = _flat([root], template, removed)
+    if dropped:
+        regions = _regions(root, removed)
+        inside, lost = _flat(regions, template, removed) if regions != [root] else ("", 0)
+        if lost > len(inside) or dropped > len(text) * COPY_SHARE:
+            return content(root, set())
     return text
 
 
@@ -261,11 +267,13 @@ def _topmost(nodes: list[Node], wanted, removed: set[int]) -> list[Node]:
 
 
 def _regions(root: Node, removed: set[int]) -> list[Node]:
-    for tag in ("article", "main"):
-        inner = _topmost([root], lambda n: n.tag == tag, removed)
-        if inner:
-            return inner
-    return [root]
+    """The page's main and in it the articles, each as far as it holds a fair share of the text around it."""
+    scope = [root]
+    for tag in ("main", "article"):
+        inner = _topmost(scope, lambda n: n.tag == tag, removed)
+        if inner and len(_flat(inner, set(), removed)[0]) * COPY_SHARE >= len(_flat(scope, set(), removed)[0]):
+            scope = inner
+    return scope
 
 
 def _removed(root: Node, template: set[int]) -> set[int]:

@@ -86,6 +86,15 @@ def test_marked_wrappers_hide_nothing(spark, name):
     assert out[4] == "Story 4 is told at length"
 
 
+def test_slots_outside_of_the_article_are_content(spark):
+    page = "<body><p>Our menu</p><article>Teaser {0}</article><div><p>The body of page {0} is told here at some length</p></div><p>Call us</p></body>"
+    rows = [(k, f"http://a.example/{k}", page.format(k)) for k in range(9)]
+    rows += [(100, "http://few.example/", "<article>Teaser</article><div>The body of a page is told here at some length</div>")]
+    out = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[4] == "Teaser 4 The body of page 4 is told here at some length"
+    assert "The body of a page" in out[100]
+
+
 def test_copies_of_an_article_stay(spark):
     same = "<nav>{0}</nav><article><h1>One story</h1><p>The same everywhere</p></article>"
     rows = [(k, "http://mirror.example/", same.format(k)) for k in range(10)]
