@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come from one template.  For every host a reference page is chosen (the one with the
-smallest hash), and the DOM tree of every other page is aligned with the reference tree by simple tree
+Pages of one host come from one template, or a few.  For every host up to ``KINDS`` reference pages are chosen
+(of its most frequent shapes, the page with the smallest hash), every other page goes with the reference most like
+it, and its DOM tree is aligned with the reference tree by simple tree
 matching: the largest set of node pairs that keeps ancestors and sibling order, found by dynamic programming
 over the children of matched nodes.  A node of the reference whose own text comes back unchanged on at least
-``CONSTANT`` of the host's other pages, and on at least ``MIN_PAGES`` of them, is template; a node whose text
+``CONSTANT`` of the other pages that go with it, and on at least ``MIN_PAGES`` of them, is template; a node whose text
 varies, or that a page has beyond the reference, is a slot, and slots are content.  Pages equal to the
 reference say nothing and are not counted.
 
@@ -15,7 +16,7 @@ without a template are cut to their ``main`` or ``article``.  And not every part
 would be most of a page's article, the pages are copies.
 
 Statistics cover all pages of all hosts and are added up before they are shuffled; a host that holds a third
-of all pages is only ever a key of partial sums.  One reference page and its constant nodes for each host
+of all pages is only ever a key of partial sums.  The reference pages and their constant nodes of each host
 travel to the tasks: by broadcast while they are below ``BROADCAST_BYTES``, else by a join on the host in
 which hot hosts are split.
 """
@@ -24,11 +25,12 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.skew import skew_join
@@ -39,7 +41,9 @@ MIN_PAGES = 5
 BROADCAST_BYTES = 32 << 20
 # Pages whose constant text is so many times the rest are copies; in a marked article, once is enough.
 COPY_SHARE = 4
-# Children of one node that are aligned; beyond, equal tags are paired in order.
+# Reference pages of a host at most, and pages of a host for each of them that its shape does not have itself.
+KINDS, KIND_PAGES = 4, 50
+# Cells of the table that aligns the children of two nodes; larger ones are halved first.
 MAX_CELLS = 40_000
 
 # Elements without an end tag, elements whose content is not markup, and elements that end an
@@ -188,11 +192,11 @@ def _size(node: Node) -> Counter:
 def _align(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
     if not left or not right:
         return []
-    if len(left) * len(right) > MAX_CELLS:
-        queue: dict[str, list[Node]] = defaultdict(list)
-        for q in reversed(right):
-            queue[q.label].append(q)
-        return [(p, queue[p.label].pop()) for p in left if queue[p.label]]
+    if len(left) > 1 and len(left) * len(right) > MAX_CELLS:
+        # The same best alignment in linear memory (Hirschberg): halves of one side meet where their sum is greatest.
+        mid = len(left) // 2
+        cut = int(np.argmax(_scores(left[:mid], right) + _scores(left[mid:][::-1], right[::-1])[::-1]))
+        return _align(left[:mid], right[:cut]) + _align(left[mid:], right[cut:])
     shapes = [_size(q) for q in right]
     best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     weight = {}
@@ -216,6 +220,61 @@ def _align(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
     return out[::-1]
 
 
+def _scores(left: list[Node], right: list[Node]) -> np.ndarray:
+    """The weight of the best alignment of ``left`` with every head of ``right``."""
+    kinds: dict[tuple, int] = {}
+    shapes: list[tuple[str, Counter]] = []
+    of = np.empty(len(right), np.int64)
+    for j, q in enumerate(right):
+        shape = _size(q)
+        of[j] = kinds.setdefault((q.label, frozenset(shape.items())), len(kinds))
+        if len(shapes) < len(kinds):
+            shapes.append((q.label, shape))
+    best = np.zeros(len(right) + 1, np.int64)
+    known: dict[tuple, np.ndarray] = {}
+    for p in left:
+        shape = _size(p)
+        key = p.label, frozenset(shape.items())
+        if key not in known:
+            if len(known) * len(kinds) > MAX_CELLS:
+                known.clear()
+            known[key] = np.array([1 + sum((shape & s).values()) if label == p.label else 0 for label, s in shapes], np.int64)
+        best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + known[key][of]))
+    return best
+
+
+def edges(root: Node) -> set[tuple[str, str]]:
+    """The pairs of labels of a node and its parent."""
+    out, todo = set(), [root]
+    while todo:
+        node = todo.pop()
+        inner = node.children()
+        out.update((node.label, c.label) for c in inner)
+        todo += inner
+    return out
+
+
+class References:
+    """Parsed reference pages of hosts."""
+
+    def __init__(self):
+        self.known: dict[tuple[str, int], tuple[Node, dict[int, int], set]] = {}
+
+    def closest(self, host: str, pages: list[str], tree: Node) -> tuple[int, Node, dict[int, int]]:
+        """Number, tree and node numbers of the host's reference whose edges are most like the tree's."""
+        for k, page in enumerate(pages):
+            if (host, k) not in self.known:
+                root = parse(page)
+                self.known[host, k] = root, numbered(root), edges(root)
+        best = 0
+        if len(pages) > 1:
+            mine = edges(tree)
+            like = [len(mine & e) / max(len(mine | e), 1) for e in (self.known[host, k][2] for k in range(len(pages)))]
+            best = like.index(max(like))
+        root, number, _ = self.known[host, best]
+        return best, root, number
+
+
 def numbered(root: Node) -> dict[int, int]:
     """The number of every node (by identity) in document order."""
     out: dict[int, int] = {}
@@ -357,44 +416,40 @@ def _texts(regions: list[Node], template: set[int], removed: set[int]) -> tuple[
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """On how many pages nodes of the reference have its own text; node -1 counts the pages that were compared."""
+    """On how many pages nodes of their reference have its own text; node -1 counts the pages that were compared."""
     pages: Counter = Counter()
     same: Counter = Counter()
     for piece in slices(batches, "html"):
-        parsed: dict[str, tuple[Node, dict[int, int]]] = {}
-        for host, page, ref in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "reference"))):
-            if page == ref:
+        known = References()
+        for host, page, refs in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "refs"))):
+            if page in refs:
                 continue
-            if host not in parsed:
-                root = parse(ref)
-                parsed[host] = root, numbered(root)
-            root, number = parsed[host]
-            pages[host, -1] += 1
-            for a, b in match(root, parse(page)):
+            tree = parse(page)
+            kind, root, number = known.closest(host, refs, tree)
+            pages[host, kind, -1] += 1
+            for a, b in match(root, tree):
                 text = own_text(a)
                 if text and text == own_text(b):
-                    same[host, number[id(a)]] += 1
+                    same[host, kind, number[id(a)]] += 1
     if pages:
         total = pages + same
-        cols = ([k[0] for k in total], [k[1] for k in total], list(total.values()))
-        kinds = (pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "node", "pages"])
+        cols = [*zip(*total), list(total.values())]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["host", "kind", "node", "pages"])
 
 
 def _extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches, "html"):
-        parsed: dict[str, tuple[Node, dict[int, int]]] = {}
+        known = References()
         out = []
-        for host, page, ref, constant in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "reference", "constant"))):
+        for host, page, refs, constant in zip(*(piece.column(c).to_pylist() for c in ("host", "html", "refs", "constant"))):
             tree = parse(page or "")
             template: set[int] = set()
             if constant:
-                if host not in parsed:
-                    root = parse(ref)
-                    parsed[host] = root, numbered(root)
-                root, number = parsed[host]
-                fixed = set(constant)
-                template = {id(b) for a, b in match(root, tree) if number[id(a)] in fixed and own_text(a) == own_text(b)}
+                kind, root, number = known.closest(host, refs, tree)
+                fixed = {n for c in constant if c["kind"] == kind for n in c["nodes"]}
+                if fixed:
+                    template = {id(b) for a, b in match(root, tree) if number[id(a)] in fixed and own_text(a) == own_text(b)}
             out.append(content(tree, template))
         yield pa.RecordBatch.from_arrays([piece.column("page_id"), piece.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
@@ -403,27 +458,53 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def shape_of(page: Column) -> Column:
+    """A hash of the tags and classes that a page has."""
+    tags = F.regexp_extract_all(page, F.lit(r"<([A-Za-z][^\s/>]*)"), F.lit(1))
+    classes = F.regexp_extract_all(page, F.lit(r"""\bclass\s*=\s*["']?([^"'>]*)"""), F.lit(1))
+    return F.xxhash64(F.array_sort(F.array_distinct(tags)), F.array_sort(F.array_distinct(classes)))
+
+
 def _by_host(pages: DataFrame, hosts: DataFrame, spread: list[str], how: str) -> DataFrame:
-    """Give every page what ``hosts`` (host, n_pages, reference, ...) knows of its host."""
-    if (hosts.agg(F.sum(F.octet_length("reference"))).first()[0] or 0) <= BROADCAST_BYTES:
+    """Give every page what ``hosts`` (host, n_pages, refs, ...) knows of its host."""
+    size = F.aggregate("refs", F.lit(0).cast("long"), lambda a, r: a + F.octet_length(r))
+    if (hosts.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
         return pages.join(F.broadcast(hosts), "host", how)
     return skew_join(pages, hosts, ["host"], "n_pages", spread, how=how)
 
 
+def references(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(host, n_pages, refs): the reference pages of every host, the page of smallest hash of each of its most
+    frequent shapes; besides the first, of shapes with more than ``min_pages`` pages or on hosts with many."""
+    shapes = pages.groupBy("host", shape_of(F.col("html")).alias("shape")).agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("html")).alias("hash"))
+    shapes = materialize(shapes, "shapes")
+    sizes = shapes.groupBy("host").agg(F.sum("n").alias("n_pages"))
+    # The rank is cut to KINDS before hosts are gathered.
+    order = Window.partitionBy("host").orderBy(F.col("n").desc(), "shape")
+    top = shapes.withColumn("kind", F.row_number().over(order)).where(F.col("kind") <= KINDS).join(sizes, "host")
+    top = top.where((F.col("kind") == 1) | (F.col("n") > min_pages) | (F.col("n_pages") >= KIND_PAGES * F.col("kind")))
+    top = materialize(top.select("host", "hash", "kind", "n_pages"), "kinds")
+    found = pages.withColumn("hash", F.xxhash64("html")).join(top, ["host", "hash"])
+    found = found.groupBy("host", "kind", "n_pages").agg(F.min("html").alias("html"))
+    refs = F.transform(F.array_sort(F.collect_list(F.struct("kind", "html"))), lambda r: r["html"])
+    return materialize(found.groupBy("host", "n_pages").agg(refs.alias("refs")), "hosts")
+
+
 def wrappers(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, n_pages, reference, constant): for every host its reference page and the numbers of its constant
-    nodes; pages without html neither count nor serve as a reference."""
+    """(host, n_pages, refs, constant): for every host its reference pages and the numbers of their constant
+    nodes, counted on the pages that are closest to each; pages without html neither count nor serve."""
     some = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), "html")
-    hosts = some.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"), F.min_by("html", F.xxhash64("html")).alias("reference"))
-    hosts = materialize(hosts, "hosts")
+    hosts = references(some, min_pages)
     both = _by_host(some, hosts.where(F.col("n_pages") > min_pages), ["html"], "inner")
-    sums = both.select("host", "html", "reference").mapInArrow(_sums, "host string, node int, pages long")
-    sums = materialize(sums.groupBy("host", "node").agg(F.sum("pages").alias("pages")), "nodes")
-    compared = sums.where("node = -1").select("host", F.col("pages").alias("compared"))
-    fixed = sums.where("node >= 0").join(compared, "host").where(
+    sums = both.select("host", "html", "refs").mapInArrow(_sums, "host string, kind int, node int, pages long")
+    sums = materialize(sums.groupBy("host", "kind", "node").agg(F.sum("pages").alias("pages")), "nodes")
+    compared = sums.where("node = -1").select("host", "kind", F.col("pages").alias("compared"))
+    fixed = sums.where("node >= 0").join(compared, ["host", "kind"]).where(
         (F.col("pages") >= min_pages) & (F.col("pages") >= constant * F.col("compared"))
     )
-    return materialize(hosts.join(fixed.groupBy("host").agg(F.collect_list("node").alias("constant")), "host", "left"), "wrappers")
+    nodes = fixed.groupBy("host", "kind").agg(F.collect_list("node").alias("nodes"))
+    nodes = nodes.groupBy("host").agg(F.collect_list(F.struct("kind", "nodes")).alias("constant"))
+    return materialize(hosts.join(nodes, "host", "left"), "wrappers")
 
 
 def main_text(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -437,5 +518,5 @@ def main_text(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     # Hosts without any html have no wrapper but keep their pages.
     joined = _by_host(keyed, known, ["page_id", "url"], "left")
-    out = joined.select("page_id", "url", "html", "host", "reference", "constant").mapInArrow(_extractor, "page_id long, url string, text string")
+    out = joined.select("page_id", "url", "html", "host", "refs", "constant").mapInArrow(_extractor, "page_id long, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

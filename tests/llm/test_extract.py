@@ -95,6 +95,24 @@ def test_slots_outside_of_the_article_are_content(spark):
     assert "The body of a page" in out[100]
 
 
+def test_hosts_with_two_kinds_of_pages(spark):
+    forum = "<body><section><table><tr><td>Board rules apply</td></tr><tr><td>Thread {0} goes on and on</td></tr></table></section></body>"
+    rows = [(k, f"http://a.example/{k}", shop(k) if k % 5 < 3 else forum.format(k)) for k in range(40)]
+    rows += [(100 + k, f"http://a.example/x{k}", f"<p>Please log in {k}") for k in range(2)]
+    out = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[1] == "Item 1 Story 1 is told here" and out[4] == "Thread 4 goes on and on"
+    assert len(out) == 42 and out[100] == "Please log in 0"
+
+
+def test_long_lists_are_aligned():
+    kinds = [f"<li class='{'ab'[k % 2]}'>{'<b>x</b>' * (k % 7)}{'<i>y</i>' * (k % 3)}</li>" for k in range(400)]
+    a, b = (extract.parse(f"<ul>{''.join(x)}</ul>").children()[0] for x in (kinds, ["<li class='c'>new</li>", "<li class='a'>new</li>", *kinds, "<li class='c'>new</li>"]))
+    pairs = [(x, y) for x, y in extract.match(a, b) if x.tag == "li"]
+    left, right = ({id(n): k for k, n in enumerate(r.children())} for r in (a, b))
+    # Nearly all items meet their copies two places later.
+    assert len(pairs) == 400 and sum(right[id(y)] - left[id(x)] == 2 for x, y in pairs) > 390
+
+
 def test_copies_of_an_article_stay(spark):
     same = "<nav>{0}</nav><article><h1>One story</h1><p>The same everywhere</p></article>"
     rows = [(k, "http://mirror.example/", same.format(k)) for k in range(10)]
