@@ -1,9 +1,10 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash banding and exact verification.
 
-Texts are sets of hashed word shingles.  The forest has ``trees`` prefix tries over MinHash values; two texts
-of similarity t share a prefix of length d in some trie with probability 1 - (1 - t**d)**trees.  Matching
-starts from the longest prefix and is shortened until that reaches the target recall at the threshold; texts
-that share the prefix in some trie are candidates, and every candidate pair is verified on the exact sets.
+Texts are sets of hashed word shingles.  Each of ``trees`` bands ("tries" below) is the prefix of one length of a list
+of MinHash values; two texts of similarity t share a prefix of length d in some band with probability
+1 - (1 - t**d)**trees.  The length is the longest that reaches the target recall at the threshold.  It is solved once
+and not matched from the longest down, so this is banding in place of an LSH forest; texts
+that share the prefix in some band are candidates, and every candidate pair is verified on the exact sets.
 
 Equal texts are one node from the start, so copies cost nothing.  A trie node that holds the same texts as
 one of another trie is looked at once, large ones are cut into blocks that are compared two by two, and a
@@ -36,7 +37,7 @@ NO_ID = -(1 << 63)
 
 
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix, from ``depth`` down, at which the forest reaches ``recall`` at ``threshold``."""
+    """The longest prefix, from ``depth`` down, at which the bands reach ``recall`` at ``threshold``."""
     for d in range(depth, 1, -1):
         if 1 - (1 - threshold**d) ** trees >= recall:
             return d
