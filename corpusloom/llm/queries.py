@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, fingerprint, packing, privacy, sharding, similar, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import decontaminate, extract, fingerprint, packing, privacy, sharding, similar, spelling, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,53 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_personal_data")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return privacy.report(read(spark, sf, "documents"))
+
+
+# The checksum is taken byte by byte through its table of 256 entries, once for every run of a document.
+OP11_SQL = r"""
+with recursive tab as (
+    select list(v order by i) as t from (
+        select i, list_reduce(list_prepend(i::bigint, range(8)), lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+        from range(256) r(i))
+), runs as (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]{6,}')) as run
+    from documents
+), once as (
+    select run, count(*) as c, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as x from runs group by doc_id, run
+), checked as (
+    select run, c, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+        range(0, len(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::int, 2))::bigint)),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) as k
+    from once, tab
+), corrupted as (
+    select case when k % 199 = 0 then left(run, k % length(run)) || substr(run, k % length(run) + 2) else run end as word, c from checked
+), v as (
+    select word, sum(c)::bigint as n from corrupted where length(word) >= 6 group by word having sum(c) >= 5
+), gone as (
+    select word, length(word) as l, i, left(word, i) || substr(word, i + 2) as d from (select word, unnest(range(0, length(word))) as i from v)
+), near as (
+    select a.word, b.word as other from gone a join gone b on a.d = b.d and a.i = b.i and a.word <> b.word
+    union
+    select a.word, b.word from gone a join v b on a.d = b.word
+    union
+    select b.word, a.word from gone a join v b on a.d = b.word
+), best as (
+    select near.word, count(*)::bigint as n_near, arg_min(other, row(-w.n, other)) as top, max(w.n) as top_n
+    from near join v w on w.word = near.other group by 1
+), formed as (
+    select v.word, v.n, coalesce(n_near, 0)::bigint as n_near, case when top_n >= 5 * n then top end as form, case when top_n >= 5 * n then top_n end as form_n
+    from v left join best using (word)
+), walk as (
+    select word, form as here, 1 as k from formed where form is not null
+    union all
+    select walk.word, f.form, k + 1 from walk join formed f on f.word = walk.here where f.form is not null
+), ends as (
+    select word, arg_max(here, k) as root from walk group by word
+)
+select word, form, coalesce(root, word) as root, n, n_near, form_n::bigint as form_n from formed left join ends using (word)
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(read(spark, sf, "documents"))
