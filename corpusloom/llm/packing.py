@@ -53,8 +53,8 @@ class Encoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         byte_of = {chr(b): b for b in plain}
         byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
-        ranks = {bytes(byte_of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in self.special}
-        self.encode = tiktoken.Encoding("ids", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ranks = {bytes(byte_of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in self.special}
+        self.encode = tiktoken.Encoding("ids", pat_str=self.PATTERN, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
 
     @cached_property
     def tokenizer(self):

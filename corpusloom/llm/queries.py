@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, extract, fingerprint, packing, privacy, sharding, similar, spelling, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import alignment, decontaminate, extract, fingerprint, packing, privacy, sharding, similar, spelling, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,10 +28,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op3_fingerprints")
@@ -216,3 +216,8 @@ select word, form, coalesce(root, word) as root, n, n_near, form_n::bigint as fo
 @query("op11_spelling_variants", OP11_SQL)
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(read(spark, sf, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(read(spark, sf, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
