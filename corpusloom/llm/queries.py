@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import alignment, decontaminate, extract, fingerprint, packing, privacy, sharding, similar, spelling, substring_dedup, suffix_dedup, toxicity
+from corpusloom.llm import alignment, decontaminate, extract, fingerprint, line_quality, packing, privacy, sharding, similar, spelling, substring_dedup, suffix_dedup, toxicity
 from corpusloom.llm.common import read, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,8 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @query("op13_tokenizer_alignment")
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(read(spark, sf, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op12_line_quality")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return line_quality.judge(read(spark, sf, "documents"), read(spark, sf, "labels"))

@@ -98,11 +98,11 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
 
-def training_labels(docs: DataFrame, labels: DataFrame, max_labels: int) -> DataFrame:
-    """(doc_id, toxic, fold) of the rows that may be learned from; about ``max_labels`` rows at most, and one
+def training_labels(docs: DataFrame, labels: DataFrame, max_labels: int, label: str = "toxic") -> DataFrame:
+    """(doc_id, label, fold) of the rows that may be learned from; about ``max_labels`` rows at most, and one
     for documents with the same text."""
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
-    rows = rows.groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out("doc_id"))
+    rows = rows.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias(label))
     n = rows.count()
     if n > max_labels:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * max_labels / n))
