@@ -12,7 +12,8 @@ Models for the fit are crossed: a training document is scored by a model of the
 count once.  Only labelled
 rows whose crc32 remainder is not ``HELD_OUT`` are learned from, about ``max_labels`` of them at most (chosen by
 hash); word counts of the prior cover all documents.  Candidate words are those in at least ``MIN_DOCS`` toxic
-training documents and in one of 2**20 of all their words, so at most 2**20 words travel to the tasks.
+training documents; they travel to the tasks that count them in all documents, and the words of ``max_labels``
+documents bound their number.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,6 @@ from corpusloom.llm.common import materialize, plain_words, slices
 FOLDS, HELD_OUT = 3, 1
 MAX_LABELS = 200_000
 MIN_DOCS = 3
-MAX_WORDS = 1 << 20
 SHRINK, TOP = 1.64, 8.0
 DRIFTS = (1.0, 1.5, 2.0, 2.5)
 # The prior weighs this share of the training words.
@@ -113,51 +114,83 @@ def training_labels(docs: DataFrame, labels: DataFrame, max_labels: int, label:
     return materialize(rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)).cast("int")), "labels")
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, docs): in how many documents of a slice each word stands."""
+LABELLED = "word long, toxic0 long, toxic1 long, clean0 long, clean1 long"
+# The word that stands for all words; no word has this hash.
+ALL_WORDS = 0
+
+
+def _labelled_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``LABELLED``: in how many toxic and clean documents of either fold each word of a slice stands.
+
+    The row of ``ALL_WORDS`` has the numbers of all their words."""
     for piece in slices(batches):
         words, first = plain_words(piece.column("text"))
-        doc = np.repeat(np.arange(len(piece)), np.diff(first))
+        size = np.diff(first)
+        kind = np.asarray(piece.column("fold")) + 2 * (1 - np.asarray(piece.column("toxic")))
+        doc = np.repeat(np.arange(len(piece)), size)
         order = np.lexsort((doc, words))
         w, d = words[order], doc[order]
         fresh = np.ones(len(w), bool)
         fresh[1:] = (w[1:] != w[:-1]) | (d[1:] != d[:-1])
-        word, docs = np.unique(w[fresh], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(docs.astype(np.int64))], names=["word", "docs"])
+        word, at = np.unique(w[fresh], return_inverse=True)
+        table = np.zeros((len(word) + 1, 4), np.int64)
+        np.add.at(table, (at, kind[d[fresh]]), 1)
+        table[-1] = np.bincount(kind, size, 4)
+        cols = [np.append(word.view(np.int64), ALL_WORDS), *table.T]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in cols], names=[c.split()[0] for c in LABELLED.split(", ")])
 
 
-COUNTS = "word long, everywhere long, toxic0 long, toxic1 long, clean0 long, clean1 long"
+# Candidates whose counts travel together, and how many sums of a block are made before the last one.
+BLOCK, SUMS = 4096, 1024
+BLOCKS = "block int, part int, counts binary"
 
 
 def _counter(candidates: np.ndarray):
+    """Rows of ``BLOCKS``: in how many documents of a task the candidates of each block stand; the number of all
+    words follows the last candidate."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Column 0 counts all documents, 1 to 4 toxic and clean ones of both folds; the last row all words.
-        total = np.zeros((len(candidates) + 1, 5), np.int64)
+        total = np.zeros(len(candidates) + 1, np.int64)
         for piece in slices(batches):
             words, first = plain_words(piece.column("text"))
-            doc = np.repeat(np.arange(len(piece)), np.diff(first))
-            code = np.minimum(np.searchsorted(candidates, words), max(len(candidates) - 1, 0))
-            hit = candidates[code] == words if len(candidates) else np.zeros(len(words), bool)
-            pair = np.unique(doc[hit].astype(np.int64) * (len(candidates) + 1) + code[hit])
-            d, c = np.divmod(pair, len(candidates) + 1)
-            kind = np.array([0 if t is None else 1 + f + 2 * (1 - t) for t, f in zip(piece.column("toxic").to_pylist(), piece.column("fold").to_pylist())])
-            np.add.at(total[:, 0], c, 1)
-            size = np.diff(first)
-            total[-1, 0] += size.sum()
-            for k in range(1, 5):
-                np.add.at(total[:, k], c[kind[d] == k], 1)
-                total[-1, k] += size[kind == k].sum()
-        some = np.flatnonzero(total.any(1))
-        names = np.append(candidates, np.uint64(0)).view(np.int64)
-        cols = [names[some], *total[some].T]
-        # The row of all words is told from others by a word that no candidate has.
-        out = pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in cols], names=[c.split()[0] for c in COUNTS.split(", ")])
-        if out.num_rows:
-            yield out
+            total[-1] += len(words)
+            if len(candidates):
+                code = np.minimum(np.searchsorted(candidates, words), len(candidates) - 1)
+                hit = np.flatnonzero(candidates[code] == words)
+                doc = np.searchsorted(first, hit, "right") - 1
+                pair = np.unique(doc * len(candidates) + code[hit])
+                total[:-1] += np.bincount(pair % len(candidates), minlength=len(candidates))
+        task = TaskContext.get()
+        blocks = [k for k in range(0, len(total), BLOCK) if total[k : k + BLOCK].any()]
+        cols = [pa.array([k // BLOCK for k in blocks], pa.int32()), pa.array([task.partitionId() % SUMS if task else 0] * len(blocks), pa.int32())]
+        cols.append(pa.array([total[k : k + BLOCK].tobytes() for k in blocks], pa.binary()))
+        yield pa.RecordBatch.from_arrays(cols, names=["block", "part", "counts"])
 
     return run
 
 
+def _add(rows: pa.Table) -> pa.Table:
+    """One row with the sum of the counts."""
+    total = sum(np.frombuffer(x, np.int64) for x in rows.column("counts").to_pylist())
+    return rows.slice(0, 1).set_column(2, "counts", pa.array([total.tobytes()], pa.binary()))
+
+
+def count_everywhere(docs: DataFrame, candidates: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many rows of ``docs`` each of the sorted ``candidates`` stands, and the number of all words.
+
+    A task sends one row per block of candidates; they are added up in two steps, so that no task gets more than a
+    thousandth of them.
+    """
+    sent = docs.select("text").mapInArrow(_counter(candidates), BLOCKS)
+    for keys in (["block", "part"], ["block"]):
+        sent = sent.groupBy(*keys).applyInArrow(_add, BLOCKS)
+    total = np.zeros(len(candidates) + 1, np.int64)
+    for r in sent.collect():
+        counts = np.frombuffer(r["counts"], np.int64)
+        total[r["block"] * BLOCK : r["block"] * BLOCK + len(counts)] = counts
+    return total[:-1], int(total[-1])
+
+
 def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: np.ndarray, n_toxic: float, n_clean: float, weight: float) -> np.ndarray:
     """Log-odds of words under a Dirichlet prior of total ``weight``, drawn towards zero by SHRINK errors."""
     a, b = toxic + prior, clean + prior
@@ -287,25 +320,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
     """
     texts = docs.select("doc_id", "text")
     known = F.broadcast(training_labels(texts, labels, max_labels))
-    toxic_words = texts.join(known.where("toxic = 1"), "doc_id").select("text").mapInArrow(_distinct_words, "word long, docs long")
-    toxic_words = materialize(toxic_words.groupBy("word").agg(F.sum("docs").alias("docs")), "toxic-words")
-    least = max(MIN_DOCS, math.ceil((toxic_words.agg(F.sum("docs")).first()[0] or 0) / MAX_WORDS))
-    frequent = toxic_words.where(F.col("docs") >= least).select("word").toPandas()["word"].to_numpy(np.int64)
-    candidates = np.sort(frequent.view(np.uint64))
-    marked = texts.join(known, "doc_id", "left").select("text", "toxic", "fold")
-    sums = marked.mapInArrow(_counter(candidates), COUNTS).groupBy("word")
-    table = sums.agg(*[F.sum(c.split()[0]).alias(c.split()[0]) for c in COUNTS.split(", ")[1:]]).toPandas()
+    labelled = texts.join(known, "doc_id").select("text", "toxic", "fold")
+    columns = [c.split()[0] for c in LABELLED.split(", ")]
+    sums = labelled.mapInArrow(_labelled_counter, LABELLED).groupBy("word").agg(*[F.sum(c).alias(c) for c in columns[1:]])
+    sums = materialize(sums, "labelled-words")
+    total = sums.where(F.col("word") == ALL_WORDS).toPandas()[columns[1:]].to_numpy(np.int64).sum(0)
+    frequent = sums.where((F.col("word") != ALL_WORDS) & (F.col("toxic0") + F.col("toxic1") >= MIN_DOCS))
+    table = frequent.toPandas()
     hashes = table.pop("word").to_numpy(np.int64).view(np.uint64)
-    counts = table.to_numpy(np.int64).reshape(len(hashes), 5)
     order = np.argsort(hashes)
-    hashes, counts = hashes[order], counts[order]
-    total = hashes == 0
-    all_words = counts[total].sum(0) if total.any() else np.zeros(5, np.int64)
-    hashes, counts = hashes[~total], counts[~total]
+    hashes, counts = hashes[order], table.to_numpy(np.int64).reshape(len(hashes), 4)[order]
+    everywhere, n_words = count_everywhere(texts, hashes)
+    counts = np.c_[everywhere, counts]
+    all_words = np.r_[n_words, total]
     crossed = [_words_model(counts, hashes, all_words, [1 + f], [3 + f]) for f in (0, 1)]
     words = _words_model(counts, hashes, all_words, [1, 2], [3, 4])
-    matched = texts.join(known, "doc_id").select("text", "toxic", "fold").mapInArrow(_matcher(crossed), MATCHED)
-    matched = materialize(matched, "matched")
+    matched = materialize(labelled.mapInArrow(_matcher(crossed), MATCHED), "matched")
     best: tuple[float, Model] | None = None
     for drift in DRIFTS:
         rows = materialize(matched.mapInArrow(_rescored(drift), "n_words long, toxic int, scores array<double>"), "rescored")

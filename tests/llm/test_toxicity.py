@@ -7,6 +7,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import toxicity
@@ -125,3 +126,16 @@ def test_held_out_accuracy(spark):
     n1 = y.sum()
     auc = (rank[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(y) - n1))
     assert auc > 0.8 and ((out.predicted == 1) & (y == 0)).sum() <= 2
+
+
+def test_counts_of_candidates(spark, frame):
+    rng = random.Random(1)
+    rows = [(k, words(rng, rng.randint(0, 30), 20)) for k in range(50)] + [(50, None), (51, ""), (52, "w1 w1 W1")]
+    known, _ = toxicity.plain_words(pa.array([" ".join(f"w{k}" for k in range(25))]))
+    names = dict(zip(known.tolist(), range(25)))
+    # Others between them, so that there are several blocks.
+    hashes = np.unique(np.r_[known, np.random.default_rng(1).integers(0, 1 << 63, 3 * toxicity.BLOCK).astype(np.uint64) * np.uint64(2)])
+    found, n_words = toxicity.count_everywhere(frame(rows).repartition(5), hashes)
+    want = [sum(f"w{names[h]}" in (t or "").lower().split() for _, t in rows) if h in names else 0 for h in hashes.tolist()]
+    assert n_words == sum(len((t or "").split()) for _, t in rows) and found.tolist() == want and sum(want) > 200
+    assert toxicity.count_everywhere(frame([]), hashes[:0])[0].tolist() == []
