@@ -15,6 +15,7 @@ every slice with the counts of its pairs.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,41 +41,48 @@ ANSWER = "slice long, pairs binary, counts binary, best binary"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def groups(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """For every group, how many tokens of either side end with it; ``a`` and ``b`` are ends that agree at last."""
-    ends_a: list[int] = []
-    ends_b: list[int] = []
+def runs(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """Runs of groups at one shift: how many tokens of either side end with the first group, and the number of groups.
+
+    Every later group of a run has one token of either side.  ``a`` and ``b`` are ends that agree at last.
+    """
+    first_a, first_b, number = [], [], []
     i, j, n = 0, 0, len(a)
     while i < n:
+        # The group that starts here, regular or not: whichever side is behind goes on until both end at one byte.
         x, y = a[i], b[j]
-        if x == y:
-            # One to one from here: probe 1, 2, 4 ... entries at this shift.
-            k, step, shift = i + 1, 1, j - i
-            while k < n and a[k : k + step] == b[k + shift : k + shift + step]:
+        while x != y:
+            if x < y:
+                i += 1
+                x = a[i]
+            else:
+                j += 1
+                y = b[j]
+        i += 1
+        j += 1
+        # One to one from here on: probe in doubled steps at this shift, then halve the last one.
+        k, step, shift = i, 4, j - i
+        while k < n and a[k : k + step] == b[k + shift : k + shift + step]:
+            k += step
+            step *= 2
+        while step > 1 and k < n:
+            step //= 2
+            if a[k : k + step] == b[k + shift : k + shift + step]:
                 k += step
-                step *= 2
-            # Entries of the last probe that still agree.
-            while step > 1 and k < n:
-                step //= 2
-                if a[k : k + step] == b[k + shift : k + shift + step]:
-                    k += step
-            k = min(k, n)
-            ends_a.extend(range(i + 1, k + 1))
-            ends_b.extend(range(j + 1, k + shift + 1))
-            i, j = k, k + shift
-        else:
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = a[i]
-                else:
-                    j += 1
-                    y = b[j]
-            i += 1
-            j += 1
-            ends_a.append(i)
-            ends_b.append(j)
-    return ends_a, ends_b
+        if k > n:
+            k = n
+        first_a.append(i)
+        first_b.append(j)
+        number.append(k - i + 1)
+        i, j = k, k + shift
+    return first_a, first_b, number
+
+
+def groups(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """For every group, how many tokens of either side end with it."""
+    first_a, first_b, number = (np.array(x, np.int64) for x in runs(a, b))
+    later = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    return np.repeat(first_a, number) + later, np.repeat(first_b, number) + later
 
 
 class Tokenizers:
@@ -102,7 +110,7 @@ class Tokenizers:
         for text, b in zip(texts, self.second.encode(texts, num_threads=1)):
             a = self.first(" " + text) if text else []
             whole = b" " + text.encode()
-            same = text and b"".join([self.bytes_a[k] for k in a]) == whole and b"".join([self.bytes_b[k] for k in b]) == whole
+            same = text and b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
             yield (a, b) if same else ([], [])
 
 
@@ -156,9 +164,9 @@ def _tokenizer(first: str, second: str, limit: int):
                 if not ids_a:
                     shas.append("")
                     continue
-                a, b = np.array(ids_a), np.array(ids_b)
-                ga, gb = (np.array(x) for x in groups(np.cumsum(tok.size_a[a]).tolist(), np.cumsum(tok.size_b[b]).tolist()))
-                text = "".join([tok.written[c] for c in group_codes(tok, a, b, ga, gb).tolist()])
+                a, b = (np.frombuffer(array("q", x), np.int64) for x in (ids_a, ids_b))
+                ga, gb = groups(np.cumsum(tok.size_a[a]).tolist(), np.cumsum(tok.size_b[b]).tolist())
+                text = "".join(map(tok.written.__getitem__, group_codes(tok, a, b, ga, gb).tolist()))
                 shas.append(hashlib.sha256(text[:-1].encode()).hexdigest())
                 la, lb = link_ids(tok, a, b, ga, gb)
                 pairs.append(la * len(tok.bytes_b) + lb)
