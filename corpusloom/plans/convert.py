@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.ordering import range_rank
-from corpusloom.operators import dedup, filters
+from corpusloom.operators import bpe, dedup, filters
 from corpusloom.operators import tokens as k
 from corpusloom.plans.filtering import GOPHER
 from corpusloom.plans.registry import query, table
@@ -194,6 +194,31 @@ def k1_keep(spark, sf):
     )
 
 
+BPE_MERGES = 300
+
+
+def _merges(spark, sf):
+    return bpe.train(docs_of(spark, sf), BPE_MERGES)
+
+
+@query("k2_train_bpe")
+def k2_bpe(spark, sf):
+    return _merges(spark, sf)
+
+
+@query("k3_bpe_tokenize")
+def k3_bpe(spark, sf):
+    tok = bpe.tokenize(docs_of(spark, sf), _merges(spark, sf))
+    return tok.select("doc_id", "n_tokens", F.md5(F.array_join("tokens", " ")).alias("ids_md5"))
+
+
+@query("k8_bpe_roundtrip", "select doc_id, md5(text) as text_md5, octet_length(encode(text))::bigint as n_bytes from documents")
+def k8_bpe(spark, sf):
+    merges = _merges(spark, sf)
+    back = bpe.detokenize(bpe.tokenize(docs_of(spark, sf), merges), merges)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.octet_length("text").cast("long").alias("n_bytes"))
+
+
 @query("k2_train_vocab", f"with {vocab_sql()} select token, n, id from voc")
 def k2(spark, sf):
     return vocab_of(spark, sf)
