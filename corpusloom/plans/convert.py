@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.ordering import range_rank
-from corpusloom.operators import bpe, dedup, filters
+from corpusloom.operators import bpe, dedup, filters, sentences
 from corpusloom.operators import tokens as k
 from corpusloom.plans.filtering import GOPHER
-from corpusloom.plans.registry import query, table
+from corpusloom.plans.registry import query, r6, table
 from corpusloom.session import materialize, stage_path
 from corpusloom.sources import io
 
@@ -194,6 +194,98 @@ def k1_keep(spark, sf):
     )
 
 
+def _core_sql(piece: str) -> str:
+    return rf"""regexp_replace({piece}, '^[ \t\n\r\f"''(\[{{«“„‘]+|[ \t\n\r\f"'')\]}}»”’,;:]+\z', '', 'g')"""
+
+
+def _type_sql(word: str) -> str:
+    bare = rf"lower(regexp_replace({word}, '\.\z', ''))"
+    return rf"case when regexp_matches({bare}, '^[0-9]([0-9.,]*[0-9])?\z') then '##' else {bare} end"
+
+
+def _ratio_sql(a: str, b: str, ab: str, n: str) -> str:
+    def xlogy(x, p):
+        return f"case when ({x}) = 0 or ({p}) <= 0 then 0.0::double else ({x}) * ln({p}) end"
+
+    p, p1, p2 = f"({b})::double / {n}", f"({ab})::double / {a}", f"coalesce(({b} - {ab})::double / nullif({n} - {a}, 0), 0)"
+    apart = [xlogy(ab, p), xlogy(f"{a} - {ab}", f"1 - {p}"), xlogy(f"{b} - {ab}", p), xlogy(f"{n} - {a} - {b} + {ab}", f"1 - {p}")]
+    joint = [xlogy(ab, p1), xlogy(f"{a} - {ab}", f"1 - {p1}"), xlogy(f"{b} - {ab}", p2), xlogy(f"{n} - {a} - {b} + {ab}", f"1 - {p2}")]
+    return f"2 * ({' + '.join(joint)} - ({' + '.join(apart)}))"
+
+
+BOUNDARY_SQL = rf"""
+  pc as materialized (select doc_id, lang, regexp_extract_all(text, '[ 	
+
+]*[^ 	
+
+]+[ 	
+
+]*') as ps from documents),
+  cw as materialized (select doc_id, lang, ps, list_transform(ps, lambda x: {_core_sql('x')}) as ws from pc),
+  pr as (select lang, unnest(ws) as a, unnest(list_concat(ws[2:], [''])) as b from cw where len(ws) > 0 and lang is not null),
+  pairs as materialized (select lang, a, b, count(*)::bigint as n, {_type_sql('a')} as t, regexp_matches(a, '[^.]\.\z') as stop from pr group by 1, 2, 3),
+  types as materialized (select lang, t as type, coalesce(sum(n) filter (stop), 0)::bigint as n_stop, coalesce(sum(n) filter (not stop), 0)::bigint as n_plain
+    from pairs group by 1, 2),
+  whole as materialized (select lang, sum(n_stop + n_plain)::bigint as nn, sum(n_stop)::bigint as stops from types group by 1),
+  sz as (select *, stops::double / nn as p, length(regexp_replace(type, '[^.]', '', 'g')) as inside from types join whole using (lang)
+    where n_stop > 0 and regexp_matches(type, '\p{{L}}') and stops < nn),
+  ab as materialized (select *, lang || '/' || type as k from (
+    select lang, type, 2 * (n_stop * ln(0.99 / p) + n_plain * ln((1 - 0.99) / (1 - p))) * exp(-(length(type) - inside)) * (inside + 1)
+    * pow((length(type) - inside)::double, -n_plain) as score from sz) where score >= 0.3),
+  mk as materialized (select lang, a, b, n, t, u, lang || '/' || t as tk, lang || '/' || u as uk, case when regexp_matches(t, '^\p{{L}}\z') then 'initial'
+    when lang || '/' || t in (select k from ab) then 'abbreviation' when t = '##' then 'number' else 'plain' end as sort
+    from (select lang, a, b, n, t, {_type_sql('b')} as u from pairs where stop and b <> '')),
+  tot as materialized (select lang || '/' || type as k, n_stop + n_plain as nb from types),
+  ends as materialized (select lang, sum(n) as na, any_value(nn) as nn from mk join whole using (lang) where sort = 'plain' group by 1),
+  fst as materialized (select lang, u as type, uk, sum(n) as nab from mk where sort = 'plain' group by 1, 2, 3),
+  st as materialized (select lang, type, uk, score from (select f.lang, type, uk, nb, nab, na, nn, {_ratio_sql('na', 'nb', 'nab', 'nn')} as score
+    from fst f join tot on tot.k = f.uk join ends on ends.lang = f.lang) where nab::double / nb > na::double / nn and score >= 30),
+  bo as materialized (select lang, t, u, tk, uk, sum(n) as nab from mk where sort <> 'plain' group by all having sum(n) > 1),
+  bx as materialized (select bo.*, nb as na from bo join tot on tot.k = tk),
+  by_ as materialized (select bx.*, nb from bx join tot on tot.k = uk),
+  co as materialized (select lang, t, u, tk || '/' || u as k, score from (select by_.*, nn, {_ratio_sql('na', 'nb', 'nab', 'nn')} as score
+    from by_ join whole using (lang)) where nab::double / nb > na::double / nn and score >= 7.88 and uk not in (select uk from st)),
+  shp as materialized (select lang || '/' || u as k, bool_or(low) as low, bool_or(inside) as inside from (
+    select lang, {_type_sql('b')} as u, regexp_matches(b, '^\p{{Ll}}') as low,
+      regexp_matches(b, '^\p{{Lu}}') and not regexp_matches(a, '[.!?]\z') as inside from pairs where b <> '') group by 1),
+  dec as materialized (select lang || '/' || a || ' ' || b as k, case when sort = 'plain' then true when tk || '/' || u in (select k from co) then false
+    when sort = 'abbreviation' then regexp_matches(b, '^\p{{Lu}}') and ((low and not inside) or uk in (select uk from st))
+    when sort = 'initial' then regexp_matches(b, '^\p{{Lu}}') and low and not inside
+    else not regexp_matches(b, '^\p{{Ll}}') end as breaks from mk left join shp on shp.k = uk)"""
+
+
+def _boundaries(spark, sf):
+    return sentences.train(docs_of(spark, sf, "lang"))
+
+
+@query(
+    "k1_sentence_model",
+    f"""with {BOUNDARY_SQL} select lang, 'abbreviation' as kind, type as a, null::varchar as b, round(score, 6) as score from ab
+        union all select lang, 'starter', type, null, round(score, 6) from st union all select lang, 'pair', t, u, round(score, 6) from co""",
+)
+def k1_model(spark, sf):
+    return _boundaries(spark, sf)[0].withColumn("score", r6("score"))
+
+
+@query(
+    "k1_split_by_language",
+    rf"""with {BOUNDARY_SQL},
+    cand as (select doc_id, lang, unnest(range(1, len(ws))) as i, ws from cw where len(ws) > 1),
+    kept as (select doc_id, list(i) as held from cand join dec on dec.k = lang || '/' || ws[i] || ' ' || ws[i + 1]
+      where regexp_matches(ws[i], '[^.]\.\z') and not breaks group by 1),
+    cuts as (select cw.doc_id, ps, list_concat([0], list_filter(range(1, len(ws)), lambda i: not list_contains(coalesce(held, []), i) and (
+        regexp_matches(ws[i], '[!?]\z') or regexp_matches(ws[i], '[^.]\.\z')
+        or regexp_matches(ws[i], '\.\.\z') and regexp_matches(ws[i + 1], '^\p{{Lu}}'))), [len(ws)]) as e
+      from cw left join kept using (doc_id) where len(ws) > 0)
+    select doc_id, (k - 1)::int as seq_no, array_to_string(ps[e[k] + 1 : e[k + 1]], '') as sentence
+    from (select *, unnest(range(1, len(e))) as k from cuts)""",
+)
+def k1_by_language(spark, sf):
+    docs = docs_of(spark, sf, "lang")
+    out = sentences.split(docs, _boundaries(spark, sf)[1])
+    return out.select("doc_id", F.posexplode("sentences").alias("seq_no", "sentence"))
+
+
 BPE_MERGES = 300
 
 
