@@ -11,8 +11,6 @@ from corpusloom.sources import io
 
 MET = """met as (select event_type as run, event_id // 50 as step, user_id % 4 as rank, 'd' || (user_id % 5) as dataset,
     'layer' || (user_id % 6) as layer, ts, value, (props->>'k')::bigint as k from events)"""
-# Steps that the logs leave out.
-GAPS = "step % 7 <> 3 and step % 23 > 1"
 STEPS = f"{MET}, st as (select run, step, max(ts) as ts, sum(value * k) / sum(k) as loss, sum(k)::bigint as n_tokens, count(*) as n from met group by 1, 2)"
 
 
@@ -101,14 +99,14 @@ def a2_custom(spark, sf):
 @query(
     "a3_rolling_throughput",
     f"""with {STEPS}, e as (select run, step, (epoch_us(ts) - epoch_us(lag(ts, 20) over (partition by run order by step))) / 1000000::double as s
-         from st where {GAPS}),
+         from st),
     b as (select run, step, case when s > 0 then 20 / s end as b from e)
     select run, step, round(b, 6) as batches_per_sec, round(b * 64, 6) as samples_per_sec, round(b * 64 * 2048, 6) as tokens_per_sec,
            round(b / 8, 6) as device_batches_per_sec, round(b * 64 / 8, 6) as device_samples_per_sec,
            round(b * 64 * 2048 / 8, 6) as device_tokens_per_sec from b""",
 )
 def a3(spark, sf):
-    out = a.rolling_throughput(_steps(spark, sf).where(GAPS), 64, 2048, 8)
+    out = a.rolling_throughput(_steps(spark, sf), 64, 2048, 8)
     return out.select("run", "step", *[r6(c).alias(c) for c in out.columns[2:]])
 
 
@@ -128,13 +126,12 @@ def a4(spark, sf):
     return out.select("run", "step", r6("trailing_max").alias("trailing_max"), "alert")
 
 
-# Evaluations are several steps apart, and some are missing.
-VAL = f"""{MET}, pd as (select run, step, dataset, sum(value * k) / nullif(sum(k), 0) as loss from met where step % 3 = 0 and {GAPS} group by 1, 2, 3),
+VAL = f"""{MET}, pd as (select run, step, dataset, sum(value * k) / nullif(sum(k), 0) as loss from met group by 1, 2, 3),
   val as (select * from pd union all select run, step, null, avg(loss) from pd group by 1, 2)"""
 
 
 def _validation(spark, sf):
-    return a.validation_by_dataset(_metrics(spark, sf).where(f"step % 3 = 0 and {GAPS}"))
+    return a.validation_by_dataset(_metrics(spark, sf))
 
 
 @query("a5_validation_by_dataset", f"with {VAL} select run, step, dataset, round(loss, 9) as loss from val")
@@ -187,11 +184,11 @@ def a7(spark, sf):
 @query(
     "a8_throughput_drop",
     f"""with {STEPS}, w as (select run, step, n_tokens::double as tflops, avg(n_tokens::double) over z as m, count(*) over z as seen from st
-          where {GAPS} window z as (partition by run order by step rows between 20 preceding and 1 preceding))
+          window z as (partition by run order by step rows between 20 preceding and 1 preceding))
     select run, step, tflops, round(m, 6) as trailing_mean from w where seen >= 20 and tflops < (1 - 0.3::double) * m""",
 )
 def a8(spark, sf):
-    steps = _steps(spark, sf).where(GAPS).select("run", "step", F.col("n_tokens").cast("double").alias("tflops"))
+    steps = _steps(spark, sf).select("run", "step", F.col("n_tokens").cast("double").alias("tflops"))
     return a.throughput_drop(steps, block=40).withColumn("trailing_mean", r6("trailing_mean"))
 
 
@@ -236,7 +233,7 @@ def a10(spark, sf):
 
 @query(
     "a11_loss_scale_floor",
-    f"""with {STEPS}, x as (select run, step, pow(2, 16 - step % 17)::double as scale from st where {GAPS}),
+    f"""with {STEPS}, x as (select run, step, pow(2, 16 - step % 17)::double as scale from st),
     r as (select *, coalesce(scale > lag(scale) over (partition by run order by step), true)::int as up from x),
     g as (select *, sum(up) over (partition by run order by step) as i from r)
     select run, min(step) as first_step, max(step) as last_step, max(scale) as from_scale, min(scale) as to_scale, count(*) as n_steps
@@ -244,12 +241,12 @@ def a10(spark, sf):
 )
 def a11(spark, sf):
     scale = F.pow(F.lit(2.0), (16 - F.col("step") % 17).cast("double"))
-    return a.loss_scale_floor(_steps(spark, sf).where(GAPS).select("run", "step", scale.alias("scale")), 1.0, block=40)
+    return a.loss_scale_floor(_steps(spark, sf).select("run", "step", scale.alias("scale")), 1.0, block=40)
 
 
 @query(
     "a12_power_per_iter",
-    f"""with {SEEN}, l as (select run, step, ts, tokens_seen * 3.5::double as e from sn where step % 10 = 0 and {GAPS}),
+    f"""with {SEEN}, l as (select run, step, ts, tokens_seen * 3.5::double as e from sn where step % 10 = 0),
     p as (select *, step - lag(step) over z as n, e - lag(e) over z as de, epoch_us(ts) - epoch_us(lag(ts) over z) as dt
           from l window z as (partition by run order by step)),
     d as (select run, step, de / n / 8 as j, dt / 1000000::double / n as s from p where n is not null)
@@ -257,5 +254,5 @@ def a11(spark, sf):
 )
 def a12(spark, sf):
     seen = a.running_tokens(_steps(spark, sf), block=40)
-    out = a.power_per_iter(seen.where(GAPS).withColumn("energy", F.col("tokens_seen") * 3.5), 10, 8)
+    out = a.power_per_iter(seen.withColumn("energy", F.col("tokens_seen") * 3.5), 10, 8)
     return out.withColumns({"iter_energy": r6("iter_energy"), "power": r6("power")})
