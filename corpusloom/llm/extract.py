@@ -63,13 +63,34 @@ HIDDEN = frozenset("head script style noscript template iframe object svg canvas
 NEVER = frozenset("nav header footer aside dialog menu".split())
 WORD, SURE = 1, 2
 MARK = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside|related|recommend\w*|"
+    r"ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside|related|recommend\w*|"
     r"share|sharing|social|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscri\w*|signup|login|search|form|comments?|replies|"
-    r"respond|disqus|discussion|toolbar|pagination|pager|copyright|legal|complementary|contentinfo|navigation)(?:$|[^a-z])"
+    r"respond|disqus|discussion|toolbar|pagination|pager|copyright|legal|complementary|contentinfo|navigation"
 )
+# Words that only say where or what kind of box a region is; they may stand beside a marking word.
+LAYOUT = frozenset(
+    "area bar block bottom box buttons col column container content global group inner items left links list local main page "
+    "panel post primary reader readers right row secondary section site slot top unit user users widget widgets wrap wrapper".split()
+)
+
+
+def marks(value: str) -> bool:
+    """Whether a class, id or role marks a region: some whole name in it is made of marking words and layout words
+    alone.  ``cookie-notice`` and ``site-header`` do, ``share-price`` and ``no-sidebar`` do not."""
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if any(MARK.fullmatch(w) for w in words) and all(w in LAYOUT or MARK.fullmatch(w) for w in words):
+            return True
+    return False
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
-_MARKED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+
+# In a tag, quotes have a meaning only after an equals sign.
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|"
+    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*)>?",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _SPACE = re.compile(r"\s+")
 
 
@@ -77,7 +98,7 @@ class Node:
     """An element: its tag, whether it shows no text, how surely its markup says it is not the article (0, WORD or
     SURE), and its children and texts in order."""
 
-    __slots__ = ("tag", "hidden", "mark", "parts", "label")
+    __slots__ = ("tag", "hidden", "mark", "parts", "label", "shape", "size")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.parts = tag, []
@@ -85,14 +106,14 @@ class Node:
         self.mark = SURE if tag in NEVER else WORD if tag == "form" else 0
         self.label = tag
         if attributes and ("=" in attributes or "hidden" in attributes):
-            for name, *value in _MARKED.findall(attributes):
+            for name, *value in _ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(value).lower()
                 if name == "hidden" or (name == "aria-hidden" and value == "true"):
                     self.hidden = True
                 elif name in ("class", "id", "role"):
                     if name == "class":
                         self.label = f"{tag}.{value}"
-                    if MARK.search(value) and tag not in ("body", "html", "main", "article"):
+                    if marks(value) and tag not in ("body", "html", "main", "article"):
                         self.mark = max(self.mark, SURE if name == "role" else WORD)
 
     def children(self) -> list[Node]:
@@ -140,6 +161,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID and not m[4].rstrip().endswith("/"):
             stack.append(node)
+    measure(root)
     return root
 
 
@@ -157,92 +179,144 @@ def own_text(node: Node) -> str:
     return _SPACE.sub(" ", html.unescape(" ".join(p for p in node.parts if isinstance(p, str)))).strip()
 
 
+def measure(root: Node) -> None:
+    """Give every node its ``size`` (nodes of its subtree) and ``shape`` (equal for subtrees of equal labels)."""
+    order = [root]
+    for node in order:
+        order += node.children()
+    for node in reversed(order):
+        inner = node.children()
+        node.size = 1 + sum(c.size for c in inner)
+        node.shape = hash((node.label, *(c.shape for c in inner)))
+
+
+def _ends(left: list[Node], right: list[Node]) -> tuple[int, int]:
+    """How many first and last subtrees of two lists have equal shapes; to pair these is always best."""
+    most = min(len(left), len(right))
+    lo = 0
+    while lo < most and left[lo].shape == right[lo].shape:
+        lo += 1
+    hi = 0
+    while hi < most - lo and left[-1 - hi].shape == right[-1 - hi].shape:
+        hi += 1
+    return lo, hi
+
+
+class Matcher:
+    """Simple tree matching: the largest number of node pairs of two trees that keep labels, ancestors and sibling
+    order, for every two subtrees that are asked for; each pair of shapes is worked out once."""
+
+    def __init__(self):
+        self.known: dict[tuple[int, int], int] = {}
+
+    def weight(self, a: Node, b: Node) -> int:
+        """Pairs of the subtrees of two nodes, 0 where their labels differ.  Deep trees need no deep recursion."""
+        if a.label != b.label:
+            return 0
+        value = self._at_hand(a, b)
+        todo = [] if value is not None else [self._work(a, b)]
+        while todo:
+            try:
+                pair = todo[-1].send(value)
+                value = self._at_hand(*pair)
+                if value is None:
+                    todo.append(self._work(*pair))
+            except StopIteration as done:
+                todo.pop()
+                value = done.value
+        return value
+
+    def _at_hand(self, a: Node, b: Node) -> int | None:
+        if a.shape == b.shape:
+            return a.size
+        if a.size == 1 or b.size == 1:
+            return 1
+        return self.known.get((a.shape, b.shape))
+
+    def _work(self, a: Node, b: Node):
+        """Asks for the weights of pairs of children as it goes; two rows of the alignment's table are kept."""
+        left, right = a.children(), b.children()
+        lo, hi = _ends(left, right)
+        total = 1 + sum(c.size for c in left[:lo]) + sum(c.size for c in left[len(left) - hi :])
+        right = right[lo : len(right) - hi]
+        row = [0] * (len(right) + 1)
+        for p in left[lo : len(left) - hi]:
+            new = [0]
+            for j, q in enumerate(right):
+                best = row[j + 1] if row[j + 1] > new[j] else new[j]
+                if p.label == q.label:
+                    w = self._at_hand(p, q)
+                    if w is None:
+                        w = yield p, q
+                    best = max(best, row[j] + w)
+                new.append(best)
+            row = new
+        self.known[a.shape, b.shape] = total + row[-1]
+        return total + row[-1]
+
+    def align(self, left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
+        """The pairs of children in a best alignment."""
+        if not left or not right:
+            return []
+        if len(left) > 1 and len(left) * len(right) > MAX_CELLS:
+            # The same best alignment in linear memory (Hirschberg): halves of one side meet where their sum is greatest.
+            mid = len(left) // 2
+            cut = int(np.argmax(self.scores(left[:mid], right) + self.scores(left[mid:][::-1], right[::-1])[::-1]))
+            return self.align(left[:mid], right[:cut]) + self.align(left[mid:], right[cut:])
+        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        weight = {}
+        for i, p in enumerate(left, 1):
+            for j, q in enumerate(right, 1):
+                up = max(best[i - 1][j], best[i][j - 1])
+                if p.label == q.label:
+                    w = weight[i, j] = self.weight(p, q)
+                    up = max(up, best[i - 1][j - 1] + w)
+                best[i][j] = up
+        out, i, j = [], len(left), len(right)
+        while i and j:
+            if (i, j) in weight and best[i][j] == best[i - 1][j - 1] + weight[i, j]:
+                out.append((left[i - 1], right[j - 1]))
+                i, j = i - 1, j - 1
+            elif best[i][j] == best[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return out[::-1]
+
+    def scores(self, left: list[Node], right: list[Node]) -> np.ndarray:
+        """The weight of the best alignment of ``left`` with every head of ``right``."""
+        kinds: dict[int, int] = {}
+        of = np.array([kinds.setdefault(q.shape, len(kinds)) for q in right], np.int64)
+        some = {q.shape: q for q in right}
+        best = np.zeros(len(right) + 1, np.int64)
+        known: dict[int, np.ndarray] = {}
+        for p in left:
+            if p.shape not in known:
+                if len(known) * len(kinds) > MAX_CELLS:
+                    known.clear()
+                known[p.shape] = np.array([self.weight(p, some[s]) for s in kinds], np.int64)
+            best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + known[p.shape][of]))
+        return best
+
+
 def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Simple tree matching: pairs of nodes of two trees with equal roots, top down.
+    """Simple tree matching: the pairs of nodes of a largest matching of two trees with equal roots, top down.
 
-    Siblings are aligned in order so that as many nodes as possible are paired; the weight of a pair is one
-    more than what its children could pair at most by tag.
+    Children are aligned in order so that the sum of the matchings of their subtrees is greatest.  First and last
+    subtrees of equal shape are paired at once, which is never worse; both trees must have been measured.
     """
+    matcher = Matcher()
     pairs = [(a, b)]
     for x, y in pairs:
         left, right = x.children(), y.children()
-        if not left or not right:
-            continue
-        if len(left) == len(right) and all(p.label == q.label for p, q in zip(left, right)):
-            pairs += zip(left, right)
-            continue
-        # Equal heads and tails need no table.
-        lo = 0
-        while lo < min(len(left), len(right)) and left[lo].label == right[lo].label:
-            lo += 1
-        hi = 0
-        while hi < min(len(left), len(right)) - lo and left[-1 - hi].label == right[-1 - hi].label:
-            hi += 1
-        pairs += zip(left[:lo], right[:lo])
-        if hi:
-            pairs += zip(left[-hi:], right[-hi:])
-        pairs += _align(left[lo : len(left) - hi], right[lo : len(right) - hi])
+        if left and right:
+            lo, hi = _ends(left, right)
+            pairs += zip(left[:lo], right[:lo])
+            pairs += matcher.align(left[lo : len(left) - hi], right[lo : len(right) - hi])
+            pairs += zip(left[len(left) - hi :], right[len(right) - hi :])
     return pairs
 
 
-def _size(node: Node) -> Counter:
-    return Counter(c.label for c in node.children())
-
-
-def _align(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
-    if not left or not right:
-        return []
-    if len(left) > 1 and len(left) * len(right) > MAX_CELLS:
-        # The same best alignment in linear memory (Hirschberg): halves of one side meet where their sum is greatest.
-        mid = len(left) // 2
-        cut = int(np.argmax(_scores(left[:mid], right) + _scores(left[mid:][::-1], right[::-1])[::-1]))
-        return _align(left[:mid], right[:cut]) + _align(left[mid:], right[cut:])
-    shapes = [_size(q) for q in right]
-    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-    weight = {}
-    for i, p in enumerate(left, 1):
-        shape = _size(p)
-        for j, q in enumerate(right, 1):
-            up = max(best[i - 1][j], best[i][j - 1])
-            if p.label == q.label:
-                w = weight[i, j] = 1 + (sum((shape & shapes[j - 1]).values()) if shape else 0)
-                up = max(up, best[i - 1][j - 1] + w)
-            best[i][j] = up
-    out, i, j = [], len(left), len(right)
-    while i and j:
-        if (i, j) in weight and best[i][j] == best[i - 1][j - 1] + weight[i, j]:
-            out.append((left[i - 1], right[j - 1]))
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return out[::-1]
-
-
-def _scores(left: list[Node], right: list[Node]) -> np.ndarray:
-    """The weight of the best alignment of ``left`` with every head of ``right``."""
-    kinds: dict[tuple, int] = {}
-    shapes: list[tuple[str, Counter]] = []
-    of = np.empty(len(right), np.int64)
-    for j, q in enumerate(right):
-        shape = _size(q)
-        of[j] = kinds.setdefault((q.label, frozenset(shape.items())), len(kinds))
-        if len(shapes) < len(kinds):
-            shapes.append((q.label, shape))
-    best = np.zeros(len(right) + 1, np.int64)
-    known: dict[tuple, np.ndarray] = {}
-    for p in left:
-        shape = _size(p)
-        key = p.label, frozenset(shape.items())
-        if key not in known:
-            if len(known) * len(kinds) > MAX_CELLS:
-                known.clear()
-            known[key] = np.array([1 + sum((shape & s).values()) if label == p.label else 0 for label, s in shapes], np.int64)
-        best[1:] = np.maximum.accumulate(np.maximum(best[1:], best[:-1] + known[key][of]))
-    return best
-
-
 def edges(root: Node) -> set[tuple[str, str]]:
     """The pairs of labels of a node and its parent."""
     out, todo = set(), [root]

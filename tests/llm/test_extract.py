@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from corpusloom.llm import extract
@@ -124,3 +126,73 @@ def test_empty_table_and_long_pages(spark):
     deep = "<div>" * 5000 + "x" + "<p>y" * 20_000
     (r,) = extract.main_text(spark.createDataFrame([(1, "http://a.b/", deep)], PAGES)).collect()
     assert r.text == "x" + " y" * 20_000
+
+
+def random_tree(rng: random.Random, size: int) -> str:
+    """Markup of nested b and i elements, which do not end each other."""
+    if size <= 0:
+        return ""
+    inner = rng.randint(0, size - 1)
+    tag = rng.choice("bi")
+    return f"<{tag}>{random_tree(rng, inner)}</{tag}>{random_tree(rng, size - 1 - inner)}"
+
+
+def largest(a, b) -> int:
+    """The size of a largest matching of two subtrees, by the plain recursion over heads of the lists of children."""
+    if a.label != b.label:
+        return 0
+    left, right = a.children(), b.children()
+
+    def best(i, j):
+        if i == len(left) or j == len(right):
+            return 0
+        return max(best(i + 1, j), best(i, j + 1), largest(left[i], right[j]) + best(i + 1, j + 1))
+
+    return 1 + best(0, 0)
+
+
+@pytest.mark.parametrize("seed", range(60))
+@pytest.mark.parametrize("cells", [1, 40_000])
+def test_matching_has_the_greatest_size(seed, cells, monkeypatch):
+    monkeypatch.setattr(extract, "MAX_CELLS", cells)
+    rng = random.Random(seed)
+    a, b = (extract.parse(random_tree(rng, rng.randint(1, 9))) for _ in range(2))
+    pairs = extract.match(a, b)
+    assert len(pairs) == largest(a, b) == extract.Matcher().weight(a, b)
+    assert all(x.label == y.label for x, y in pairs) and len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == len(pairs)
+
+
+def test_optional_blocks_do_not_shift_the_template(spark):
+    page = "<body>{0}<div><a>Home</a><a>Shop</a><a>Help</a></div><div><h1>Story {1}</h1><p>It is told <b>here</b> {1}</p></div><div><p>All rights</p><p>with the firm</p></div></body>"
+    rows = [(k, f"http://a.example/{k}", page.format("<div><p>Flash {0}</p></div>".format(k) if k % 3 == 0 else "", k)) for k in range(60)]
+    out = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all("Home" not in t and "All rights" not in t and f"Story {k}" in t for k, t in out.items())
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<p>A <a title=don't>Hello it's me</a> B</p>", "A Hello it's me B"),
+        ("<p>A <a title=don't>Hello me</a> B</p>", "A Hello me B"),
+        ("<p title='a>b' class = x data=\"c>d\">in</p> out", "in out"),
+        ("<p it's>in</p> out", "in out"),
+        ("<p title=\"open>in</p> out", "in out"),
+        ("<article><p class='share-price'>Up</p><section class='legal-analysis'>Law</section><div class='share'>tell</div></article>", "Up Law"),
+        ("<p title='class=ad'>kept</p><div class='site-header'>h</div><div id='comment_list'>c</div>", "kept"),
+    ],
+)
+def test_attributes_and_names(page, want):
+    assert text_of(page) == want
+
+
+def test_clashing_columns(spark):
+    rows = [(k, f"http://shop.example/{k}", shop(k)) for k in range(8)]
+    extra = ", host string, refs string, kind int, constant string, text string, hash int, shape int, n_pages int, n int"
+    df = spark.createDataFrame([(*r, "h", "r", 1, "c", "t", 2, 3, 4, 5) for r in rows], PAGES + extra)
+    want = sorted(map(str, extract.main_text(spark.createDataFrame(rows, PAGES)).collect()))
+    assert sorted(map(str, extract.main_text(df).collect())) == want
+
+
+def test_deep_trees_that_differ():
+    a, b = (extract.parse("<div>" * 3000 + x) for x in ("<b>x</b>", "<i>y</i><b>x</b>"))
+    assert len(extract.match(a, b)) == 3002
