@@ -12,7 +12,6 @@ for each block, so no broadcast grows with the benchmark and nothing is shuffled
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -38,46 +37,76 @@ def windows_of(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndar
     return at, window_hash(running(words), at, at + size)
 
 
+def _free(used: np.ndarray) -> np.ndarray:
+    """How many unmarked words follow from each place on."""
+    at = np.arange(len(used))
+    return np.minimum.accumulate(np.where(used, at, len(used))[::-1])[::-1] - at
+
+
+def _common(run_a: np.ndarray, a: np.ndarray, run_b: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Lengths, up to ``most``, of the common runs from places ``a`` and ``b`` on, by halving with window hashes."""
+    low, high = np.zeros(len(a), np.int64), most.copy()
+    while (low < high).any():
+        mid = (low + high + 1) // 2
+        same = window_hash(run_a, a, a + mid) == window_hash(run_b, b, b + mid)
+        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+    return low
+
+
 def tile(item: list[int], text: list[int], min_match: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (item start, text start, length), longest matches first, none overlapping."""
-    used_i, used_t = bytearray(len(item)), bytearray(len(text))
+    """Greedy string tiling: (item start, text start, length), longest matches first, none overlapping.
+
+    A scan looks at the places where a common run can begin, those whose words before differ or are marked, and not
+    at every two equal windows; words that repeat cost no more than others.
+    """
+    words, number = np.unique(np.array([*item, *text], np.uint64), return_inverse=True)
+    number = number.ravel() + 2
+    before_i, before_t = number[: len(item)], number[len(item) :]
+    run_i, run_t = running(np.array(item, np.uint64)), running(np.array(text, np.uint64))
+    used_i, used_t = np.zeros(len(item), bool), np.zeros(len(text), bool)
+    kinds = len(words) + 2
     tiles: list[tuple[int, int, int]] = []
 
+    def starts(used: np.ndarray, names: np.ndarray, size: int, none: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unmarked windows, the word before each (``none`` where there is none to extend to), and what is free there."""
+        free = _free(used)
+        at = np.flatnonzero(free >= size)
+        last = np.where(at > 0, names[at - 1], none)
+        last[(at > 0) & used[at - 1]] = none
+        return at, last, free
+
     def scan(size: int) -> list[tuple[int, int, int]]:
-        """Maximal unmarked common runs of at least ``size`` words, found by window hashes."""
-        def unmarked(seq: list[int], used: bytearray) -> list[int]:
-            at, free = [], 0
-            for k, u in enumerate(used):
-                free = 0 if u else free + 1
-                if free >= size:
-                    at.append(k - size + 1)
-            return at
-
-        places: dict[int, list[int]] = defaultdict(list)
-        if not (starts_i := unmarked(item, used_i)) or not (starts_t := unmarked(text, used_t)):
+        """Maximal unmarked common runs of at least ``size`` words, longest first."""
+        at_i, last_i, free_i = starts(used_i, before_i, size, 0)
+        at_t, last_t, free_t = starts(used_t, before_t, size, 1)
+        if not len(at_i) or not len(at_t):
             return []
-        run_i, run_t = running(np.array(item, np.uint64)), running(np.array(text, np.uint64))
-        a, b = np.array(starts_i), np.array(starts_t)
-        for s, h in zip(starts_i, window_hash(run_i, a, a + size).tolist()):
-            places[h].append(s)
-        found = []
-        for t, h in zip(starts_t, window_hash(run_t, b, b + size).tolist()):
-            for i in places.get(h, ()):
-                if i and t and item[i - 1] == text[t - 1] and not used_i[i - 1] and not used_t[t - 1]:
-                    continue  # part of a run that starts further left
-                n = 0
-                while i + n < len(item) and t + n < len(text) and item[i + n] == text[t + n] and not used_i[i + n] and not used_t[t + n]:
-                    n += 1
-                if n >= size:
-                    found.append((n, i, t))
-        return sorted(found, key=lambda m: (-m[0], m[1], m[2]))
+        names, of_i = np.unique(window_hash(run_i, at_i, at_i + size), return_inverse=True)
+        hash_t = window_hash(run_t, at_t, at_t + size)
+        of_t = np.minimum(np.searchsorted(names, hash_t), len(names) - 1)
+        met = names[of_t] == hash_t
+        at_t, last_t, of_t = at_t[met], last_t[met], of_t[met]
+        key = of_i.ravel() * kinds + last_i
+        order = np.argsort(key, kind="stable")
+        key, at_i = key[order], at_i[order]
+        lo, hi = np.searchsorted(key, of_t * kinds), np.searchsorted(key, (of_t + 1) * kinds)
+        same_lo, same_hi = np.searchsorted(key, of_t * kinds + last_t), np.searchsorted(key, of_t * kinds + last_t, "right")
+        found_i, found_t = [], []
+        for a, b in ((lo, same_lo), (same_hi, hi)):
+            n = b - a
+            found_t.append(np.repeat(at_t, n))
+            found_i.append(at_i[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        i, t = np.concatenate(found_i), np.concatenate(found_t)
+        n = _common(run_i, i, run_t, t, np.minimum(free_i[i], free_t[t]))
+        order = np.lexsort((t, i, -n))
+        return list(zip(n[order].tolist(), i[order].tolist(), t[order].tolist()))
 
     size = max(min_match, min(len(item), len(text)))
     while True:
         for n, i, t in scan(size):
-            if any(used_i[i : i + n]) or any(used_t[t : t + n]):
+            if used_i[i : i + n].any() or used_t[t : t + n].any():
                 break  # what is left of it may be the longest now: scan again
-            used_i[i : i + n] = used_t[t : t + n] = b"\x01" * n
+            used_i[i : i + n] = used_t[t : t + n] = True
             tiles.append((i, t, n))
         else:
             if size == min_match:
@@ -101,13 +130,27 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
 def _searcher(block: list[tuple[int, str]], min_match: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, first = plain_words(pa.array([t for _, t in block], pa.string()))
-        at, seeds = windows_of(words, first, min_match)
+        at, windows = windows_of(words, first, min_match)
         owner = np.searchsorted(first, at, "right") - 1
-        order = np.argsort(seeds, kind="stable")
-        seeds, owner = seeds[order], owner[order]
+        # A window that an item repeats is one seed of it.
+        order = np.lexsort((owner, windows))
+        seeds, owners = windows[order], owner[order]
+        new = np.r_[True, (seeds[1:] != seeds[:-1]) | (owners[1:] != owners[:-1])] if len(seeds) else np.empty(0, bool)
+        seeds, owners = seeds[new], owners[new]
         coarse = np.zeros(1 << FILTER_BITS, bool)
         coarse[seeds >> np.uint64(64 - FILTER_BITS)] = True
         of_item = [words[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
+        begin = np.searchsorted(owner, np.arange(len(block) + 1))
+
+        def reachable(k: int, found: np.ndarray) -> int:
+            """Words of item ``k`` inside of windows that a document has; no tiling covers more."""
+            hit = np.isin(windows[begin[k] : begin[k + 1]], found)
+            step = np.zeros(len(of_item[k]) + 1, np.int64)
+            start = np.flatnonzero(hit)
+            np.add.at(step, start, 1)
+            np.add.at(step, start + min_match, -1)
+            return int((np.cumsum(step) > 0).sum())
+
         for batch in slices(batches):
             ids, out = batch.column("doc_id"), []
             w, f = plain_words(batch.column("text"))
@@ -117,12 +160,19 @@ def _searcher(block: list[tuple[int, str]], min_match: int, threshold: float):
             left, right = np.searchsorted(seeds, h, "left"), np.searchsorted(seeds, h, "right")
             hit = right > left
             start, left, right = start[hit], left[hit], right[hit]
-            covered: dict[tuple[int, int], list[int]] = defaultdict(list)
-            for s, a, b, d in zip(start.tolist(), left.tolist(), right.tolist(), (np.searchsorted(f, start, "right") - 1).tolist()):
-                for k in set(owner[a:b].tolist()):
-                    covered[d, k].append(s)
-            for (d, k), starts in covered.items():
+            h, n = h[hit], right - left
+            doc = np.repeat(np.searchsorted(f, start, "right") - 1, n)
+            item_no = owners[np.repeat(left - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            pair = doc * max(len(block), 1) + item_no
+            by = np.argsort(pair, kind="stable")
+            cuts = np.flatnonzero(np.diff(pair[by])) + 1
+            seen, place = np.repeat(h, n)[by], np.repeat(start, n)[by]
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(by)]) if len(by) else ():
+                d, k = divmod(int(pair[by[a]]), max(len(block), 1))
                 item = of_item[k]
+                if reachable(k, seen[a:b]) < threshold * len(item):
+                    continue
+                starts = place[a:b].tolist()
                 # Only words inside seeds can be in a match; a gap becomes a word that no item has.
                 region: list[int] = []
                 end = -1

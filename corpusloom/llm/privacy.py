@@ -130,7 +130,7 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
 def _loose(text: str, failed: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     out = []
     for s, kind, e in failed:
-        n = len(_digits(text[s:e])) if e - s < 64 else 0
+        n = len(_digits(text[s:e]))
         if (kind == 2 and 13 <= n <= 19) or (kind == 3 and 7 <= n <= 17) or (kind == 1 and e - s <= 19):
             out.append((s, kind, e))
     lower = text.lower() if "[" in text or "(" in text else ""
@@ -138,7 +138,7 @@ def _loose(text: str, failed: list[tuple[int, int, int]]) -> list[tuple[int, int
         out += [(m.start(), 0, m.end()) for m in _SPELLED.finditer(text)]
     out += [(m.start(), 3, m.end()) for m in _LOCAL_PHONE.finditer(text)]
     out += [(m.start(), 4, m.end()) for m in _IBAN.finditer(text)]
-    out += [(m.start(), 5, m.end()) for m in _SECRET.finditer(text) if m.end() - m.start() <= 512]
+    out += [(m.start(), 5, m.end()) for m in _SECRET.finditer(text)]
     return out
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -49,6 +50,31 @@ def test_repeated_words_end():
     assert decontaminate.tile([7] * 60, [7] * 2000, 5) == [(0, 0, 60)]
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_tiles_of_words_that_repeat(seed):
+    rng = random.Random(seed)
+    n = rng.randint(1, 4)
+    item, text = ([rng.randrange(n) for _ in range(rng.randint(1, k))] for k in (40, 60))
+    assert decontaminate.tile(item, text, 3) == plain_tiles(item, text, 3)
+
+
+def test_long_runs_of_one_word_take_linear_time():
+    begin = time.process_time()
+    assert decontaminate.tile([7] * 800, [7] * 20_000, 5) == [(0, 0, 800)]
+    assert time.process_time() - begin < 0.5
+    assert sum(n for *_, n in decontaminate.tile([7] * 800 + [8], [7] * 300 + [9] + [7] * 200_000, 5)) == 800
+
+
+def test_a_seed_of_many_items_is_pruned(spark, frame):
+    """All items share one passage that covers none of them far enough."""
+    rng = random.Random(8)
+    shared = words(rng, 10, 5000)
+    items = [(k, f"{words(rng, 60, 5000)} {shared}") for k in range(300)]
+    docs = [(k, f"{shared} {words(rng, 30, 5000)}") for k in range(200)] + [(900, items[7][1])]
+    found = decontaminate.contaminated(frame(docs), spark.createDataFrame(items, ITEMS)).collect()
+    assert [(r.doc_id, r.item_id) for r in found] == [(900, 7)]
+
+
 def leaks():
     rng = random.Random(3)
     items = [(k, words(rng, 40, 5000)) for k in range(6)] + [(90, None), (91, ""), (92, "too short"), (93, "ä" * 10)]
