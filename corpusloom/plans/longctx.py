@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import longctx as c
+from corpusloom.operators import wholepack
 from corpusloom.plans.convert import tok_sql, tokens_of
 from corpusloom.plans.mixture import DOCS, _docs
 from corpusloom.plans.registry import query, r6
@@ -92,3 +93,8 @@ def c4(spark, sf):
     tok = tokens_of(spark, sf, "source")
     packed = c.pack_to_window(tok, tok, WINDOW)
     return packed.select("sample_id", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+
+
+@query("c4_pack_whole")
+def c4_whole(spark, sf):
+    return wholepack.pack_whole(_lengths(spark, sf), WINDOW)

@@ -46,7 +46,7 @@ def test_contract(spark):
     assert set(SQL) <= set(queries)
     own = set(plans.QUERIES)
     assert own <= set(queries) and own - set(SQL) == {
-        "d8_semantic_dedup_kmeans", "k2_train_bpe", "k3_bpe_tokenize", "m12_regmix", "q3_quality_classifier", "t4_toxicity_classifier"}
+        "c4_pack_whole", "d8_semantic_dedup_kmeans", "k2_train_bpe", "k3_bpe_tokenize", "m12_regmix", "q3_quality_classifier", "t4_toxicity_classifier"}
     df = entry.entry(spark)
     assert df.columns == ["lang", "source", "n_docs", "n_sequences", "n_tokens"] and df.count() > 0
 
