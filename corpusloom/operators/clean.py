@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import name2codepoint
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,26 +20,8 @@ BLOCK_ELEMENTS = (
 )
 TAG_REST = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>"""
 
-# Named character references (the ampersand is decoded last).
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&euro;": "€",
-    "&amp;": "&",
-}
+# Named character references, from the table of the standard library (HTML 4) and the one XML adds.
+NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 # Latin ligatures, which canonical composition leaves alone.
 LIGATURES = {
@@ -56,22 +39,30 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _numeric_references(text: Column) -> Column:
-    """Decode &#233; and &#xE9; by rebuilding the text around each ampersand."""
+def _references(text: Column) -> Column:
+    """Decode &eacute;, &#233; and &#xE9; by rebuilding the text around each ampersand: what a reference stands for is
+    not read again, so &#38;lt; and &amp;lt; are both &lt;.  Unknown references stay."""
+    known = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
 
     def one(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
         dec = F.regexp_extract(part, r"^#([0-9]{1,7});", 1)
         hexa = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
         n = F.when(dec != "", dec.cast("long")).when(hexa != "", F.conv(hexa, 16, 10).cast("long"))
         valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
         rest = F.regexp_replace(part, r"^#[xX]?[0-9a-fA-F]+;", "")
-        return F.when(valid, F.concat(_code_point(n), rest)).otherwise(F.concat(F.lit("&"), part))
+        char = F.try_element_at(known, name)
+        return (
+            F.when(char.isNotNull(), F.concat(char, F.substring(part, F.length(name) + 2, F.length(part))))
+            .when(valid, F.concat(_code_point(n), rest))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
 
     parts = F.split(text, "&")
     rebuilt = F.concat(
         parts[0], F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), "")
     )
-    return F.when(text.contains("&#"), rebuilt).otherwise(text)
+    return F.when(text.contains("&"), rebuilt).otherwise(text)
 
 
 def html_text(html: Column | str) -> Column:
@@ -81,9 +72,7 @@ def html_text(html: Column | str) -> Column:
         t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "\n")
     t = F.regexp_replace(t, rf"(?i)</?(?:{BLOCK_ELEMENTS})\b{TAG_REST}", "\n")
     t = F.regexp_replace(t, rf"</?[a-zA-Z!]{TAG_REST}", "")
-    t = _numeric_references(t)
-    for name, char in ENTITIES.items():
-        t = F.replace(t, F.lit(name), F.lit(char))
+    t = _references(t)
     t = F.regexp_replace(t, r"[ \t\r\f\x{A0}]+", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
     return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")

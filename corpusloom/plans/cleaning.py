@@ -18,14 +18,37 @@ def _html_sql() -> str:
         t = _sub(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "chr(10)")
     t = _sub(t, rf"(?i)</?(?:{clean.BLOCK_ELEMENTS})\b{clean.TAG_REST}", "chr(10)")
     t = _sub(t, rf"</?[a-zA-Z!]{clean.TAG_REST}", "''")
-    for name, char in clean.ENTITIES.items():
-        t = f"replace({t}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return t
+
+
+def _decoded_sql(t: str) -> str:
+    """Named and numeric references in one pass; ``m`` is the map of names."""
+    names = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
+    dec, hexa = "regexp_extract(p, '^#([0-9]{1,7});', 1)", "regexp_extract(p, '^#[xX]([0-9a-fA-F]{1,6});', 1)"
+    n = f"(case when {dec} <> '' then {dec}::bigint when {hexa} <> '' then ('0x' || {hexa})::bigint end)"
+    one = (
+        f"case when m[{names}] is not null then m[{names}] || substr(p, length({names}) + 2) "
+        f"when {n} between 1 and 55295 or {n} between 57344 and 1114111 then chr({n}::int) || regexp_replace(p, '^#[xX]?[0-9a-fA-F]+;', '') "
+        "else '&' || p end"
+    )
+    return f"string_split({t}, '&')[1] || array_to_string(list_transform(string_split({t}, '&')[2:], lambda p: {one}), '')"
+
+
+def _spaced_sql(t: str) -> str:
     t = _sub(t, r"[ \t\r\f\x{A0}]+", "' '")
     t = _sub(t, r" ?\n[ \n]*", "chr(10)")
     return _sub(t, r"^[ \n]+|[ \n]+$", "''")
 
 
-@query("x1_html_to_text", f"select page_id, url, {_html_sql()} as text from pages")
+_NAMES = "map {" + ", ".join(f"'{k}': chr({ord(v)})" for k, v in clean.NAMED.items()) + "}"
+
+
+@query(
+    "x1_html_to_text",
+    f"""with ent as (select {_NAMES} as m), bare as (select page_id, url, {_html_sql()} as t from pages),
+    decoded as (select page_id, url, {_decoded_sql('t')} as t from bare, ent)
+    select page_id, url, {_spaced_sql('t')} as text from decoded""",
+)
 def x1(spark, sf):
     return clean.html_to_text(table(spark, sf, "pages")).select("page_id", "url", "text")
 

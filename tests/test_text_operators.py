@@ -92,6 +92,13 @@ def test_dehyphenate_and_symbols(spark):
     assert got[0].d == "the environment" and got[1].s == "text line\n\nend"
 
 
+def test_references_are_decoded_once(spark):
+    page = "&eacute;&uuml;&Eacute; &#38;lt; &amp;amp; &amp;#65; &hearts;&euro;&apos; &#0; &#xD800; &nosuch; &lt &; a&b &alpha;&#x1F600;"
+    df = spark.createDataFrame([(page,), (None,), ("",), ("plain",)], "html string")
+    got = [r.text for r in clean.html_to_text(df).collect()]
+    assert got == ["éüÉ &lt; &amp; &#65; ♥€' &#0; &#xD800; &nosuch; &lt &; a&b α\U0001f600", None, "", "plain"]
+
+
 def test_html_entities_and_quotes(spark):
     html = ('<html><head><title>T</title></head><body><!-- c --><nav>menu</nav><p title="a > b">x &amp;lt; y&#233;&#x41;</p>'
             "<script>if (a < b) {}</script><ul><li>one<li>two</ul>&#999999999; &unknown;</body></html>")
