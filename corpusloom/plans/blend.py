@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.functions import permute as pm
 from corpusloom.functions.ordering import hash_rank
 from corpusloom.operators import blending as b
 from corpusloom.plans.registry import query, r6, table
@@ -154,6 +155,39 @@ def b7_shared(spark, sf):
     return b.assign_ranks_random(_plan(spark, sf), _n(spark, sf), 3, 4, 6, data_sharding=False)
 
 
+def permuted_sql(seed: int) -> str:
+    """CTEs ending in perm(x, p): where the permutation of [0, n) puts x, n being the number of documents."""
+    net = "select x, l0 // b as l, l0 % b as r, n, a, b from (select x, y as l0, n, a, b from {source} cross join ab)"
+    for k, (m, c, d) in enumerate(pm.keys(seed)):
+        of, to, below = ("r", "l", "a") if k % 2 == 0 else ("l", "r", "b")
+        net = f"select *, ({of} * {m} + {c}) % {pm.PRIME} as t from ({net})"
+        net = f"select x, {of}, ({to} + ((t * t + {d}) % {pm.PRIME}) % {below}) % {below} as {to}, n, a, b from ({net})"
+    net = f"select x, l * b + r as y, n from ({net})"
+    return f"""nn as (select count(*)::bigint as n from documents),
+    cand as (select n, unnest(range(floor(sqrt(n))::bigint, floor(sqrt(n))::bigint + {pm.CHOICES})) as a from nn),
+    ab as (select n, a, (n + a - 1) // a as b from cand order by (n + a - 1) // a * a - n, a limit 1),
+    ids as (select unnest(range(0, n)) as x from nn),
+    walk as ({net.format(source='(select x, x as y from ids)')} union all {net.format(source='(select x, y from walk where y >= n)')}),
+    perm as (select x, y as p from walk where y < n)"""
+
+
+@query("n4_permuted_order", f"with recursive {permuted_sql(7)} select x as sample_id, p as position from perm")
+def n4_permuted(spark, sf):
+    n = table(spark, sf, "documents", "doc_id").count()
+    return spark.range(n).select(F.col("id").alias("sample_id"), pm.permute(F.col("id"), n, 7).alias("position"))
+
+
+@query(
+    "b7_ranks_by_permutation",
+    f"with recursive {permuted_sql(11)} select (x % 6)::int as rank, x // 6 as draw, p as sample_id from perm",
+)
+def b7_permuted(spark, sf):
+    """Every rank computes its own draws; nothing is sorted or exchanged."""
+    n = table(spark, sf, "documents", "doc_id").count()
+    rank, draw = (F.col("id") % 6).cast("int"), F.call_function("div", F.col("id"), F.lit(6).cast("long"))
+    return spark.range(n).select(rank.alias("rank"), draw.alias("draw"), pm.permute(F.col("id"), n, 11).alias("sample_id"))
+
+
 @query("b8_resume", RANKS.format(c=240))
 def b8(spark, sf):
     return b.resume(_plan(spark, sf), _n(spark, sf), b.consumed_samples(10, 0, 24), 4, 6)
