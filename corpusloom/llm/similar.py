@@ -1,13 +1,16 @@
-"""N-gram Jaccard join with MinHash banding and exact verification.
+"""N-gram Jaccard join over a MinHash LSH forest, with exact verification.
 
-Texts are sets of hashed word shingles.  Each of ``trees`` bands ("tries" below) is the prefix of one length of a list
-of MinHash values; two texts of similarity t share a prefix of length d in some band with probability
-1 - (1 - t**d)**trees.  The length is the longest that reaches the target recall at the threshold.  It is solved once
-and not matched from the longest down, so this is banding in place of an LSH forest; texts
-that share the prefix in some band are candidates, and every candidate pair is verified on the exact sets.
+Texts are sets of hashed word shingles.  Each of ``trees`` tries holds every text under a label of ``depth`` MinHash
+values; labels are bytes, so their order is the order of the trie and a prefix of a label is a trie node.  Two texts of
+similarity t share a prefix of length d in some trie with probability 1 - (1 - t**d)**trees.  Every text starts at
+its whole label and shortens it until that probability reaches the target recall for the least similarity that its
+links can have, which depends on its number of shingles: a text of three has links of similarity 1 alone and keeps the
+whole label, one of seven has none below 6/7 and keeps six values, long ones come down to four.  A link is bounded from
+both of its ends, so a pair may meet at the longer prefix of the two; texts below a trie node that reach it are
+candidates, and every candidate pair is verified on the exact sets.
 
 Equal texts are one node from the start, so copies cost nothing.  A trie node that holds the same texts as
-one of another trie is looked at once, large ones are cut into blocks that are compared two by two, and a
+another one is looked at once, large ones are cut into blocks that are compared two by two, and a
 pair that meets in several trie nodes counts in the first.  Tasks return what is linear in their input: the
 number of links of each text and a forest of verified links, never a list of pairs.
 """
@@ -15,6 +18,7 @@ number of links of each text and a forest of verified links, never a list of pai
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,8 @@ from corpusloom.operators.dedup import connected_components
 WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 20, 8
+# Bytes that a label keeps of each of its MinHash values; values that agree in them by chance only add candidates.
+VALUE = 2
 RECALL = 0.9999
 # Texts that one task compares with each other.
 BLOCK = 1024
@@ -37,13 +43,31 @@ NO_ID = -(1 << 63)
 
 
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix, from ``depth`` down, at which the bands reach ``recall`` at ``threshold``."""
+    """The longest prefix, from ``depth`` down, at which the tries reach ``recall`` at ``threshold``."""
     for d in range(depth, 1, -1):
         if 1 - (1 - threshold**d) ** trees >= recall:
             return d
     return 1
 
 
+@lru_cache(maxsize=1 << 16)
+def least_similarity(size: int, threshold: float) -> float:
+    """The lowest similarity, ``threshold`` or more, of a set of ``size`` to any set; 1 if only equal sets reach it."""
+    common = np.arange(1, size + 1)
+    # A shade below the threshold: rounding may only lower the bound.
+    union = np.floor(common / (threshold - 1e-9))
+    some = union > size if threshold < 1 else np.zeros(size, bool)
+    # With all of the set in common, the other one has at least one more; else the union is the set itself or more.
+    some |= (union >= size) & (common < size)
+    return float((common[some] / union[some]).min()) if some.any() else 1.0
+
+
+@lru_cache(maxsize=1 << 16)
+def label_length(size: int, threshold: float, trees: int, depth: int, recall: float) -> int:
+    """How many values of its labels a text of ``size`` shingles must not be shortened beyond."""
+    return prefix_length(least_similarity(size, threshold), trees, depth, recall)
+
+
 def shingles(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``n``-word windows of all texts and where each text's begin (n + 1 entries).
 
@@ -60,28 +84,58 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     return window_hash(run, starts[order], stops[order]), np.searchsorted(doc[order], np.arange(len(first)))
 
 
-def _signer(n: int, trees: int, depth: int):
+def _signer(n: int, trees: int, depth: int, threshold: float, recall: float):
     multipliers = mix(np.arange(1, trees * depth + 1, dtype=np.uint64) * ROLL) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             values, first = shingles(*utf8(piece.column("text")), n)
-            some = np.flatnonzero(np.diff(first))
-            keys = np.zeros((len(piece), trees), np.uint64)
+            size = np.diff(first)
+            some = np.flatnonzero(size)
+            labels = np.empty((len(some), trees, depth), ">u2")
+            for k in range(trees * depth if len(some) else 0):
+                least = np.minimum.reduceat(values * multipliers[k], first[:-1][some])
+                labels[:, k // depth, k % depth] = (mix(least) >> np.uint64(48)).astype(np.uint16)
+            width = depth * VALUE
+            flat = pa.Array.from_buffers(pa.binary(), len(some) * trees, [
+                None, pa.py_buffer(np.arange(0, (len(some) * trees + 1) * width, width, dtype=np.int32)), pa.py_buffer(labels.tobytes())
+            ])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(size > 0, trees, 0))].astype(np.int32)), flat)
+            # Shingles that a text repeats are one member of its set.
+            distinct = np.zeros(len(piece), np.int64)
             if len(some):
-                at = first[:-1][some]
-                for t in range(trees):
-                    key = np.full(len(some), t + 1, np.uint64)
-                    for d in range(depth):
-                        least = np.minimum.reduceat(values * multipliers[t * depth + d], at)
-                        key = mix(key * ROLL + least)
-                    keys[some, t] = key
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(np.diff(first) > 0, trees, 0))].astype(np.int32)), pa.array(keys[some].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("node"), lists], names=["doc_id", "node", "keys"])
+                owner = np.repeat(np.arange(len(piece)), size)
+                order = np.lexsort((values, owner))
+                new = np.r_[True, (values[order][1:] != values[order][:-1]) | (owner[order][1:] != owner[order][:-1])]
+                distinct = np.bincount(owner[order][new], minlength=len(piece))
+            need = pa.array([label_length(int(k), threshold, trees, depth, recall) if k else depth for k in distinct], pa.int32())
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("node"), need, lists], names=["doc_id", "node", "need", "labels"])
 
     return run
 
 
+def trie_nodes(texts: DataFrame, depth: int, stop: int) -> tuple[DataFrame, DataFrame]:
+    """Trie nodes where texts meet, and the texts of each: (key, n) and (node, doc_id, key).
+
+    ``texts`` are (node, doc_id, need, labels).  A text stands at all nodes of its path from its whole label up to
+    ``need`` values; two texts may meet where the one with the longer ``need`` stops, so nodes are kept where some
+    text stops and another one stands.  Nodes with the same texts count as one.  Paths are followed only below
+    prefixes of ``stop`` values, the shortest there are, that hold two texts or more.
+    """
+    members = texts.select("node", "doc_id", "need", F.posexplode("labels").alias("tree", "label"))
+    prefix = lambda d: F.xxhash64("tree", d, F.substring("label", F.lit(1), d * F.lit(VALUE)))
+    members = members.withColumn("root", prefix(F.lit(stop)))
+    roots = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("deepest")).where("n > 1")
+    paths = skew_join(members, roots, ["root"], "n", ["node"]).withColumn("d", F.explode(F.sequence("need", "deepest")))
+    paths = materialize(paths.select("node", "doc_id", prefix(F.col("d")).alias("key"), (F.col("d") == F.col("need")).alias("stops")), "paths")
+    # What a trie node holds: how many texts, and a sum that tells equal contents.
+    held = paths.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max("stops").alias("stops"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")
+    ).where("n > 1 and stops")
+    chosen = held.groupBy("n", "sum").agg(F.min("key").alias("key")).select("key", "n")
+    return chosen, paths.select("node", "doc_id", "key")
+
+
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for b in batches:
@@ -195,25 +249,21 @@ def similar(
     A class whose ``doc_id`` are all null has a null ``class_id``.
     """
     n_rows, text_bytes = text_stats(docs)
-    d = prefix_length(threshold, trees, depth, recall)
     texts = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("node"), "text"
     )
-    signed = materialize(texts.mapInArrow(_signer(words, trees, d), "doc_id long, node binary, keys array<long>"), "signed")
+    signer = _signer(words, trees, depth, threshold, recall)
+    signed = materialize(texts.mapInArrow(signer, "doc_id long, node binary, need int, labels array<binary>"), "signed")
     # ``own`` names a class; rows without an id do not, but may have to lend their text.
     nodes = signed.groupBy("node").agg(
         F.min("doc_id").alias("doc_id"),
         F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("own"),
         F.count(F.lit(1)).alias("copies"),
-        F.any_value("keys").alias("keys"),
+        F.any_value("need").alias("need"),
+        F.any_value("labels").alias("labels"),
     )
     nodes = materialize(nodes, "nodes")
-    members = nodes.select("node", "doc_id", F.explode("keys").alias("key"))
-    # What a trie node holds: how many texts, and a sum that tells equal contents.
-    held = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum")
-    ).where("n > 1")
-    chosen = held.groupBy("n", "sum").agg(F.min("key").alias("key")).select("key", "n")
+    chosen, members = trie_nodes(nodes, depth, prefix_length(threshold, trees, depth, recall))
     met = skew_join(members, chosen, ["key"], "n", ["node"])
     parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
     mine = met.groupBy("node", "doc_id").agg(F.collect_list(F.struct("key", parts.alias("g"))).alias("met"))

@@ -85,3 +85,46 @@ def test_prefix_length_reaches_the_target():
     d = similar.prefix_length(0.8)
     assert 1 - (1 - 0.8**d) ** similar.TREES >= similar.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** similar.TREES
     assert similar.prefix_length(0.05) == 1
+
+
+def test_least_similarity_is_that_of_all_sizes():
+    for t in (0.5, 0.8, 0.9):
+        for s in range(1, 30):
+            pairs = ((i, q) for i in range(1, s + 1) for q in range(i, 3 * s + 3) if not i == s == q)
+            want = min((i / (s + q - i) for i, q in pairs if i / (s + q - i) >= t - 1e-12), default=1.0)
+            assert similar.least_similarity(s, t) == pytest.approx(want), (t, s)
+
+
+def test_labels_are_shortened_by_what_a_text_can_be_linked_to():
+    args = (similar.THRESHOLD, similar.TREES, similar.DEPTH, similar.RECALL)
+    assert [similar.label_length(s, *args) for s in (1, 3, 4, 6, 7, 500)] == [8, 8, 4, 5, 6, 4]
+
+
+def test_trie_nodes_of_short_texts(frame):
+    """Texts of seven and eight shingles stop at different depths and are linked; three of four are too few."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        base = words(rng, 16, 10**6).split()
+        for n in (7, 8, 11, 12):
+            rows.append((len(rows), " ".join(base[:n])))
+    out = similar.similar(frame(rows)).select("doc_id", "class_id", "n_links", "n_copies")
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == brute(rows) and sum(r[2] for r in got) == 80
+
+
+def test_trie_keeps_nodes_where_a_text_stops(spark):
+    label = lambda *v: b"".join(x.to_bytes(2, "big") for x in v)
+    rows = [
+        (b"a", 1, 2, [label(1, 1, 1, 1)]),
+        (b"b", 2, 3, [label(1, 1, 1, 2)]),
+        (b"c", 3, 4, [label(1, 1, 1, 2)]),
+        (b"d", 4, 3, [label(1, 1, 2, 2)]),
+        (b"e", 5, 2, [label(9, 9, 9, 9)]),
+    ]
+    chosen, members = similar.trie_nodes(spark.createDataFrame(rows, "node binary, doc_id long, need int, labels array<binary>"), 4, 2)
+    held = {}
+    for r in members.join(chosen, "key").collect():
+        held.setdefault(r.key, set()).add(bytes(r.node))
+    # b stops at three values, where a stands; c stops at its whole label, where b stands; nobody comes up to a's two.
+    assert sorted(map(sorted, held.values())) == [[b"a", b"b"], [b"b", b"c"]]
