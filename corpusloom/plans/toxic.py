@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.operators import terms as phrases
 from corpusloom.operators import toxicity as t
 from corpusloom.plans.registry import bare_sql, query, r6, table
 
@@ -29,6 +30,32 @@ def t1(spark, sf):
     return out.select("doc_id", "n_words", "n_terms", "n_severe", r6("density").alias("density"), "dropped")
 
 
+PHRASES_SQL = f"""with p as (
+    select item_id, list_filter({bare_sql('text')}, lambda w: w <> '') as ws from benchmark),
+  terms as (select distinct array_to_string(ws[1:k], ' ') as term, k from p, (values (2), (3)) l(k) where len(ws) >= k),
+  d as (select doc_id, list_filter({bare_sql('text')}, lambda w: w <> '') as ws from documents),
+  g as (select doc_id, k, unnest(list_transform(range(1, greatest(len(ws) - k + 2, 1)), lambda i: array_to_string(ws[i:i + k - 1], ' '))) as term
+        from d, (values (2), (3)) l(k))
+select doc_id, term, count(*)::bigint as n from g join terms using (term, k) group by doc_id, term"""
+
+
+def _openings(spark, sf):
+    """The table of phrases: the first two and the first three words of every benchmark item."""
+    held = table(spark, sf, "benchmark", "item_id", "text").select(phrases.term_words("text").alias("ws"))
+    long = held.select("ws", F.explode(F.array(F.lit(2), F.lit(3))).alias("k")).where(F.size("ws") >= F.col("k"))
+    return long.select(F.array_join(F.slice("ws", F.lit(1), F.col("k")), " ").alias("term")).distinct()
+
+
+@query("t1_find_terms", PHRASES_SQL)
+def t1_find(spark, sf):
+    return phrases.find_terms(table(spark, sf, "documents", "doc_id", "text"), _openings(spark, sf))
+
+
+@query("t1_find_terms_joined", PHRASES_SQL)
+def t1_find_joined(spark, sf):
+    return phrases.find_terms(table(spark, sf, "documents", "doc_id", "text"), _openings(spark, sf), max_chars=0)
+
+
 @query(
     "t2_spam_score",
     f"""with b as (select doc_id, unnest({bare_sql('text')}) as w from documents),
