@@ -52,9 +52,11 @@ def _write_log(st, noise=False):
 
 
 def _steps(spark, sf):
+    # A step without counted tokens has no finite loss: its quotient is NaN or infinite, as in the SQL, and no error.
+    loss = F.coalesce(F.try_divide(F.sum("loss_sum"), F.sum("n_tokens")), F.signum(F.sum("loss_sum")) * float("inf"))
     return _metrics(spark, sf).groupBy("run", "step").agg(
         F.max("ts").alias("ts"),
-        (F.sum("loss_sum") / F.sum("n_tokens")).alias("loss"),
+        loss.alias("loss"),
         F.sum("n_tokens").alias("n_tokens"),
         F.count("*").alias("n"),
     )
