@@ -11,6 +11,8 @@ from corpusloom.functions.ordering import hash_rank, prefix_sum
 from corpusloom.session import materialize
 
 SURPLUS = 0.005
+# Positions of neighbouring blocks that one task runs through, each from the end of the one before.
+CHAIN = 200_000
 
 
 def dataset_sizes(weights: DataFrame, n: int, surplus: float = SURPLUS, have: str | None = None) -> DataFrame:
@@ -49,68 +51,77 @@ def _likely_counts(w: np.ndarray, at: int) -> np.ndarray:
 
 
 def blend_exact(
-    spark: SparkSession, weights: DataFrame, n: int, block: int = 1_000_000, warm_up: int = 10_000
+    spark: SparkSession, weights: DataFrame, n: int, block: int = 1_000_000, warm_up: int = 10_000, chain: int = CHAIN
 ) -> DataFrame:
     """(position, dataset_id, dataset_sample_id) in the order of the greedy largest-deficit rule.
 
     The rule looks sequential, but its state is only the running counts, and runs that start from
-    nearly right counts soon agree with the true one.  So blocks run in parallel from a guess plus a
-    warm-up; a block whose start differs from its predecessor's end is run again from that end, until
-    the whole chain agrees.  The result is exact for any guess: the first block is right, and each
-    round makes at least one more block right.
+    nearly right counts soon agree with the true one.  So chains of blocks, about ``chain`` positions long (one
+    block at least), run in parallel from a guess plus a warm-up; a chain whose start differs from its
+    predecessor's end is run again from that end, until all of them agree.  The result is exact for any
+    guess: the first chain is right, and each round makes at least one more right.  Blocks bound what a task
+    holds, chains the number of tasks.
     """
     w = np.array(_weight_list(weights), dtype=np.float64)
-    n_blocks = max(1, -(-n // block))
-    fields = "block long, start array<long>, stop array<long>"
+    length = block * max(1, chain // block)
+    n_chains = max(1, -(-n // length))
+    fields = "chain long, start array<long>, stop array<long>"
+
+    def blocks_of(c: int):
+        end = min((c + 1) * length, n)
+        for first in range(c * length, end, block):
+            yield first, min(first + block, end)
 
     def run(batches):
         for pdf in batches:
             rows = []
-            for b, given in zip(pdf["block"], pdf["start"]):
-                first, last = int(b) * block, min((int(b) + 1) * block, n)
+            for c, given in zip(pdf["chain"], pdf["start"]):
                 if given is None:
+                    first = int(c) * length
                     begin = max(0, first - warm_up)
                     counts = _likely_counts(w, begin) if begin else np.zeros(len(w), dtype=np.int64)
                     _greedy(w, counts, begin, first)
                 else:
                     counts = np.array(given, dtype=np.int64)
                 start = counts.copy()
-                _greedy(w, counts, first, last)
-                rows.append((int(b), start, counts))
-            yield pd.DataFrame(rows, columns=["block", "start", "stop"])
+                for first, last in blocks_of(int(c)):
+                    _greedy(w, counts, first, last)
+                rows.append((int(c), start, counts))
+            yield pd.DataFrame(rows, columns=["chain", "start", "stop"])
 
-    blocks = spark.range(0, n_blocks, 1, min(n_blocks, 10_000)).select(
-        F.col("id").alias("block"), F.lit(None).cast("array<long>").alias("start")
+    chains = spark.range(0, n_chains, 1, min(n_chains, 10_000)).select(
+        F.col("id").alias("chain"), F.lit(None).cast("array<long>").alias("start")
     )
-    state = materialize(blocks.mapInPandas(run, fields), "blend-blocks")
+    state = materialize(chains.mapInPandas(run, fields), "blend-chains")
     while True:
-        ends = state.select((F.col("block") + 1).alias("block"), F.col("stop").alias("_true"))
-        wrong = state.join(ends, "block").where(F.col("start") != F.col("_true"))
-        redo = materialize(wrong.select("block", F.col("_true").alias("start")), "blend-redo")
+        ends = state.select((F.col("chain") + 1).alias("chain"), F.col("stop").alias("_true"))
+        wrong = state.join(ends, "chain").where(F.col("start") != F.col("_true"))
+        redo = materialize(wrong.select("chain", F.col("_true").alias("start")), "blend-redo")
         if redo.isEmpty():
             break
-        again = redo.repartition("block").mapInPandas(run, fields)
-        state = materialize(state.join(redo.select("block"), "block", "left_anti").unionByName(again), "blend-blocks")
+        again = redo.repartition("chain").mapInPandas(run, fields)
+        state = materialize(state.join(redo.select("chain"), "chain", "left_anti").unionByName(again), "blend-chains")
 
     def emit(batches):
         for pdf in batches:
-            for b, given in zip(pdf["block"], pdf["start"]):
-                first, last = int(b) * block, min((int(b) + 1) * block, n)
-                base = np.array(given, dtype=np.int64)
-                chosen = _greedy(w, base.copy(), first, last)
-                order = np.argsort(chosen, kind="stable")
-                sizes = np.bincount(chosen, minlength=len(w))
-                nth = np.empty(len(chosen), dtype=np.int64)
-                nth[order] = np.arange(len(chosen)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                yield pd.DataFrame(
-                    {
-                        "position": np.arange(first, last),
-                        "dataset_id": chosen,
-                        "dataset_sample_id": nth + base[chosen],
-                    }
-                )
-
-    spread = state.select("block", "start").repartition("block")
+            for c, given in zip(pdf["chain"], pdf["start"]):
+                counts = np.array(given, dtype=np.int64)
+                for first, last in blocks_of(int(c)):
+                    base = counts.copy()
+                    chosen = _greedy(w, counts, first, last)
+                    order = np.argsort(chosen, kind="stable")
+                    sizes = np.bincount(chosen, minlength=len(w))
+                    nth = np.empty(len(chosen), dtype=np.int64)
+                    nth[order] = np.arange(len(chosen)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    yield pd.DataFrame(
+                        {
+                            "position": np.arange(first, last),
+                            "dataset_id": chosen,
+                            "dataset_sample_id": nth + base[chosen],
+                        }
+                    )
+
+    spread = state.select("chain", "start").repartition(min(n_chains, 10_000), "chain")
     return spread.mapInPandas(emit, "position long, dataset_id long, dataset_sample_id long")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from corpusloom.operators import blending as b
 from corpusloom.operators import longctx as c
 from corpusloom.operators import packing as p
 from corpusloom.operators import tokens as k
+from corpusloom.session import durable_dir
 from corpusloom.sources import io
 
 TEXTS = ["the cat sat. The cat ran!\n", "", "ünïcode 3.14 is  pi\t\r\n😀", "the", "   "]
@@ -208,6 +211,23 @@ def test_blend_exact_in_blocks_equals_the_loop(spark, ws):
         assert [tuple(r) for r in got] == _greedy(ws, 230)
 
 
+@pytest.mark.parametrize("chain", [1, 74, 150])
+def test_blend_exact_in_chains_equals_the_loop(spark, chain):
+    ws = [0.1, 0.2, 0.3, 0.4]
+    for warm in (0, 30):
+        got = b.blend_exact(spark, _weights(spark, ws), 230, block=37, warm_up=warm, chain=chain).orderBy("position").collect()
+        assert [tuple(r) for r in got] == _greedy(ws, 230)
+
+
+def test_small_blocks_of_a_blend_share_tasks(spark):
+    def written():
+        return set(Path(urlparse(durable_dir(spark)).path).glob("blend-*/part-*"))
+
+    known = written()
+    got = b.blend_exact(spark, _weights(spark, [0.7, 0.3]), 3000, block=10, warm_up=5)
+    assert got.count() == 3000 and len(written() - known) <= 4
+
+
 def test_blend_scalable_keeps_proportions(spark):
     rng = np.random.default_rng(3)
     ws = rng.dirichlet([1.0] * 6).tolist()
