@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import terms as t
 
@@ -49,3 +50,14 @@ def test_many_terms_in_one_pass(spark):
     table = spark.range(100_000).selectExpr("concat('w', translate(id, '0123456789', 'abcdefghij'), ' x') as term")
     docs = spark.createDataFrame([(1, "wba x wba x wjjjjj x wjjjjjj x", "", 0)], DOCS)
     assert sorted((r.term, r.n) for r in t.find_terms(docs, table).collect()) == [("wba x", 2), ("wjjjjj x", 1)]
+
+
+@pytest.mark.parametrize("most", [t.MAX_SLOTS, 1 << 12])
+def test_sequences_are_filtered_before_they_meet_the_table(spark, most):
+    table = spark.range(500).selectExpr("concat('w', id, ' x') as term")
+    maybe = t.maybe_listed(table, most=most)
+    seen = spark.range(20_000).selectExpr("id", "concat('w', id, ' x') as term").withColumn("passes", maybe(F.xxhash64("term")))
+    rows = seen.collect()
+    assert all(r.passes for r in rows if r.id < 500)
+    assert sum(r.passes for r in rows if r.id >= 500) < (1000 if most == t.MAX_SLOTS else 3000)
+    assert spark.createDataFrame([("a",)], "term string").where(t.maybe_listed(table.limit(0))(F.xxhash64("term"))).count() == 0
