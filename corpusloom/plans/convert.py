@@ -96,10 +96,11 @@ def _jsonl(spark, sf):
     line = F.to_json(F.struct("doc_id", "lang", text.alias("text")))
     path = stage_path(spark, "jsonl")
     broken = F.when(F.col("doc_id") % 50 == 9, F.concat(F.lit('{"doc_id": '), F.col("text"))).otherwise(line)
-    # One file per language in the order of the ids, all with the same name in folders of their own.
+    # One folder per language, its files in the order of the ids: no language is written by a single task.
     lines = docs.select(F.concat(F.lit("part-"), "lang").alias("part"), "doc_id", F.regexp_replace(broken, "\n", " ").alias("value"))
-    lines.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
-    return io.read_jsonl(spark, path, DOC_SCHEMA)
+    ranged = lines.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id")
+    ranged.select("part", "value").write.partitionBy("part").text(path)
+    return io.read_jsonl(spark, path, DOC_SCHEMA, in_parts=True)
 
 
 @query(

@@ -51,9 +51,12 @@ def validate_text_key(df: DataFrame, key: str, corrupt: str = "_corrupt_record")
     )
 
 
-def numbered_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def numbered_lines(spark: SparkSession, paths: list[str] | str, in_parts: bool = False) -> DataFrame:
     """Text lines with ``file_path`` and ``line_no`` (from 0), besides ``value`` and partition columns.
 
+    With ``in_parts`` the files of a folder are the parts of one, by name: its path is the folder's, and its lines
+    are numbered through.
+
     Rows of a split are numbered as they are scanned; the splits of each file, one row for each, are counted
     and summed up, and travel back to the lines.  Files of any size are read in parallel.
     """
@@ -65,10 +68,11 @@ def numbered_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         F.monotonically_increasing_id().alias("_n"),
     )
     splits = raw.groupBy("file_path", "_at").agg(F.min("_n").alias("_first"), F.count("*").alias("_rows"))
-    over = W.partitionBy("file_path").orderBy("_at")
+    whole = F.regexp_replace("file_path", "/[^/]*$", "") if in_parts else F.col("file_path")
+    over = W.partitionBy(whole).orderBy("file_path", "_at")
     before = splits.select("file_path", "_at", (F.sum("_rows").over(over) - F.col("_rows") - F.col("_first")).alias("_off"))
     lines = raw.join(F.broadcast(before), ["file_path", "_at"])  # one row per scan task
-    return lines.withColumn("line_no", F.col("_off") + F.col("_n")).drop("_at", "_n", "_off")
+    return lines.withColumns({"line_no": F.col("_off") + F.col("_n"), "file_path": whole}).drop("_at", "_n", "_off")
 
 
 def _file_numbers(files: list[str], order: list[str] | None) -> list[tuple[str, int]]:
@@ -85,16 +89,19 @@ def _file_numbers(files: list[str], order: list[str] | None) -> list[tuple[str,
 
 
 def read_jsonl(
-    spark: SparkSession, paths: list[str] | str, schema: T.StructType, file_order: list[str] | None = None
+    spark: SparkSession, paths: list[str] | str, schema: T.StructType, file_order: list[str] | None = None, in_parts: bool = False
 ) -> DataFrame:
     """JSON lines of several files in one scan, in the order (``file_index``, ``line_no``).
 
     Columns missing from a file are null, broken lines are in ``_corrupt_record``, blank ones are left out
     (but counted by ``line_no``, which starts at 0).  A file is its whole path; files are numbered by path, or
-    as ``file_order`` lists them, which then also selects them.
+    as ``file_order`` lists them, which then also selects them.  With ``in_parts`` a folder is a file, as several
+    tasks write it, and its files are the parts by name.
     """
-    lines = numbered_lines(spark, paths)
-    files = [(unquote(f), i) for f, i in _file_numbers([unquote(f) for f in lines.inputFiles()], file_order)]
+    lines = numbered_lines(spark, paths, in_parts)
+    names = [unquote(f) for f in lines.inputFiles()]
+    names = sorted({f.rsplit("/", 1)[0] for f in names}) if in_parts else names
+    files = [(unquote(f), i) for f, i in _file_numbers(names, file_order)]
     numbered = spark.createDataFrame([(_plain(f), i) for f, i in files], "_file string, file_index int")
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}

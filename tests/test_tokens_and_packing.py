@@ -11,11 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as entry
 from corpusloom.operators import blending as b
+from corpusloom.operators import bpe, language
 from corpusloom.operators import longctx as c
 from corpusloom.operators import packing as p
 from corpusloom.operators import tokens as k
-from corpusloom.session import durable_dir
+from corpusloom.session import BATCH_BYTES, durable_dir
 from corpusloom.sources import io
 
 TEXTS = ["the cat sat. The cat ran!\n", "", "ünïcode 3.14 is  pi\t\r\n😀", "the", "   "]
@@ -204,6 +206,54 @@ def _greedy(ws, n):
     return out
 
 
+def test_a_file_in_parts_is_numbered_through(spark, tmp_path):
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    for folder, name, ids in (("b c+d", "part-1", [3, 4]), ("b c+d", "part-0", [1, 2]), ("a", "part-0", [9]), ("a", "part-1", [])):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        lines = [f'{{"doc_id": {i}, "text": "t"}}\n' for i in ids]
+        (tmp_path / folder / name).write_text("".join(["\n", *lines]))
+    rows = io.read_jsonl(spark, [str(tmp_path / "b c+d"), str(tmp_path / "a")], schema, in_parts=True)
+    got = rows.select("file_index", "line_no", "doc_id", "_corrupt_record").collect()
+    assert sorted(got) == [(1, 1, 9, None), *[(2, n, i, None) for n, i in ((1, 1), (2, 2), (4, 3), (5, 4))]]
+
+
+def test_json_lines_of_a_language_are_written_by_several_tasks(spark, tmp_path):
+    rows = [(i, f"text {i} " + "word " * 40, "en") for i in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # so small a table would be one partition again
+    try:
+        known = set(Path(urlparse(durable_dir(spark)).path).glob("jsonl-*"))
+        got = entry.queries()["s1_read_jsonl"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(key)
+    (path,) = set(Path(urlparse(durable_dir(spark)).path).glob("jsonl-*")) - known
+    assert len(list(path.glob("part=part-en/part-*"))) > 1
+    whole = [(r.doc_id, r.line_no) for r in got if not r.corrupt]
+    assert sorted(whole) == [(i, i) for i in range(2000) if i % 50 != 9] and {r.file_index for r in got} == {1}
+
+
+@pytest.mark.parametrize("call", ["encode", "decode", "bpe", "back", "profiles", "detect"])
+def test_batches_between_spark_and_python_are_bounded(spark, docs, vocab, call):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    merges = spark.createDataFrame([(0, 117, 105, 257, 2)], "rank int, left int, right int, id int, n long")
+    profiles = spark.createDataFrame([("en", "a", 1.0)], "lang string, gram string, p double")
+    {
+        "encode": lambda: k.encoder(vocab),
+        "decode": lambda: k.decoder(vocab),
+        "bpe": lambda: bpe.tokenize(docs, merges),
+        "back": lambda: bpe.detokenize(docs.selectExpr("doc_id", "array(1) as tokens"), merges),
+        "profiles": lambda: language.train_lang_profiles(docs.selectExpr("'en' as lang", "text")),
+        "detect": lambda: language.detect_lang(docs, profiles),
+    }[call]()
+    assert int(spark.conf.get(key)) == BATCH_BYTES
+    spark.conf.set(key, "123456")
+    k.encoder(vocab)
+    assert spark.conf.get(key) == "123456"  # a size of the session's own stays
+    spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("ws", [[0.8, 0.2], [0.5, 0.5], [0.1, 0.2, 0.3, 0.4], [0.34, 0.33, 0.33], [1.0, 0.0]])
 def test_blend_exact_in_blocks_equals_the_loop(spark, ws):
     for warm in (0, 30):
