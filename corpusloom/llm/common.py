@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import materialize
+from corpusloom.session import materialize, small_batches  # noqa: F401
 
 # Text bytes that one slice of an Arrow batch holds at most (a single longer text is a slice of its own).
 SLICE_BYTES = 1_000_000
@@ -23,20 +23,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Bytes of one Arrow batch between Spark and Python; both sides hold it outside of the heap.
-BATCH_BYTES = 4 << 20
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches of this session hold about BATCH_BYTES, unless it has a size of its own.
-
-    Documents differ by orders of magnitude in size, so a number of rows does not bound a batch.
-    """
-    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
-    if spark.conf.get(key, default) == default:
-        spark.conf.set(key, str(BATCH_BYTES))
-
-
 # Ids that may travel to every task.
 MAX_BROADCAST_IDS = 500_000
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.tokens import EOD, FIRST_BYTE, FIRST_WORD, PIECE, pieces
-from corpusloom.session import materialize
+from corpusloom.session import materialize, small_batches
 
 # Best pairs that one job returns, and rounds after which the pieces are written as merged so far.
 TOP_PAIRS, WRITE_EVERY = 512, 8
@@ -190,16 +190,17 @@ def merge_list(merges: DataFrame) -> list[tuple[int, int, int]]:
 
 def tokenize(df: DataFrame, merges: DataFrame, doc: str = "doc_id", text: str = "text", append_eod: bool = True) -> DataFrame:
     """(doc, tokens, n_tokens); a text without characters has no tokens and no end of document, null has null."""
+    small_batches(df.sparkSession)
     known = merge_list(merges)
-    made: dict[str, Encoder] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = made.setdefault("", Encoder(known))
+        enc = Encoder(known)
         for b in batches:
             end = [EOD] if append_eod else []
             ids = [None if t is None else enc.ids(t) + end if t else [] for t in b.column(text).to_pylist()]
             cols = [b.column(doc), pa.array(ids, pa.list_(pa.int32())), pa.array([None if x is None else len(x) for x in ids], pa.int32())]
             yield pa.RecordBatch.from_arrays(cols, names=[doc, "tokens", "n_tokens"])
+        enc.ids_of.cache_clear()  # the worker goes on to other tasks
 
     kind = df.schema[doc].dataType.simpleString()
     return df.select(doc, text).mapInArrow(run, f"`{doc}` {kind}, tokens array<int>, n_tokens int")
@@ -207,6 +208,7 @@ def tokenize(df: DataFrame, merges: DataFrame, doc: str = "doc_id", text: str =
 
 def detokenize(tokens: DataFrame, merges: DataFrame, doc: str = "doc_id", column: str = "tokens") -> DataFrame:
     """(doc, text): the texts back from their ids; ids outside of the vocabulary are an error."""
+    small_batches(tokens.sparkSession)
     of = symbol_bytes(merge_list(merges))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.ordering import md5_key, quantiles
 from corpusloom.functions.skew import skew_lookup
 from corpusloom.functions.text import char_ngrams, col, lines, ratio
+from corpusloom.session import small_batches
 
 # Probability given to an n-gram a profile does not hold.
 UNSEEN = 1e-6
@@ -73,6 +74,7 @@ def train_lang_profiles(
     """
     if max(sizes) > 3:
         raise ValueError("n-grams of more than 3 characters do not fit the codes")
+    small_batches(df.sparkSession)
     rows = df.select(F.col(lang).alias("lang"), _clean(text).alias("text")).mapInArrow(_count_grams(sizes), "lang string, gram string, n long")
     counts = rows.withColumnRenamed("lang", lang).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("_total"))
@@ -164,6 +166,7 @@ def detect_lang(
     if joined:
         found = df.select(*ids).join(_joined_scores(df, weights, ids, text, sizes), list(ids), "left")
     else:
+        small_batches(df.sparkSession)
         rows = weights.collect()
         langs = sorted({r[1] for r in rows})
         scorer = _scorer([tuple(r) for r in rows], langs, sizes)

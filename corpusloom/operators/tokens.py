@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from corpusloom.functions.ordering import md5_key, range_rank
 from corpusloom.functions.skew import skew_join
 from corpusloom.functions.text import chunks, col, hold, let
+from corpusloom.session import small_batches
 
 EOD = 0
 FIRST_BYTE = 1
@@ -70,6 +71,7 @@ def encoder(vocab: DataFrame):
 
     One hash lookup over all pieces of an Arrow batch; no row-by-row Python.
     """
+    small_batches(vocab.sparkSession)
     shared = vocab.sparkSession.sparkContext.broadcast(_vocab_list(vocab))
     known_words: list[pa.Array] = []  # built by the first batch of a task
 
@@ -102,6 +104,7 @@ def encoder(vocab: DataFrame):
 
 def decoder(vocab: DataFrame):
     """Column function: array<int> of ids -> text, end-of-document ids skipped."""
+    small_batches(vocab.sparkSession)
     shared = vocab.sparkSession.sparkContext.broadcast(_vocab_list(vocab))
     symbols: list[pa.Array] = []  # built by the first batch of a task
 
