@@ -4,7 +4,8 @@ Between unit vectors, cosine similarity of at least ``1 - eps`` is a distance of
 Vectors go to the cell of their nearest pivot.  A neighbour x of y with nearest pivot p lies at most r from y, so y
 can be needed in the cell of p only if it is no more than 2 r farther from p than from its own pivot; there, a copy of y
 stands.  Inside a cell, the distances to the pivot of two neighbours differ by at most r: the cell is cut
-into bands of that width, and only a band and the next one meet, in blocks of bounded size.
+into bands of that width, and only a band and the next one meet, in blocks of bounded size.  Where the cells and bands
+rule out so little that more copies would travel than with all vectors in one cell, all are in one.
 
 Equal vectors are one from the start.  Tasks return the lowest neighbour of each vector, never pairs.
 """
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.skew import TARGET_ROWS, skew_join
 from corpusloom.session import materialize
 
-PIVOTS, BLOCK = 64, 1024
+PIVOTS = 64
+# Bytes of the vectors of a block: a task holds two blocks, and a vector travels as often as there are blocks to meet.
+BLOCK_BYTES = 8 << 20
 SLACK = 1e-6
 
 
@@ -95,13 +98,20 @@ def _comparer(eps: float, kind: pa.DataType):
     return run
 
 
+def copies(rows: dict[tuple[int, int], int], block: int) -> int:
+    """How many vectors travel to blocks if that many stand in each (cell, band)."""
+    blocks = {k: -(-n // block) for k, n in rows.items()}
+    return sum(n * sum(blocks.get((c, b + step), 0) for step in (-1, 0, 1)) for (c, b), n in rows.items())
+
+
 def matches(
-    df: DataFrame, eps: float, vid: str = "vec_id", vec: str = "embedding", pivots: int = PIVOTS, block: int = BLOCK, target: int = TARGET_ROWS
+    df: DataFrame, eps: float, vid: str = "vec_id", vec: str = "embedding", pivots: int = PIVOTS, block: int | None = None, target: int = TARGET_ROWS
 ) -> DataFrame:
     """(vid, match): for every vector with a neighbour of lower id, the lowest one.
 
     A neighbour has cosine similarity of at least ``1 - eps``.  Vectors that are null, empty, zero, or hold a value that
     is no number have none.  ``pivots`` vectors, chosen by hash, reach the driver and all tasks; more of them make cells smaller.
+    ``block`` is the number of vectors in a block, by default what BLOCK_BYTES holds.
     All vectors must have one length; rows without an id are left out.
     """
     kind = df.schema[vid].dataType.simpleString()
@@ -110,11 +120,18 @@ def matches(
     packed = materialize(packed, "vectors")
     nodes = packed.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("_n"), F.any_value("vector").alias("vector"))
     nodes = materialize(nodes, "distinct-vectors")
-    chosen = unit_rows([r["vector"] for r in nodes.orderBy("node").limit(pivots).collect()]) if not nodes.isEmpty() else np.zeros((1, 1))
+    n_nodes = nodes.count()
+    chosen = unit_rows([r["vector"] for r in nodes.orderBy("node").limit(pivots).collect()]) if n_nodes else np.zeros((1, 1))
     radius = math.sqrt(2 * eps)
     placed = nodes.select("id", "vector").mapInArrow(_placer(chosen, radius), f"id {kind}, cell int, band int, own boolean, vector binary")
-    placed = materialize(placed, "placed")
-    sizes = placed.groupBy("cell", "band").agg(F.count("*").alias("_rows"))  # one row per pivot and band
+    block = block or max(1, BLOCK_BYTES // (8 * chosen.shape[1]))
+    sizes = materialize(placed.groupBy("cell", "band").agg(F.count("*").alias("_rows")), "cells")  # one row per pivot and band
+    rows_in = {(r["cell"], r["band"]): r["_rows"] for r in sizes.collect()}
+    if copies(rows_in, block) >= copies({(0, 0): n_nodes}, block):
+        placed = nodes.select("id", F.lit(0).alias("cell"), F.lit(0).alias("band"), F.lit(True).alias("own"), "vector")
+        sizes = nodes.groupBy(F.lit(0).alias("cell"), F.lit(0).alias("band")).agg(F.count("*").alias("_rows"))
+    else:
+        placed = materialize(placed, "placed")
     sizes = sizes.select("cell", "band", F.ceil(F.col("_rows") / F.lit(block)).cast("int").alias("g"))
     near = placed.join(F.broadcast(sizes), ["cell", "band"])
     near = near.join(F.broadcast(sizes.select("cell", (F.col("band") - 1).alias("band"), F.col("g").alias("g_next"))), ["cell", "band"], "left")

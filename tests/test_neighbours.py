@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import numpy as np
 import pytest
 
 from corpusloom.operators import neighbours
+from corpusloom.session import durable_dir
 
 VECTORS = "vec_id long, embedding array<double>"
 
@@ -54,3 +58,22 @@ def test_copies_and_empty_tables(spark):
 def test_plan_has_no_nested_loop(spark):
     plan = neighbours.matches(spark.createDataFrame(vectors(1), VECTORS), 0.1)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("dim, eps, cells", [(3, 0.0002, True), (64, 0.65, False)])
+def test_cells_only_where_they_rule_something_out(spark, dim, eps, cells):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.normal(size=dim).tolist()) for k in range(400)]
+
+    def written():
+        return set(Path(urlparse(durable_dir(spark)).path).glob("placed-*"))
+
+    known = written()
+    got = neighbours.matches(spark.createDataFrame(rows, VECTORS), eps, block=20).collect()
+    assert {r["vec_id"]: r["match"] for r in got} == brute(rows, eps)
+    assert bool(written() - known) == cells
+
+
+def test_copies_that_travel():
+    assert neighbours.copies({(0, 0): 30, (0, 1): 5, (1, 1): 7}, 10) == 30 * 4 + 5 * 4 + 7
+    assert neighbours.copies({}, 10) == 0
