@@ -21,7 +21,7 @@ from corpusloom.session import materialize
 
 # A word with the white space around it, and what is cut off its ends.
 PIECE = r"[ \t\n\r\f]*[^ \t\n\r\f]+[ \t\n\r\f]*"
-EDGES = r"^[ \t\n\r\f\"'(\[{«“„‘]+|[ \t\n\r\f\"')\]}»”’,;:]+\z"
+BEFORE, AFTER = " \t\n\r\f\"'([{«“„‘", " \t\n\r\f\"')]}»”’,;:"
 NUMBER = r"^[0-9]([0-9.,]*[0-9])?\z"
 NUMBER_TYPE = "##"
 # Least scores of abbreviations, of words that begin sentences, and of pairs; and how sure the full stop of an abbreviation is.
@@ -35,7 +35,7 @@ def cores(text: Column | str) -> Column:
 
 
 def core(piece: Column) -> Column:
-    return F.regexp_replace(piece, EDGES, "")
+    return F.rtrim(F.ltrim(piece, F.lit(BEFORE)), F.lit(AFTER))
 
 
 def has_stop(word: Column) -> Column:
@@ -183,7 +183,8 @@ def split(df: DataFrame, decisions: DataFrame, doc: str = "doc_id", lang: str =
     def cut(ps: Column) -> Column:
         def ends(i: Column) -> Column:
             w, b = core(F.get(ps, i)), core(F.get(ps, i + 1))
-            return w.rlike(r"[!?]\z") | (w.rlike(r"\.\.\z") & is_upper(b)) | has_stop(w)
+            # Most words are out at a glance; nothing is cut off them.
+            return F.get(ps, i).rlike(r"[.!?]") & (w.rlike(r"[!?]\z") | (w.rlike(r"\.\.\z") & is_upper(b)) | has_stop(w))
 
         last = F.size(ps) - 1
         inner = F.when(last > 0, F.filter(F.sequence(F.lit(0), last - 1), ends)).otherwise(F.array().cast("array<int>"))

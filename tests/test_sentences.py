@@ -7,6 +7,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusloom.operators import sentences as S
 
 DOCS = "doc_id long, lang string, text string"
@@ -106,3 +108,14 @@ def test_unknown_languages_and_empty_tables(spark, model):
     empty = spark.createDataFrame([], DOCS)
     found, decisions = S.train(empty)
     assert found.count() == 0 and decisions.count() == 0 and S.split(empty, decisions).count() == 0
+
+
+def test_words_are_cut_without_regular_expressions(spark):
+    """Each of them ran over every word, several times in ``split``."""
+    edges = r"^[ \t\n\r\f\"'(\[{«“„‘]+|[ \t\n\r\f\"')\]}»”’,;:]+\z"
+    rng = random.Random(5)
+    texts = ["", " ", "(", "):", "'a'", "«É»,\n"] + ["".join(rng.choices(" \t\n\"'()[]{}«»“”„‘’,;:.!aé", k=rng.randint(1, 9))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(S.core(F.col("t")).alias("a"), F.regexp_replace("t", edges, "").alias("b")).collect()
+    assert all(r.a == r.b for r in got)
+    assert "regexp" not in df.select(S.core(F.col("t")))._jdf.queryExecution().toString()
