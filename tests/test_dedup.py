@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import dedup as d
@@ -189,3 +190,31 @@ def test_semantic_blocks_equal_brute_force(spark):
     for block in (7, 1000):
         got = {r.vec_id: r.match for r in d.semantic_matches(df, 0.1, "label", block=block).collect()}
         assert got == want and want
+
+
+ODD_TEXTS = [
+    None, "", " \n\t ", "one", "One two  three FOUR", "a b c d e", "a b c d e f a b c d e f", "x " * 40,
+    "İstanbul ΣΣ ÄB c d\u0085e\u001cf \u200bg \U0001f600 中文 h", "q\u3000r\u180es\x0bt\x00u\x1fv w",
+]
+
+
+@pytest.mark.parametrize("n", [1, 5])
+def test_word_hashes_are_those_of_the_expressions(spark, n):
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string")
+    df = df.unionByName(spark.sql("select 99L as doc_id, cast(x'61206220ff63206420652066' as string) as text"))
+    got = d.shingle_sets(df, n, hashing="md5")
+    assert {r.doc_id: r.shingles for r in got.collect()} == {
+        r.doc_id: r.s for r in df.select("doc_id", F.array_distinct(F.transform(d.shingles("text", n, distinct=False), d.md5_long)).alias("s")).collect()
+    }
+    # Cut and hashed by one function, once, and not gram by gram by interpreted expressions.
+    plan = got.where(F.size("shingles") > 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython ") == 1 and "lambdafunction" not in plan
+
+
+def test_minhash_of_the_largest_factors(spark):
+    top = d.MERSENNE_31 - 1
+    sets = spark.createDataFrame([(0, [top, d.MERSENNE_31, (1 << 60) - 1]), (1, [top]), (2, [])], "doc_id long, shingles array<long>")
+    got = {r.doc_id: r.signature for r in d.minhash(sets, 64).collect()}
+    ab = d.permutations(64)
+    assert got[2] is None and got[1] == [(top * a + b) % d.MERSENNE_31 for a, b in ab]
+    assert got[0] == [min((h % d.MERSENNE_31 * a + b) % d.MERSENNE_31 for h in (top, d.MERSENNE_31, (1 << 60) - 1)) for a, b in ab]
