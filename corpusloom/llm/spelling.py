@@ -94,7 +94,8 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, long: int = LONG) -> Da
     # The reduced word is the first of what is sent; where it meets itself, the smaller word takes the pair.
     generated = reduced.select(sent.alias("_s"), F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("_r").alias("_ra"))
     generated = generated.select(F.xxhash64("_s").alias("_key"), "a", "n_a", (F.col("_s") == F.col("_ra")).alias("_same"))
-    met = generated.join(known.drop("_rb"), "_key").where(F.col("a") != F.col("b")).where(~F.col("_same") | (F.col("a") < F.col("b")))
+    # Spark sizes a table by what it read, before an explode and compressed, so it would broadcast these.
+    met = generated.hint("merge").join(known.drop("_rb"), "_key").where(F.col("a") != F.col("b")).where(~F.col("_same") | (F.col("a") < F.col("b")))
     met = met.where((F.length("a") <= long) | (F.length("b") <= long))
     pairs = met.where(F.levenshtein("a", "b", 1) == 1).select("a", "n_a", "b", "n_b")
 
@@ -107,7 +108,7 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, long: int = LONG) -> Da
     halves = halves.select("word", "n", F.xxhash64("_tag", "_side", "_end").alias("_key"))
     left = halves.select("_key", F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = halves.select("_key", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    rest = left.join(right, "_key").where(F.col("a") < F.col("b")).where(F.levenshtein("a", "b", 1) == 1)
+    rest = left.hint("merge").join(right, "_key").where(F.col("a") < F.col("b")).where(F.levenshtein("a", "b", 1) == 1)
     return pairs.unionByName(rest.drop("_key").distinct())
 
 
@@ -139,7 +140,8 @@ def variants(
         "word", "n_near", F.when(enough, F.col("_top.other")).alias("form"), F.when(enough, -F.col("_top.m")).alias("form_n")
     )
     stats = materialize(stats, "forms")
-    return words.join(stats, "word", "left").join(roots(stats, ratio, min_count), "word", "left").select(
+    ends = roots(stats, ratio, min_count).hint("merge")
+    return words.join(stats.hint("merge"), "word", "left").join(ends, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n"
     )
 
@@ -155,6 +157,6 @@ def roots(forms: DataFrame, ratio: int = RATIO, min_count: int = MIN_COUNT) -> D
     steps = max(1, int(math.log(max(top / max(min_count, 1), 1), ratio) + 1e-9)) if ratio > 1 else 64
     for _ in range(math.ceil(math.log2(steps))):
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        links = links.join(onward, "root", "left").select("word", F.coalesce("_next", "root").alias("root"))
+        links = links.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("_next", "root").alias("root"))
         links = materialize(links, "roots")
     return links

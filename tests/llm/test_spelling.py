@@ -110,3 +110,14 @@ def test_plan_has_no_nested_loop(spark, frame):
     words = spark.createDataFrame([("abcdef", 5)], "word string, n long")
     plan = spelling.near_pairs(words)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_nothing_as_large_as_the_vocabulary_is_broadcast(spark, tmp_path):
+    words = spark.createDataFrame([("abcdef", 50), ("abcdeg", 5), ("x" * 60, 50), ("x" * 61, 5)], "word string, n long")
+    words.write.parquet(str(tmp_path / "words"))
+    words = spark.read.parquet(str(tmp_path / "words"))  # a file has a size, and this one is below any threshold
+    forms = spark.createDataFrame([("abcdeg", "abcdef", 50)], "word string, form string, form_n long")
+    docs = spark.createDataFrame([(k, "vestring vestring vestrinp") for k in range(5)], "doc_id long, text string")
+    for df in (spelling.near_pairs(words), spelling.roots(forms), spelling.variants(docs)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {frozenset((r["a"], r["b"])) for r in spelling.near_pairs(words).collect()} == {frozenset(("abcdef", "abcdeg")), frozenset(("x" * 60, "x" * 61))}
